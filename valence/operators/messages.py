@@ -69,10 +69,10 @@ def build_messages(items: DataFrame, number: Column, ts: Column) -> DataFrame:
     )
 
 
-def encode(messages: DataFrame) -> DataFrame:
+def encode(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Kafka records (``key``, JSON ``value``) of messages; null fields are written."""
     body = F.to_json(F.struct(*MESSAGE.names), {"ignoreNullFields": "false"})
-    return messages.select(F.col("id").alias("key"), body.alias("value"))
+    return messages.select(F.col("id").alias("key"), body.alias("value"), *keep)
 
 
 def commands(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

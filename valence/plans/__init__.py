@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import reporting, scoring  # noqa: F401
+from . import ingest, learning, reporting, scoring, streams  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -29,7 +29,7 @@ def kafka_stream(spark: SparkSession, topic: str = INPUT_TOPIC, servers: str | N
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, format: str = "json", **options: str) -> DataFrame:
-    """Stream new files of a folder, or the one file ``path``."""
+    """Stream new files of a folder, or of what a path pattern matches."""
     return spark.readStream.format(format).schema(schema).options(**options).load(path)
 
 

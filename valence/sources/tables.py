@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import iso_utc
 from ..operators.messages import message_id
@@ -13,7 +13,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def feed_of(events: DataFrame) -> DataFrame:
+def feed_of(events: DataFrame, keep: tuple[Column, ...] = ()) -> DataFrame:
     """Messages of an event table: one per row, with a phrase chosen by ``event_id``.
 
     The phrase list is a folded array literal, so the lookup needs no join.
@@ -29,6 +29,7 @@ def feed_of(events: DataFrame) -> DataFrame:
         iso_utc(event_ts).alias("timestamp"),
         event_ts.alias("event_ts"),
         "event_id",
+        *keep,
     )
 
 
@@ -37,6 +38,9 @@ def event_feed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores where the scan has fewer splits than cores; no change on large input."""
+    """Use all cores where a scan has fewer splits than cores; no change on large input.
+
+    Only for frames without a shuffle: to count partitions, Spark plans the frame.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

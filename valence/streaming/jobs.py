@@ -158,8 +158,11 @@ def read_since_reset(spark: SparkSession, path: str) -> DataFrame:
         .join(marks, same_source, "left")
         .where(F.col("edge").isNull() | (F.col("minute") > F.col("edge")))
     )
+    # Known before the scan, so that it reads the row groups of these minutes only.
+    first, last = marks.agg(F.min("edge")).scalar(), marks.agg(F.max("edge")).scalar()
     edge = (
         spark.read.parquet(f"{path}/rows")
+        .where((F.col("minute") >= first) & (F.col("minute") <= last))
         .join(marks, same_source & (F.col("minute") == F.col("edge")))
         .where(F.col("event_ts") > F.col("reset_at"))
         .groupBy("source")
