@@ -34,7 +34,7 @@ def tokens(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Remove white space of any kind from both ends."""
-    return F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.regexp_replace(text, f"^[{SPACE}]++|(?<![{SPACE}])[{SPACE}]++$", "")
 
 
 def is_blank(text: Column) -> Column:

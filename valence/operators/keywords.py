@@ -13,7 +13,8 @@ def keyword_counts(scored: DataFrame, ts: str = "event_ts") -> DataFrame:
     There are at most 148 keys (each listed word, plain or negated, and two for
     emoji), so every task hands on at most that many partial rows.
     """
-    hits = scored.select(F.explode("keywords").alias("keyword"), ts)
+    # The outer form, as Spark derives a filter on the array from the plain one and scores texts twice.
+    hits = scored.select(F.explode_outer("keywords").alias("keyword"), ts).where(F.col("keyword").isNotNull())
     return hits.groupBy("keyword").agg(F.count("*").alias("cnt"), F.min(ts).alias("first_seen"))
 
 

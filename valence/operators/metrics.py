@@ -69,7 +69,7 @@ def snapshot(scored: DataFrame, throughput_eps: Column, ts: str = "event_ts", k:
     """
     tagged = scored.select(
         "sentiment", "polarity", ts,
-        F.explode(F.concat(F.array(F.lit(None).cast("string")), F.col("keywords"))).alias("keyword"),
+        F.explode_outer(F.concat(F.array(F.lit(None).cast("string")), F.col("keywords"))).alias("keyword"),
     )
     groups = tagged.groupBy("keyword").agg(*count_columns(), F.min(ts).alias("first_seen"))
     is_total = F.col("keyword").isNull()

@@ -9,8 +9,9 @@ from .classifier import content_words
 
 def term_counts(documents: DataFrame, key: str) -> DataFrame:
     """``tf`` of each term of each document; the documents' terms are summed before the shuffle."""
-    terms = content_words(documents.select(key, "text")).select(key, F.explode("filtered").alias("term"))
-    return terms.groupBy(key, "term").agg(F.count("*").alias("tf"))
+    # The outer form, as Spark derives a filter on the array from the plain one and takes the words twice.
+    terms = content_words(documents.select(key, "text")).select(key, F.explode_outer("filtered").alias("term"))
+    return terms.where(F.col("term").isNotNull()).groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
 def idf(tf: DataFrame, documents: DataFrame) -> DataFrame:

@@ -28,9 +28,10 @@ def throughput_asof(events: DataFrame, ts: str, asof: Column | None = None) -> D
     The window's start is a scalar subquery, pushed down to the scan.
     """
     span = F.expr(f"INTERVAL {SPAN} SECONDS")
-    end = events.agg(F.max(ts)).scalar() if asof is None else asof
-    start = events.agg(F.max(ts) - span).scalar() if asof is None else asof - span
-    recent = events.where((F.col(ts) >= start) & (F.col(ts) <= end))
+    if asof is None:
+        recent = events.where(F.col(ts) >= events.agg(F.max(ts) - span).scalar())
+    else:
+        recent = events.where((F.col(ts) >= asof - span) & (F.col(ts) <= asof))
     return recent.agg(F.count("*").alias("events_60s")).select("events_60s", *rate_columns(F.col("events_60s")))
 
 
@@ -66,14 +67,14 @@ def throughput_series(events: DataFrame, ts: str, key: str) -> DataFrame:
         ).alias("at_ends"),
     ).where(F.col("own") > 0)
 
-    seconds = cells.groupBy(key, "sec").agg(F.sum("own").alias("n"))
+    seconds = stamped.groupBy(key, "sec").agg(F.count("*").alias("n"))
     chunk = lambda sec: div(sec - F.pmod(sec, F.lit(_CHUNK)), F.lit(_CHUNK))
     reach = F.array_distinct(F.array(chunk(F.col("sec")), chunk(F.col("sec") + SPAN - 1)))
     whole = Window.partitionBy(key, "chunk").orderBy("sec").rangeBetween(1 - SPAN, -1)
     between = (
         seconds.select(key, "sec", "n", F.explode(reach).alias("chunk"))
         .withColumn("between", F.coalesce(F.sum("n").over(whole), F.lit(0)))
-        .where((F.col("chunk") == chunk(F.col("sec"))) & (F.col("n") > 0))
+        .where(F.col("chunk") == chunk(F.col("sec")))
         .select(F.col(key).alias("between_key"), F.col("sec").alias("between_sec"), "between")
     )
     same = F.col(key).eqNullSafe(F.col("between_key")) & (F.col("sec") == F.col("between_sec"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.sentiment import strip
+from ..functions.sentiment import SPACE, strip
 from ..operators.messages import stand_in_user
 from ..schemas import CORPUS
 
@@ -18,9 +18,10 @@ def clean_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
     The user is a stand-in that depends on the line, so runs repeat.
     """
-    text = lines.select(*keep, strip(F.col("value")).alias("text"))
-    kept = text.where((F.length("text") > 0) & ~F.startswith("text", F.lit("#")))
-    return kept.select("*", F.lit(LINE_SOURCE).alias("source"), stand_in_user(F.col("text")).alias("user"))
+    # The test reads a line up to its first visible character; the line is stripped once, after it.
+    kept = lines.where(F.col("value").rlike(f"^[{SPACE}]*[^{SPACE}#]"))
+    text = kept.select(*keep, strip(F.col("value")).alias("text"))
+    return text.select("*", F.lit(LINE_SOURCE).alias("source"), stand_in_user(F.col("text")).alias("user"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
