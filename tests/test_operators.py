@@ -21,7 +21,7 @@ NAMES = ("total", "positive", "negative", "neutral")
 
 def message_rows(spark, texts):
     rows = [(f"m{i}", t, "s", "u", f"2024-01-01T00:00:{i:02d}Z") for i, t in enumerate(texts)]
-    return spark.createDataFrame(rows, MESSAGE).withColumn("event_ts", event_time(F.col("timestamp")))
+    return spark.createDataFrame(rows, MESSAGE).withColumn("event_ts", F.expr(event_time("timestamp")))
 
 
 def scored(spark, texts):
@@ -92,7 +92,7 @@ def test_after_reset(spark):
 def test_display_helpers(spark):
     values = [0.655, 0.605, -0.137, 0.0, -0.004, 0.125, -0.125, 1.0, 0.1, 0.101, -0.101]
     row = spark.createDataFrame([(v,) for v in values], "v double").select(
-        signed_text(F.col("v")).alias("t"), polarity_band(F.col("v")).alias("b"), pointer_percent(F.col("v")).alias("p")
+        F.expr(signed_text("v")).alias("t"), F.expr(polarity_band("v")).alias("b"), F.expr(pointer_percent("v")).alias("p")
     ).collect()
     assert [r.t for r in row] == [
         "+0.66", "+0.60", "-0.14", "+0.00", "-0.00", "+0.13", "-0.13", "+1.00", "+0.10", "+0.10", "-0.10"
@@ -101,15 +101,15 @@ def test_display_helpers(spark):
 
 
 def test_escape(spark):
-    df = spark.createDataFrame([("<a href=\"x\">&'",), (None,)], "t string").select(escape_html(F.col("t")).alias("t"))
+    df = spark.createDataFrame([("<a href=\"x\">&'",), (None,)], "t string").select(F.expr(escape_html("t")).alias("t"))
     assert [r.t for r in df.collect()] == ["&lt;a href=&quot;x&quot;&gt;&amp;&#039;", ""]
 
 
 def test_iso_time_has_a_fraction_only_where_needed(spark):
     df = spark.sql("SELECT timestamp'2024-01-01 00:00:07.179575' AS a, timestamp'2024-01-01 00:00:07' AS b")
-    row = df.select(iso_utc(F.col("a")).alias("a"), iso_utc(F.col("b")).alias("b")).first()
+    row = df.select(F.expr(iso_utc("a")).alias("a"), F.expr(iso_utc("b")).alias("b")).first()
     assert (row.a, row.b) == ("2024-01-01T00:00:07.179575Z", "2024-01-01T00:00:07Z")
-    back = spark.createDataFrame([(row.a,), ("noon",)], "t string").select(event_time(F.col("t")).alias("t")).collect()
+    back = spark.createDataFrame([(row.a,), ("noon",)], "t string").select(F.expr(event_time("t")).alias("t")).collect()
     assert back[0].t == dt.datetime(2024, 1, 1, 0, 0, 7, 179575) and back[1].t is None
 
 
@@ -154,7 +154,7 @@ def test_commands(spark):
 
 def test_ids(spark):
     df = spark.sql("SELECT 7 AS n, timestamp'2024-01-01 00:00:07.179999' AS t")
-    row = df.select(messages.message_id(F.col("n")).alias("m"), messages.event_id(F.col("t")).alias("e")).first()
+    row = df.select(F.expr(messages.message_id("n")).alias("m"), F.expr(messages.event_id("t")).alias("e")).first()
     assert row.m == "msg_00007" and row.e == f"evt_{1704067207179 % 1000000:06d}"
 
 

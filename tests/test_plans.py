@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as driver
 from valence.functions.sentiment import with_sentiment
 from valence.operators.throughput import throughput_series
-from valence.sources.tables import event_feed, table
+from valence.sources.tables import feed_of, table
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -40,7 +40,7 @@ def test_no_python_workers_and_no_cross_joins(spark, name):
 
 
 def test_scoring_needs_no_shuffle(spark):
-    assert "Exchange" not in physical(with_sentiment(event_feed(spark, FOLDER)))
+    assert "Exchange" not in physical(with_sentiment(feed_of(table(spark, FOLDER, "events"))))
 
 
 def test_a_filter_on_the_key_reaches_the_scan_and_only_needed_columns_are_read(spark):

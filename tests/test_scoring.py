@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from valence.functions import lexicon as lx
 from valence.functions.arithmetic import round_binary
-from valence.functions.sentiment import tokens, with_sentiment
+from valence.functions.sentiment import register_sql, tokens, with_sentiment
 from valence.sources.samples import FEED_PHRASES
 
 FIXTURES = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "FIXTURES.md")
@@ -102,7 +102,7 @@ def test_order_of_separate_clauses_does_not_matter(spark):
 
 def test_tokens(spark):
     cases = {"Top-Notch don't a--b 'x'": ["top-notch", "don't", "a--b", "x"], "don’t ❤️ café": ["don", "t", "café"], "": []}
-    rows = spark.createDataFrame([(t,) for t in cases], "t string").select("t", tokens(F.col("t")).alias("w"))
+    rows = spark.createDataFrame([(t,) for t in cases], "t string").select("t", F.expr(tokens("t")).alias("w"))
     assert {r.t: r.w for r in rows.collect()} == cases
 
 
@@ -113,11 +113,21 @@ def test_binary_rounding_is_python_rounding(spark):
     values += [-v for v in values]
     rows = spark.createDataFrame([(float(v),) for v in values], "v double")
     for digits in (1, 2, 3):
-        got = rows.select("v", round_binary(F.col("v"), digits).alias("r")).collect()
+        got = rows.select("v", F.expr(round_binary("v", digits)).alias("r")).collect()
         for r in got:
             assert r.r == round(r.v, digits), (r.v, digits)
 
 
+@pytest.mark.parametrize("rounding", ["exact", "binary"])
+def test_sql_function_gives_the_same(spark, rounding):
+    register_sql(spark, "mood", rounding)
+    texts = FEED_PHRASES + random_texts(200, seed=23) + [None]
+    spark.createDataFrame(list(enumerate(texts)), "i int, text string").createOrReplaceTempView("some_texts")
+    rows = spark.sql("SELECT i, mood(text) AS a, mood('not bad').polarity AS p FROM some_texts ORDER BY i").collect()
+    assert [(*r.a[:1], *r.a[3:]) for r in rows] == run(spark, texts, rounding)
+    assert {r.p for r in rows} == {0.512}
+
+
 def test_unknown_rounding(spark):
     with pytest.raises(ValueError):
         with_sentiment(spark.createDataFrame([("x",)], "text string"), rounding="bank")

@@ -34,12 +34,12 @@ def lines(start, n):
 
 def stream(spark, folder):
     messages = message_stream(prepare_streaming(spark), "text", str(folder))
-    return analyze(messages.withColumn("event_ts", event_time(F.col("timestamp"))), keep=("event_ts",))
+    return analyze(messages.withColumn("event_ts", F.expr(event_time("timestamp"))), keep=("event_ts",))
 
 
 def batch(spark, folder):
     messages = decode(spark.read.text(str(folder)))
-    return analyze(messages.withColumn("event_ts", event_time(F.col("timestamp"))), keep=("event_ts",))
+    return analyze(messages.withColumn("event_ts", F.expr(event_time("timestamp"))), keep=("event_ts",))
 
 
 def test_rows_metrics_and_keywords_equal_batch_across_restarts(spark, tmp_path):
@@ -112,7 +112,7 @@ def test_throughput_emits_final_minutes_and_drops_late_rows(spark, tmp_path):
 def reset_stream(spark, folder):
     schema = T.StructType([*MESSAGE.fields, T.StructField("is_reset", T.BooleanType())])
     rows = file_stream(prepare_streaming(spark), str(folder), schema)
-    rows = rows.withColumn("event_ts", event_time(F.col("timestamp")))
+    rows = rows.withColumn("event_ts", F.expr(event_time("timestamp")))
     return analyze(rows, keep=("event_ts", "is_reset")).select("source", "event_ts", "is_reset", "sentiment", "polarity")
 
 

@@ -77,10 +77,9 @@ def accuracy_row(predictions: DataFrame) -> DataFrame:
         F.count("*").alias("total"),
         F.count_if(F.col("prediction") == F.col("label")).alias("correct"),
     )
-    some = F.greatest("total", F.lit(1))
-    return counted.select(
+    return counted.selectExpr(
         "total",
         "correct",
-        (F.col("correct") / some).alias("accuracy"),
-        (half_up_ratio(F.col("correct") * 100, some, 100) / F.lit(100.0)).alias("accuracy_pct"),
+        "correct / greatest(total, 1) AS accuracy",
+        f"{half_up_ratio('correct * 100', 'greatest(total, 1)', 100)} / 100.0D AS accuracy_pct",
     )

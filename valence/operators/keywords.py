@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.text import displays_negative, negative_keywords
+from ..functions.text import adds_negative, displays_negative
 
 
 def keyword_counts(scored: DataFrame, ts: str = "event_ts") -> DataFrame:
@@ -24,9 +24,6 @@ def top_keywords(counts: DataFrame, k: int = 10) -> DataFrame:
     ``is_neg_display`` is the display's substring test, ``is_neg`` the word list's answer.
     """
     ranked = counts.orderBy(F.desc("cnt"), F.asc("first_seen"), F.asc("keyword")).limit(k)
-    return ranked.select(
-        "keyword",
-        "cnt",
-        displays_negative(F.col("keyword")).alias("is_neg_display"),
-        F.col("keyword").isin(negative_keywords()).alias("is_neg"),
+    return ranked.selectExpr(
+        "keyword", "cnt", f"{displays_negative('keyword')} AS is_neg_display", f"{adds_negative('keyword')} AS is_neg"
     )

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.arithmetic import literal
 from ..functions.text import escape_html, signed_text, time_of_day
+from .messages import CHANNEL_SOURCE, CHANNEL_USER, DISPLAY_TIME
 
 # Sizes of the history, the feed and the timeline.
 HISTORY_SIZE, FEED_SIZE, TIMELINE_SIZE = 100, 50, 25
 
+DISPLAY_DEFAULTS = {"source": CHANNEL_SOURCE["display"], "user": CHANNEL_USER["display"]}
+
 
 def latest(rows: DataFrame, k: int, ts: str, *ties: str) -> DataFrame:
     """The ``k`` newest rows, newest first; rows without a time are left out.
@@ -24,15 +28,15 @@ def latest(rows: DataFrame, k: int, ts: str, *ties: str) -> DataFrame:
 
 def feed_view(analyzed: DataFrame, ts: str = "event_ts") -> DataFrame:
     """Display columns of scored rows."""
-    shown = lambda name, default: escape_html(F.coalesce(F.nullif(F.col(name), F.lit("")), F.lit(default)))
-    return analyzed.select(
+    shown = lambda name: escape_html(f"coalesce(nullif({name}, ''), {literal(DISPLAY_DEFAULTS[name])})")
+    return analyzed.selectExpr(
         "id",
-        F.coalesce(time_of_day(F.col(ts)), F.lit("00:00:00")).alias("time"),
-        escape_html(F.col("text")).alias("text_html"),
-        shown("source", "Stream").alias("source"),
-        shown("user", "anon").alias("user"),
+        f"coalesce({time_of_day(ts)}, {literal(DISPLAY_TIME)}) AS time",
+        f"{escape_html('text')} AS text_html",
+        f"{shown('source')} AS source",
+        f"{shown('user')} AS user",
         "emoji",
         "sentiment",
-        signed_text(F.col("polarity")).alias("polarity_text"),
+        f"{signed_text('polarity')} AS polarity_text",
         "confidence",
     )

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from ..functions.arithmetic import literal, lookup
 from ..functions.sentiment import is_blank, strip
 from ..functions.text import iso_utc, stable_hash
 from ..schemas import COMMAND, MESSAGE
@@ -20,52 +21,46 @@ DISPLAY_TIME = "00:00:00"
 SEND_ACTION = "SEND_TEXT"
 
 
-def message_id(number: Column) -> Column:
-    return F.format_string("msg_%05d", number)
+def message_id(number: str) -> str:
+    return f"format_string('msg_%05d', {number})"
 
 
-def event_id(ts: Column) -> Column:
+def event_id(ts: str) -> str:
     """Id from the clock. It repeats every 1000 seconds: no key for deduplication."""
-    return F.format_string("evt_%06d", F.pmod(F.unix_millis(ts), F.lit(1_000_000)))
+    return f"format_string('evt_%06d', pmod(unix_millis({ts}), 1000000))"
 
 
-def stand_in_user(key: Column) -> Column:
+def stand_in_user(key: str) -> str:
     """``user_100`` to ``user_999``, fixed by the key instead of drawn at random."""
-    return F.concat(F.lit("user_"), (stable_hash(key) % 900 + 100).cast("string"))
+    return f"concat('user_', {stable_hash(key)} % 900 + 100)"
 
 
-def _by_channel(table: dict[str, str], channel: Column) -> Column:
-    return F.element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), channel)
-
-
-def fill_defaults(messages: DataFrame, channel: Column) -> DataFrame:
+def fill_defaults(messages: DataFrame, channel: str) -> DataFrame:
     """Fill missing source, user and time as the message's channel does.
 
-    The socket sets its user on every message. The display also replaces empty text.
+    ``channel`` is an SQL expression. The socket sets its user on every message;
+    the display also replaces empty text.
     """
-    shown = channel == "display"
-    value = lambda name: F.when(shown & (F.col(name) == ""), None).otherwise(F.col(name))
-    fallback = F.coalesce(_by_channel(CHANNEL_USER, channel), stand_in_user(F.col("id")))
-    given = F.when(channel == "socket", None).otherwise(value("user"))
-    time = F.when(shown, F.coalesce(value("timestamp"), F.lit(DISPLAY_TIME))).otherwise(F.col("timestamp"))
-    return messages.withColumns(
-        {
-            "source": F.coalesce(value("source"), _by_channel(CHANNEL_SOURCE, channel)),
-            "user": F.coalesce(given, fallback),
-            "timestamp": time,
-        }
-    )
+    value = lambda name: f"CASE WHEN {channel} <> 'display' OR `{name}` <> '' THEN `{name}` END"
+    fallback = f"coalesce({lookup(CHANNEL_USER, channel)}, {stand_in_user('id')})"
+    time = f"CASE WHEN {channel} = 'display' THEN coalesce({value('timestamp')}, {literal(DISPLAY_TIME)}) ELSE `timestamp` END"
+    filled = {
+        "source": f"coalesce({value('source')}, {lookup(CHANNEL_SOURCE, channel)})",
+        "user": f"coalesce(CASE WHEN {channel} <> 'socket' THEN {value('user')} END, {fallback})",
+        "timestamp": time,
+    }
+    return messages.selectExpr(*[f"{filled[c]} AS `{c}`" if c in filled else f"`{c}`" for c in messages.columns])
 
 
 def nonblank(messages: DataFrame) -> DataFrame:
     """Drop blank texts and strip the others."""
-    return messages.where(~is_blank(F.col("text"))).withColumn("text", strip(F.col("text")))
+    return messages.where(f"NOT {is_blank('text')}").withColumn("text", F.expr(strip("text")))
 
 
-def build_messages(items: DataFrame, number: Column, ts: Column) -> DataFrame:
+def build_messages(items: DataFrame, number: str, ts: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Number and stamp items that have ``text``, ``source`` and ``user``."""
-    return items.select(
-        message_id(number).alias("id"), "text", "source", "user", iso_utc(ts).alias("timestamp")
+    return items.selectExpr(
+        f"{message_id(number)} AS id", "text", "source", "user", f"{iso_utc(ts)} AS timestamp", *keep
     )
 
 
@@ -78,9 +73,9 @@ def encode(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def commands(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Texts to score from socket messages (column ``value``); all else is ignored."""
     parsed = records.select(*keep, F.from_json(F.col("value").cast("string"), COMMAND).alias("c"))
-    return parsed.where(F.col("c.action") == SEND_ACTION).select(
+    return parsed.where(F.col("c.action") == SEND_ACTION).selectExpr(
         *keep,
-        F.coalesce("c.text", F.lit("")).alias("text"),
-        F.coalesce("c.source", F.lit(CHANNEL_SOURCE["socket"])).alias("source"),
-        F.lit(CHANNEL_USER["socket"]).alias("user"),
+        "coalesce(c.text, '') AS text",
+        f"coalesce(c.source, {literal(CHANNEL_SOURCE['socket'])}) AS source",
+        f"{literal(CHANNEL_USER['socket'])} AS user",
     )

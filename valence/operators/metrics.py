@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.arithmetic import mean_milli, percent, to_milli
+from ..functions.arithmetic import literal, mean_milli, percent, to_milli
 from ..functions.text import pointer_percent, polarity_band, signed_text
 
 CLASSES = ("Positive", "Negative", "Neutral")
@@ -14,21 +14,20 @@ def count_columns() -> list[Column]:
     """Additive counts: one partial row per task and group, whatever the input size."""
     return [
         F.count("*").alias("total"),
-        *[F.count_if(F.col("sentiment") == name).alias(name.lower()) for name in CLASSES],
-        F.sum(to_milli(F.col("polarity"))).alias("polarity_milli"),
+        *[F.expr(f"count_if(sentiment = {literal(name)}) AS {name.lower()}") for name in CLASSES],
+        F.expr(f"sum({to_milli('polarity')}) AS polarity_milli"),
     ]
 
 
 def finish_counts(counts: DataFrame, *keys: str) -> DataFrame:
     """Shares and average of summed counts."""
-    total = F.col("total")
     classes = [name.lower() for name in CLASSES]
-    return counts.select(
-        *keys,
+    return counts.selectExpr(
+        *[f"`{key}`" for key in keys],
         "total",
-        *[F.coalesce(name, F.lit(0)).cast("bigint").alias(name) for name in classes],
-        *[percent(F.coalesce(name, F.lit(0)), total).alias(f"{name}_pct") for name in classes],
-        mean_milli(F.col("polarity_milli"), total).alias("avg_polarity"),
+        *[f"coalesce({name}, 0L) AS {name}" for name in classes],
+        *[f"{percent(name, 'total')} AS {name}_pct" for name in classes],
+        f"{mean_milli('polarity_milli', 'total')} AS avg_polarity",
     )
 
 
@@ -41,23 +40,20 @@ def kpi(scored: DataFrame, *keys: str, ts: str | None = None) -> DataFrame:
 
 def kpi_display(metrics: DataFrame) -> DataFrame:
     """Display values of a metrics row."""
-    average = F.col("avg_polarity")
-    return metrics.select(
+    return metrics.selectExpr(
         "*",
-        signed_text(average).alias("polarity_text"),
-        polarity_band(average).alias("polarity_band"),
-        pointer_percent(average).alias("pointer_pct"),
+        f"{signed_text('avg_polarity')} AS polarity_text",
+        f"{polarity_band('avg_polarity')} AS polarity_band",
+        f"{pointer_percent('avg_polarity')} AS pointer_pct",
     )
 
 
 def distribution(scored: DataFrame) -> DataFrame:
     """Count and share per class. All three classes appear, also with no rows."""
     counts = scored.agg(*count_columns())
-    classes = F.array(
-        *[F.struct(F.lit(name).alias("sentiment"), F.col(name.lower()).alias("cnt")) for name in CLASSES]
-    )
-    rows = counts.select("total", F.inline(classes))
-    return rows.select("sentiment", "cnt", percent(F.col("cnt"), F.col("total")).alias("pct"))
+    classes = ", ".join(f"struct({literal(name)} AS sentiment, {name.lower()} AS cnt)" for name in CLASSES)
+    rows = counts.selectExpr("total", f"inline(array({classes}))")
+    return rows.selectExpr("sentiment", "cnt", f"{percent('cnt', 'total')} AS pct")
 
 
 def snapshot(scored: DataFrame, throughput_eps: Column, ts: str = "event_ts", k: int = 10) -> DataFrame:
@@ -67,30 +63,25 @@ def snapshot(scored: DataFrame, throughput_eps: Column, ts: str = "event_ts", k:
     once under each of its keywords: at most 149 groups reach the shuffle, and
     the lists below hold at most 148 entries.
     """
-    tagged = scored.select(
-        "sentiment", "polarity", ts,
-        F.explode_outer(F.concat(F.array(F.lit(None).cast("string")), F.col("keywords"))).alias("keyword"),
+    tagged = scored.selectExpr(
+        "sentiment", "polarity", ts, "explode_outer(concat(array(CAST(NULL AS STRING)), keywords)) AS keyword"
     )
     groups = tagged.groupBy("keyword").agg(*count_columns(), F.min(ts).alias("first_seen"))
-    is_total = F.col("keyword").isNull()
-    pick = [F.max(F.when(is_total, F.col(name))).alias(name) for name in ("positive", "negative", "neutral", "polarity_milli")]
-    ranked = F.when(
-        ~is_total, F.struct((-F.col("total")).alias("order"), "first_seen", "keyword", F.col("total").alias("cnt"))
-    )
+    total_of = lambda name: f"max(CASE WHEN keyword IS NULL THEN {name} END)"
+    entry = "CASE WHEN keyword IS NOT NULL THEN struct(-total AS order, first_seen, keyword, total AS cnt) END"
     row = groups.agg(
-        F.coalesce(F.max(F.when(is_total, F.col("total"))), F.lit(0)).alias("total"),
-        *pick,
-        F.slice(F.sort_array(F.collect_list(ranked)), 1, k).alias("top"),
+        F.expr(f"coalesce({total_of('total')}, 0L) AS total"),
+        *[F.expr(f"{total_of(name)} AS {name}") for name in ("positive", "negative", "neutral", "polarity_milli")],
+        F.expr(f"slice(sort_array(collect_list({entry})), 1, {k}) AS top"),
     )
     numbers = finish_counts(row, "top").withColumn("throughput_eps", throughput_eps)
     # A pair holds a text and a number, which no array type does: the list is put together as text.
-    opening = lambda text: F.substring(text, F.lit(1), F.length(text) - 1)
-    pair = lambda e: F.concat(opening(F.to_json(F.array(e["keyword"]))), F.lit(","), e["cnt"].cast("string"), F.lit("]"))
-    pairs = F.concat(F.lit("["), F.array_join(F.transform("top", pair), ","), F.lit("]"))
+    pair = "concat(rtrim(']', to_json(array(e.keyword))), ',', e.cnt, ']')"
     fields = [name for name in numbers.columns if name != "top"]
-    body = F.to_json(F.struct(*fields))
-    return numbers.select(
-        *fields, F.concat(opening(body), F.lit(',"top_keywords":'), pairs, F.lit("}")).alias("metrics")
+    body = f"rtrim('}}', to_json(struct({', '.join(fields)})))"
+    return numbers.selectExpr(
+        *fields,
+        f"concat({body}, ',\"top_keywords\":[', array_join(transform(top, e -> {pair}), ','), ']}}') AS metrics",
     )
 
 

@@ -11,13 +11,13 @@ _HASHES = 1 << 32
 
 def hash_sample(rows: DataFrame, key: str, fraction: float) -> DataFrame:
     """About ``fraction`` of the keys: a filter, so no sort and no shuffle."""
-    return rows.where(stable_hash(F.col(key)) < int(fraction * _HASHES))
+    return rows.where(f"{stable_hash(key)} < {int(fraction * _HASHES)}")
 
 
 def train_test_split(rows: DataFrame, key: str, train_percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """Split by key. A row's side depends on its key only, never on partitioning."""
-    in_train = stable_hash(F.col(key)) % 100 < train_percent
-    return rows.where(in_train), rows.where(~in_train)
+    in_train = f"{stable_hash(key)} % 100 < {train_percent}"
+    return rows.where(in_train), rows.where(f"NOT {in_train}")
 
 
 def _crossing(rows: DataFrame, prefix: Column, n: int) -> tuple[str | None, int]:
@@ -40,7 +40,7 @@ def exact_sample(rows: DataFrame, key: str, n: int) -> DataFrame:
     """
     if n <= 0:
         return rows.limit(0)
-    code = digest(F.col(key))
+    code = F.expr(digest(key))
     first, before = _crossing(rows, F.substring(code, 1, 4), n)
     if first is None:
         return rows

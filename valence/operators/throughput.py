@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.arithmetic import div, half_up_ratio
+from ..functions.arithmetic import half_up_ratio
 
 # Length of the trailing window in seconds, and the number of
 # events that the capped rate counts at most.
@@ -13,13 +13,10 @@ _MICROS = 1_000_000
 _CHUNK = 3600
 
 
-def rate_columns(n: Column) -> list[Column]:
+def rate_columns(n: str) -> list[str]:
     """Events per second, capped as the metrics show it, and uncapped."""
-    rate = lambda count: half_up_ratio(count, F.lit(SPAN), 100) / F.lit(100.0)
-    return [
-        rate(F.least(n, F.lit(CAP))).alias("throughput_eps"),
-        rate(n).alias("throughput_eps_uncapped"),
-    ]
+    rate = lambda count: f"{half_up_ratio(count, str(SPAN), 100)} / 100.0D"
+    return [f"{rate(f'least({n}, {CAP})')} AS throughput_eps", f"{rate(n)} AS throughput_eps_uncapped"]
 
 
 def throughput_asof(events: DataFrame, ts: str, asof: Column | None = None) -> DataFrame:
@@ -32,7 +29,7 @@ def throughput_asof(events: DataFrame, ts: str, asof: Column | None = None) -> D
         recent = events.where(F.col(ts) >= events.agg(F.max(ts) - span).scalar())
     else:
         recent = events.where((F.col(ts) >= asof - span) & (F.col(ts) <= asof))
-    return recent.agg(F.count("*").alias("events_60s")).select("events_60s", *rate_columns(F.col("events_60s")))
+    return recent.agg(F.count("*").alias("events_60s")).selectExpr("events_60s", *rate_columns("events_60s"))
 
 
 def throughput_series(events: DataFrame, ts: str, key: str) -> DataFrame:
@@ -45,44 +42,37 @@ def throughput_series(events: DataFrame, ts: str, key: str) -> DataFrame:
     second, at most a million cells of its own and a million of the second 60
     seconds ago, however many events there are.
     """
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    offset = F.pmod(micros, F.lit(_MICROS))
-    stamped = events.where(F.col(ts).isNotNull()).select(
-        key, div(micros - offset, F.lit(_MICROS)).alias("sec"), offset.alias("offset")
-    )
-    entry = lambda shift, own: F.struct(
-        (F.col("sec") + shift).alias("sec"), F.lit(own).alias("own"), F.lit(1 - own).alias("old")
+    micros = f"unix_micros(CAST(`{ts}` AS TIMESTAMP))"
+    offset = f"pmod({micros}, {_MICROS})"
+    stamped = events.where(F.col(ts).isNotNull()).selectExpr(
+        f"`{key}`", f"({micros} - {offset}) div {_MICROS} AS sec", f"{offset} AS offset"
     )
+    entries = f"array(struct(sec, 1 AS own, 0 AS old), struct(sec + {SPAN} AS sec, 0 AS own, 1 AS old))"
     cells = (
-        stamped.select(key, "offset", F.inline(F.array(entry(0, 1), entry(SPAN, 0))))
+        stamped.selectExpr(f"`{key}`", "offset", f"inline({entries})")
         .groupBy(key, "sec", "offset")
         .agg(F.sum("own").alias("own"), F.sum("old").alias("old"))
     )
     second = Window.partitionBy(key, "sec")
     so_far = second.orderBy("offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = cells.select(
-        key, "sec", "offset", "own",
-        (
-            F.sum("own").over(so_far) + F.sum("old").over(second) - F.sum("old").over(so_far) + F.col("old")
-        ).alias("at_ends"),
-    ).where(F.col("own") > 0)
+    at_ends = F.sum("own").over(so_far) + F.sum("old").over(second) - F.sum("old").over(so_far) + F.col("old")
+    ends = cells.select(key, "sec", "offset", "own", at_ends.alias("at_ends")).where("own > 0")
 
     seconds = stamped.groupBy(key, "sec").agg(F.count("*").alias("n"))
-    chunk = lambda sec: div(sec - F.pmod(sec, F.lit(_CHUNK)), F.lit(_CHUNK))
-    reach = F.array_distinct(F.array(chunk(F.col("sec")), chunk(F.col("sec") + SPAN - 1)))
+    chunk = lambda sec: f"({sec} - pmod({sec}, {_CHUNK})) div {_CHUNK}"
+    reach = f"array_distinct(array({chunk('sec')}, {chunk(f'(sec + {SPAN - 1})')}))"
     whole = Window.partitionBy(key, "chunk").orderBy("sec").rangeBetween(1 - SPAN, -1)
     between = (
-        seconds.select(key, "sec", "n", F.explode(reach).alias("chunk"))
+        seconds.selectExpr(f"`{key}`", "sec", "n", f"explode({reach}) AS chunk")
         .withColumn("between", F.coalesce(F.sum("n").over(whole), F.lit(0)))
-        .where(F.col("chunk") == chunk(F.col("sec")))
+        .where(f"chunk = {chunk('sec')}")
         .select(F.col(key).alias("between_key"), F.col("sec").alias("between_sec"), "between")
     )
     same = F.col(key).eqNullSafe(F.col("between_key")) & (F.col("sec") == F.col("between_sec"))
-    n = F.col("at_ends") + F.col("between")
-    return ends.join(between, same).select(
-        key,
-        F.timestamp_micros(F.col("sec") * _MICROS + F.col("offset")).alias("event_ts"),
-        F.col("own").alias("events"),
-        n.alias("events_60s"),
-        *rate_columns(n),
+    return ends.join(between, same).selectExpr(
+        f"`{key}`",
+        f"timestamp_micros(sec * {_MICROS} + offset) AS event_ts",
+        "own AS events",
+        "at_ends + `between` AS events_60s",
+        *rate_columns("(at_ends + `between`)"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.text import iso_utc
+from ..functions.arithmetic import lookup
 from ..operators import classifier
 from ..operators import messages as msg
 from ..schemas import MESSAGE
@@ -43,10 +43,7 @@ def json_parse(spark: SparkSession, folder: str) -> DataFrame:
 def message_build(spark: SparkSession, folder: str) -> DataFrame:
     """Numbered, time-stamped JSON records of the events, and their clock ids."""
     feed = event_feed(spark, folder).drop("id", "timestamp")
-    built = feed.select(
-        msg.message_id(F.col("event_id")).alias("id"), "text", "source", "user",
-        iso_utc(F.col("event_ts")).alias("timestamp"), msg.event_id(F.col("event_ts")).alias("event_key"),
-    )
+    built = msg.build_messages(feed, "event_id", "event_ts", keep=(f"{msg.event_id('event_ts')} AS event_key",))
     return msg.encode(built, keep=("event_key",))
 
 
@@ -69,10 +66,6 @@ _CHANNELS = {
 }
 
 
-def _channel(event_type: Column) -> Column:
-    return F.element_at(F.create_map(*[F.lit(x) for pair in _CHANNELS.items() for x in pair]), event_type)
-
-
 @query(f"""WITH {sql.FEED}, c AS (SELECT * FROM {sql.values(_CHANNELS.items())} AS v(event_type, channel)),
 g AS (SELECT id, text, channel, CASE WHEN event_id % 3 = 0 THEN source WHEN event_id % 3 = 1 THEN '' END AS source,
   CASE WHEN event_id % 2 = 0 THEN "user" END AS "user", CASE WHEN event_id % 5 > 0 THEN "timestamp" END AS "timestamp"
@@ -88,14 +81,15 @@ SELECT id, text, channel,
 def defaults_fill(spark: SparkSession, folder: str) -> DataFrame:
     """All events, with some fields taken away, filled as their channels do."""
     feed = event_feed(spark, folder)
-    n = F.col("event_id")
-    gaps = feed.select(
-        "id", "text", _channel(F.col("source")).alias("channel"),
-        F.when(n % 3 == 0, F.col("source")).when(n % 3 == 1, "").alias("source"),
-        F.when(n % 2 == 0, F.col("user")).alias("user"),
-        F.when(n % 5 > 0, F.col("timestamp")).alias("timestamp"),
+    gaps = feed.selectExpr(
+        "id",
+        "text",
+        f"{lookup(_CHANNELS, 'source')} AS channel",
+        "CASE WHEN event_id % 3 = 0 THEN source WHEN event_id % 3 = 1 THEN '' END AS source",
+        "CASE WHEN event_id % 2 = 0 THEN user END AS user",
+        "CASE WHEN event_id % 5 > 0 THEN timestamp END AS timestamp",
     )
-    return msg.fill_defaults(gaps, F.col("channel"))
+    return msg.fill_defaults(gaps, "channel")
 
 
 @query(f"""WITH {sql.FEED} SELECT id, {sql.strip('text')} AS text, source, "user", "timestamp" FROM feed

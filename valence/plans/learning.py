@@ -54,7 +54,7 @@ def split_counts(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id")
     labels = table(spark, folder, "labels").select("doc_id", "quality")
     known = F.col("quality").isNotNull()
-    in_train = sampling.stable_hash(F.col("doc_id")) % 100 < 80
+    in_train = F.expr(f"{sampling.stable_hash('doc_id')} % 100 < 80")
     return documents.join(labels, "doc_id", "left").agg(
         F.count("*").alias("raw"),
         F.count_if(known).alias("labelled"),

@@ -92,8 +92,7 @@ def throughput_series(spark: SparkSession, folder: str) -> DataFrame:
 _MARKER = "CAST(json_extract(props, '$.k') AS INTEGER) = 0"
 
 
-def is_reset(props: str = "props"):
-    return F.get_json_object(props, "$.k") == "0"
+IS_RESET = "coalesce(get_json_object(props, '$.k') = '0', false)"
 
 
 @query(f"""WITH {sql.SCORED_FEED}, r AS (SELECT max(ts) AS reset_at FROM events WHERE {_MARKER}),
@@ -101,7 +100,7 @@ since AS (SELECT scored.* FROM scored, r WHERE event_ts > coalesce(reset_at, TIM
 {sql.kpi('since')}""")
 def metrics_since_reset(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
-    rows = m.after_reset(events, events.where(is_reset()), "ts")
+    rows = m.after_reset(events, events.where(IS_RESET), "ts")
     return m.kpi(analyze(feed_of(rows)))
 
 
@@ -154,7 +153,7 @@ def polarity_timeline(spark: SparkSession, folder: str) -> DataFrame:
     """Time and polarity of the newest events, oldest first."""
     rows = newest_analyzed(spark, folder, newest.TIMELINE_SIZE)
     return rows.orderBy("event_ts", "event_id").select(
-        F.col("event_ts").cast(_NTZ).alias("event_ts"), time_of_day(F.col("event_ts")).alias("time"), "polarity"
+        F.col("event_ts").cast(_NTZ).alias("event_ts"), F.expr(time_of_day("event_ts")).alias("time"), "polarity"
     )
 
 
@@ -190,7 +189,7 @@ def metrics_payload(spark: SparkSession, folder: str) -> DataFrame:
 
 def _newest_json(spark: SparkSession, folder: str) -> DataFrame:
     rows = newest_analyzed(spark, folder, newest.HISTORY_SIZE)
-    return event_json(rows, time_of_day(F.col("event_ts")), "event_ts", "event_id")
+    return event_json(rows, F.expr(time_of_day("event_ts")), "event_ts", "event_id")
 
 
 @query(f"""{_METRICS}, {_NEWEST(newest.HISTORY_SIZE)}

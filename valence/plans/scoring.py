@@ -31,7 +31,7 @@ def flat_score(df: DataFrame, *keep: str) -> DataFrame:
 
 def analyzed_feed(spark: SparkSession, folder: str, rounding: str = "exact") -> DataFrame:
     return analyze(
-        spread(event_feed(spark, folder)), processed_at=F.col("event_ts"), keep=("event_ts", "event_id"), rounding=rounding
+        event_feed(spark, folder), processed_at=F.col("event_ts"), keep=("event_ts", "event_id"), rounding=rounding
     )
 
 

@@ -13,7 +13,7 @@ from ..streaming import jobs
 from . import sql
 from .learning import _fit
 from .registry import query
-from .reporting import _KEYWORDS, _MARKER, is_reset
+from .reporting import _KEYWORDS, _MARKER, IS_RESET
 
 _NTZ = "timestamp_ntz"
 
@@ -126,7 +126,7 @@ def reset_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Metrics per source since its last reset; an event whose property k is 0 is a reset message of its source."""
     out = work_dir(spark, "reset-stream")
     events = table_stream(spark, folder, "events")
-    feed = feed_of(events, keep=(F.coalesce(is_reset(), F.lit(False)).alias("is_reset"),))
+    feed = feed_of(events, keep=(f"{IS_RESET} AS is_reset",))
     scored = analyze(feed, keep=("event_ts", "is_reset"))
     slim = scored.select("source", "event_ts", "is_reset", "sentiment", "polarity")
     jobs.start_batches(slim, jobs.reset_sinks(out), f"{out}/checkpoint", once=True).awaitTermination()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.arithmetic import literal
 from ..functions.sentiment import SPACE, strip
 from ..operators.messages import stand_in_user
 from ..schemas import CORPUS
@@ -20,8 +21,8 @@ def clean_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """
     # The test reads a line up to its first visible character; the line is stripped once, after it.
     kept = lines.where(F.col("value").rlike(f"^[{SPACE}]*[^{SPACE}#]"))
-    text = kept.select(*keep, strip(F.col("value")).alias("text"))
-    return text.select("*", F.lit(LINE_SOURCE).alias("source"), stand_in_user(F.col("text")).alias("user"))
+    text = kept.selectExpr(*keep, f"{strip('value')} AS text")
+    return text.selectExpr("*", f"{literal(LINE_SOURCE)} AS source", f"{stand_in_user('text')} AS user")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.arithmetic import literals
 from ..functions.text import iso_utc
 from ..operators.messages import message_id
 from .samples import FEED_PHRASES
@@ -13,30 +14,25 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def feed_of(events: DataFrame, keep: tuple[Column, ...] = ()) -> DataFrame:
+def feed_of(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Messages of an event table: one per row, with a phrase chosen by ``event_id``.
 
     The phrase list is a folded array literal, so the lookup needs no join.
     """
-    phrases = F.array(*[F.lit(p) for p in FEED_PHRASES])
-    place = F.pmod(F.col("event_id"), F.lit(len(FEED_PHRASES))).cast("int")
-    event_ts = F.col("ts").cast("timestamp")
-    return events.select(
-        message_id(F.col("event_id")).alias("id"),
-        F.get(phrases, place).alias("text"),
-        F.col("event_type").alias("source"),
-        F.concat(F.lit("user_"), F.col("user_id")).alias("user"),
-        iso_utc(event_ts).alias("timestamp"),
-        event_ts.alias("event_ts"),
+    place = f"CAST(pmod(event_id, {len(FEED_PHRASES)}) AS INT)"
+    event_ts = "CAST(ts AS TIMESTAMP)"
+    return events.selectExpr(
+        f"{message_id('event_id')} AS id",
+        f"get(array({literals(FEED_PHRASES)}), {place}) AS text",
+        "event_type AS source",
+        "concat('user_', user_id) AS user",
+        f"{iso_utc(event_ts)} AS timestamp",
+        f"{event_ts} AS event_ts",
         "event_id",
         *keep,
     )
 
 
-def event_feed(spark: SparkSession, folder: str) -> DataFrame:
-    return feed_of(table(spark, folder, "events"))
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores where a scan has fewer splits than cores; no change on large input.
 
@@ -44,3 +40,7 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def event_feed(spark: SparkSession, folder: str) -> DataFrame:
+    return feed_of(spread(table(spark, folder, "events")))
