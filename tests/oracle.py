@@ -20,7 +20,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 def plain(value):
     if isinstance(value, (decimal.Decimal, float)):
-        return round(float(value), 9)
+        return float(value)
     if isinstance(value, datetime.datetime):
         return value.replace(tzinfo=None).isoformat()
     return value

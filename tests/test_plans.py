@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as driver
 from valence.functions.sentiment import with_sentiment
+from valence.operators import terms
 from valence.operators.throughput import throughput_series
 from valence.sources.tables import feed_of, table
 
@@ -58,7 +59,7 @@ def test_newest_rows_are_chosen_before_scoring_by_the_time_column(spark):
 
 
 def test_metrics_combine_before_the_shuffle(spark):
-    for name in ("kpi_by_source", "keyword_counts", "throughput_series", "tf_exact"):
+    for name in ("kpi_by_source", "keyword_counts", "throughput_series", "idf_exact"):
         plan = physical(driver.queries()[name](spark, FOLDER))
         assert "SortAggregate" not in plan and "partial_" in plan, name
 
@@ -71,6 +72,11 @@ def test_series_windows_are_keyed_by_short_spans(spark):
     assert "hashpartitioning(event_type" in plan and not re.search(r"hashpartitioning\(event_type#\d+, \d+\)", plan)
 
 
+def test_term_counts_need_no_shuffle(spark):
+    plan = physical(terms.term_counts(table(spark, FOLDER, "documents"), "doc_id"))
+    assert "Exchange" not in plan
+
+
 def test_ml_words_are_taken_once(spark):
     assert optimized(driver.queries()["tf_exact"](spark, FOLDER)).count("UDF(UDF(") == 1
 

@@ -22,7 +22,8 @@ SEND_ACTION = "SEND_TEXT"
 
 
 def message_id(number: str) -> str:
-    return f"format_string('msg_%05d', {number})"
+    """At least five digits. Padding by hand takes a fraction of the time of ``format_string``."""
+    return f"concat('msg_', lpad({number}, greatest(5, length({number})), '0'))"
 
 
 def event_id(ts: str) -> str:

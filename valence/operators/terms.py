@@ -4,14 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.arithmetic import bind
 from .classifier import content_words
 
 
+def _runs(words: str) -> str:
+    """Distinct words of an array with their counts: sorted, equal words are neighbours."""
+    # Of an empty array the sequence is [0, -1], places without a word; they give null and are left out.
+    starts = "filter(sequence(0, size(sorted) - 1), i -> get(sorted, i) <> get(sorted, i - 1) OR (i = 0 AND size(sorted) > 0))"
+    term = "struct(get(sorted, start) AS term, CAST(coalesce(get(starts, n + 1), size(sorted)) - start AS BIGINT) AS tf)"
+    return bind("sorted", f"sort_array({words})", bind("starts", starts, f"transform(starts, (start, n) -> {term})"))
+
+
 def term_counts(documents: DataFrame, key: str) -> DataFrame:
-    """``tf`` of each term of each document; the documents' terms are summed before the shuffle."""
+    """``tf`` of each term of each document (row), counted within the row: no shuffle."""
+    words = content_words(documents.select(key, "text"))
     # The outer form, as Spark derives a filter on the array from the plain one and takes the words twice.
-    terms = content_words(documents.select(key, "text")).select(key, F.explode_outer("filtered").alias("term"))
-    return terms.where(F.col("term").isNotNull()).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    counted = words.selectExpr(f"`{key}`", f"inline_outer({_runs('filtered')})")
+    return counted.where(F.col("term").isNotNull())
 
 
 def idf(tf: DataFrame, documents: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ SELECT doc_id, text, 'FileStream' AS source, {_STAND_IN('text')} AS "user" FROM
 WHERE length(text) > 0 AND NOT starts_with(text, '#')""")
 def text_lines_clean(spark: SparkSession, folder: str) -> DataFrame:
     """Every line of the documents, cleaned as lines of a text file."""
-    lines = table(spark, folder, "documents").select("doc_id", F.explode_outer(F.split("text", "\n")).alias("value"))
+    lines = spread(table(spark, folder, "documents")).select("doc_id", F.explode_outer(F.split("text", "\n")).alias("value"))
     return files.clean_lines(lines, keep=("doc_id",))
 
 
