@@ -146,6 +146,11 @@ def test_score_texts_defaults(spark):
     assert (row.source, row.user, row.analysis.polarity) == ("ManualInput", "LiveTester", 0.655)
 
 
+def test_nonblank_trims_as_a_browser(spark):
+    rows = spark.createDataFrame([(t,) for t in (" \ufeff a b\u00a0\n", "\ufeff", "  ", None, "\x1c")], "text string")
+    assert [r.text for r in messages.nonblank(rows).collect()] == ["a b", "\x1c"]
+
+
 def test_commands(spark):
     values = ['{"action":"SEND_TEXT","text":"a","source":"S","user":"x"}', '{"action":"SEND_TEXT"}', '{"action":"PING"}', "{", "[]", None]
     rows = messages.commands(spark.createDataFrame([(v,) for v in values], "value string")).collect()

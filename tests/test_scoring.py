@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from valence.functions import lexicon as lx
 from valence.functions.arithmetic import round_binary
-from valence.functions.sentiment import register_sql, tokens, with_sentiment
+from valence.functions.sentiment import register_sql, strip, tokens, with_sentiment
 from valence.sources.samples import FEED_PHRASES
 
 FIXTURES = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "FIXTURES.md")
@@ -81,6 +81,16 @@ def test_edge_cases(spark):
     assert got[5] == ("Neutral", 0.0, 65.0, 0.0, 0.0, [])
 
 
+def test_long_texts(spark):
+    chain, word = "a-" * 200_000 + "a", "x" * 1_000_000
+    texts = [chain + " good", word + " not bad", "-" * 500_000 + "good", " " * 500_000 + "good" + " " * 500_000 + ".", "good " * 100_000]
+    got = run(spark, texts)
+    assert [g[5] for g in got] == [["good"], ["not bad"], ["good"], ["good"], ["good"]]
+    assert got[4][3] == 70_000.0
+    spaces = spark.createDataFrame([("x" + " " * 500_000 + "y" + " " * 500_000,)], "t string")
+    assert spaces.selectExpr(f"length({strip('t')}) AS n").first().n == 500_002
+
+
 def test_blank_text_has_a_label(spark):
     row = with_sentiment(spark.createDataFrame([(None,)], "text string")).first()
     assert row.analysis.label == "\U0001F610 Neutral"

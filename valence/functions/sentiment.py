@@ -19,7 +19,9 @@ from .arithmetic import bind, half_up_ratio, literal, literals, lookup, round_bi
 # A token starts and ends with a letter, digit or underscore; apostrophes and
 # hyphens may join its parts. Possessive quantifiers keep the match linear.
 TOKEN = r"[\p{L}\p{N}_]++(?:['-]++[\p{L}\p{N}_]++)*+"
+# White space as Python strips it, and as browsers trim it.
 SPACE = r"\s\p{Z}\x1C-\x1F\x85"
+BROWSER_SPACE = r"\s\p{Z}\uFEFF"
 
 SCORE_FIELDS = (
     "sentiment", "emoji", "label", "polarity", "confidence", "positive_score", "negative_score", "keywords",
@@ -31,14 +33,14 @@ def tokens(text: str) -> str:
     return f"regexp_extract_all(lower({text}), {literal(TOKEN)}, 0)"
 
 
-def strip(text: str) -> str:
-    """Remove white space of any kind from both ends."""
-    pattern = f"^[{SPACE}]++|(?<![{SPACE}])[{SPACE}]++$"
+def strip(text: str, space: str = SPACE) -> str:
+    """Remove white space from both ends; a run inside the text is passed once."""
+    pattern = f"^[{space}]++|(?<![{space}])[{space}]++$"
     return f"regexp_replace({text}, {literal(pattern)}, '')"
 
 
-def is_blank(text: str) -> str:
-    return f"coalesce({text} RLIKE {literal(f'^[{SPACE}]*$')}, true)"
+def is_blank(text: str, space: str = SPACE) -> str:
+    return f"coalesce({text} RLIKE {literal(f'^[{space}]*+$')}, true)"
 
 
 def contains_any(text: str, parts: list[str]) -> str:

@@ -7,9 +7,6 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import functions as F
-
-from ..functions.text import event_time
 from ..operators import keywords, latest, metrics, throughput
 from ..session import build_session
 from ..sinks.writers import preview
@@ -21,7 +18,7 @@ def main(argv: list[str] | None = None) -> str:
     parser.add_argument("--rows", type=int, default=latest.FEED_SIZE)
     args = parser.parse_args(argv)
     spark = build_session("report")
-    scored = spark.read.parquet(args.scored).withColumn("event_ts", F.expr(event_time("input_timestamp")))
+    scored = spark.read.parquet(args.scored)
     rate = throughput.throughput_asof(scored, "event_ts").select("throughput_eps").scalar()
     snapshot = metrics.snapshot(scored, rate).select("metrics").first().metrics
     print(snapshot)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.arithmetic import literal, lookup
-from ..functions.sentiment import is_blank, strip
+from ..functions.sentiment import BROWSER_SPACE, is_blank, strip
 from ..functions.text import iso_utc, stable_hash
 from ..schemas import COMMAND, MESSAGE
 
@@ -54,8 +54,9 @@ def fill_defaults(messages: DataFrame, channel: str) -> DataFrame:
 
 
 def nonblank(messages: DataFrame) -> DataFrame:
-    """Drop blank texts and strip the others."""
-    return messages.where(f"NOT {is_blank('text')}").withColumn("text", F.expr(strip("text")))
+    """Drop blank texts and trim the others, as a browser does before it sends a text."""
+    kept = messages.where(f"NOT {is_blank('text', BROWSER_SPACE)}")
+    return kept.withColumn("text", F.expr(strip("text", BROWSER_SPACE)))
 
 
 def build_messages(items: DataFrame, number: str, ts: str, keep: tuple[str, ...] = ()) -> DataFrame:

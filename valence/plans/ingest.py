@@ -92,8 +92,8 @@ def defaults_fill(spark: SparkSession, folder: str) -> DataFrame:
     return msg.fill_defaults(gaps, "channel")
 
 
-@query(f"""WITH {sql.FEED} SELECT id, {sql.strip('text')} AS text, source, "user", "timestamp" FROM feed
-WHERE NOT {sql.blank('text')}""")
+@query(f"""WITH {sql.FEED} SELECT id, {sql.strip('text', sql.BROWSER_SPACE)} AS text, source, "user", "timestamp"
+FROM feed WHERE NOT {sql.blank('text', sql.BROWSER_SPACE)}""")
 def nonblank_filter(spark: SparkSession, folder: str) -> DataFrame:
     return msg.nonblank(event_feed(spark, folder).select(*MESSAGE.names))
 

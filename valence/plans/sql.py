@@ -9,6 +9,7 @@ from ..sources.samples import FEED_PHRASES, PRESET_SAMPLES, PRODUCER_SAMPLES
 TOKEN = r"[\p{L}\p{N}_](?:[\p{L}\p{N}_''-]*[\p{L}\p{N}_])?"
 # The \x{..} ranges are control characters that count as white space.
 SPACE = r"\s\p{Z}\x{0B}\x{1C}-\x{1F}\x{85}"
+BROWSER_SPACE = r"\s\p{Z}\x{0B}\x{FEFF}"
 ISO = "replace(strftime({0}, '%Y-%m-%dT%H:%M:%S.%f'), '.000000', '') || 'Z'"
 
 
@@ -21,12 +22,12 @@ def values(rows) -> str:
     return "(VALUES " + ", ".join("(" + ", ".join(cell(x) for x in row) + ")" for row in rows) + ")"
 
 
-def strip(text: str) -> str:
-    return f"regexp_replace({text}, '^[{SPACE}]+|[{SPACE}]+$', '', 'g')"
+def strip(text: str, space: str = SPACE) -> str:
+    return f"regexp_replace({text}, '^[{space}]+|[{space}]+$', '', 'g')"
 
 
-def blank(text: str) -> str:
-    return f"coalesce(regexp_full_match({text}, '[{SPACE}]*'), true)"
+def blank(text: str, space: str = SPACE) -> str:
+    return f"coalesce(regexp_full_match({text}, '[{space}]*'), true)"
 
 
 FEED = f"""
