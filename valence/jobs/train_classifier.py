@@ -9,7 +9,7 @@ import argparse
 
 from ..operators import classifier, sampling
 from ..session import build_session
-from ..sinks.writers import preview
+from ..sinks.writers import preview, stage
 from ..sources.files import read_corpus
 
 
@@ -27,7 +27,8 @@ def main(argv: list[str] | None = None) -> float:
     spark = build_session("train classifier")
     corpus = read_corpus(spark, args.corpus)
     chosen = sampling.exact_sample(corpus, "id", args.rows) if args.rows else corpus
-    rows = classifier.binarize(chosen)
+    # Fit and evaluation pass over the rows many times: read the CSV for the sample only.
+    rows = stage(classifier.binarize(chosen).select("id", "text", "label"), "training-rows")
     train, test = sampling.train_test_split(rows, "id", args.train_percent)
     model = classifier.fit(train)
     classifier.save(model, args.model)

@@ -37,8 +37,8 @@ def throughput_series(events: DataFrame, ts: str, key: str) -> DataFrame:
 
     A window over all rows of a key would put a hot key into one task. Here the
     count is a sum of three parts: the rest of the second 60 seconds ago, the 59
-    whole seconds between, and the current second so far. Rows are first summed
-    per key and microsecond before any shuffle, so a group is one key and one
+    whole seconds between, and the current second so far. Rows are summed per
+    key and microsecond before any shuffle, so a group is one key and one
     second, at most a million cells of its own and a million of the second 60
     seconds ago, however many events there are.
     """
@@ -47,18 +47,20 @@ def throughput_series(events: DataFrame, ts: str, key: str) -> DataFrame:
     stamped = events.where(F.col(ts).isNotNull()).selectExpr(
         f"`{key}`", f"({micros} - {offset}) div {_MICROS} AS sec", f"{offset} AS offset"
     )
-    entries = f"array(struct(sec, 1 AS own, 0 AS old), struct(sec + {SPAN} AS sec, 0 AS own, 1 AS old))"
-    cells = (
-        stamped.selectExpr(f"`{key}`", "offset", f"inline({entries})")
-        .groupBy(key, "sec", "offset")
-        .agg(F.sum("own").alias("own"), F.sum("old").alias("old"))
-    )
+    cells = stamped.groupBy(key, "sec", "offset").agg(F.count("*").alias("n"))
+    entries = f"array(struct(sec, n AS own, 0L AS old), struct(sec + {SPAN} AS sec, 0L AS own, n AS old))"
     second = Window.partitionBy(key, "sec")
-    so_far = second.orderBy("offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    at_ends = F.sum("own").over(so_far) + F.sum("old").over(second) - F.sum("old").over(so_far) + F.col("old")
-    ends = cells.select(key, "sec", "offset", "own", at_ends.alias("at_ends")).where("own > 0")
+    # At the same offset the second's own cell comes first, so the running sum
+    # of old cells leaves out the one that still lies inside the window.
+    so_far = second.orderBy("offset", "old").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at_ends = F.sum("own").over(so_far) + F.sum("old").over(second) - F.sum("old").over(so_far)
+    ends = (
+        cells.selectExpr(f"`{key}`", "offset", f"inline({entries})")
+        .select(key, "sec", "offset", "own", at_ends.alias("at_ends"))
+        .where("own > 0")
+    )
 
-    seconds = stamped.groupBy(key, "sec").agg(F.count("*").alias("n"))
+    seconds = cells.groupBy(key, "sec").agg(F.sum("n").alias("n"))
     chunk = lambda sec: f"({sec} - pmod({sec}, {_CHUNK})) div {_CHUNK}"
     reach = f"array_distinct(array({chunk('sec')}, {chunk(f'(sec + {SPAN - 1})')}))"
     whole = Window.partitionBy(key, "chunk").orderBy("sec").rangeBetween(1 - SPAN, -1)

@@ -56,7 +56,7 @@ SELECT doc_id, text, 'FileStream' AS source, {_STAND_IN('text')} AS "user" FROM
 WHERE length(text) > 0 AND NOT starts_with(text, '#')""")
 def text_lines_clean(spark: SparkSession, folder: str) -> DataFrame:
     """Every line of the documents, cleaned as lines of a text file."""
-    lines = spread(table(spark, folder, "documents")).select("doc_id", F.explode_outer(F.split("text", "\n")).alias("value"))
+    lines = spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id").select("doc_id", F.explode_outer(F.split("text", "\n")).alias("value"))
     return files.clean_lines(lines, keep=("doc_id",))
 
 
@@ -139,7 +139,7 @@ def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with a label; the target is 4 where the quality is 1, else 0."""
     labels = table(spark, folder, "labels").select("doc_id", (F.col("quality") * 4).alias("target"), "toxic")
     documents = table(spark, folder, "documents").select("doc_id", "text", "source")
-    return spread(documents).join(labels, "doc_id")
+    return spread(documents, "doc_id").join(labels, "doc_id")
 
 
 def _one_line(text: str) -> Column:

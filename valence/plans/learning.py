@@ -85,7 +85,7 @@ idf AS (SELECT term, count(*) AS df, ln(((SELECT count(*) FROM documents) + 1) /
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents").select("doc_id", "text"))
+    return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
 
 
 @query(f"WITH {_WORDS} SELECT doc_id, len(words) AS n_words, array_to_string(words, ' ') AS words FROM f")

@@ -60,7 +60,7 @@ def scored_feed_binary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {sql.score('documents', 'doc_id')} SELECT k AS doc_id, {sql.SCORE_COLUMNS} FROM score")
 def scored_documents(spark: SparkSession, folder: str) -> DataFrame:
-    documents = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    documents = spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
     return flat_score(with_sentiment(documents), "doc_id")
 
 
@@ -72,7 +72,7 @@ _TURN_KEY = "conv_id || '_' || turn"
     f"FROM conversations JOIN score ON k = {_TURN_KEY}"
 )
 def scored_conversations(spark: SparkSession, folder: str) -> DataFrame:
-    turns = spread(table(spark, folder, "conversations").select("conv_id", "turn", "text"))
+    turns = spread(table(spark, folder, "conversations").select("conv_id", "turn", "text"), "conv_id", "turn")
     return flat_score(with_sentiment(turns), "conv_id", "turn")
 
 
@@ -83,7 +83,7 @@ def scored_conversations(spark: SparkSession, folder: str) -> DataFrame:
 )
 def adhoc_score(spark: SparkSession, folder: str) -> DataFrame:
     """Conversation turns as score requests; those of users give no source."""
-    requests = spread(table(spark, folder, "conversations")).select(
+    requests = spread(table(spark, folder, "conversations"), "conv_id", "turn").select(
         "conv_id", "turn", "text", F.nullif(F.col("role"), F.lit("user")).alias("source")
     )
     return flat_score(score_texts(requests), "conv_id", "turn", "source", "user")

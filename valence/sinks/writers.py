@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..session import work_dir
 from ..sources.messages import INPUT_TOPIC, kafka_options
 
 
@@ -18,6 +19,13 @@ def write_table(rows: DataFrame, path: str, partition_by: str | None = None, mod
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 
 
+def stage(rows: DataFrame, label: str) -> DataFrame:
+    """Write rows to the shared work folder and read them back: later passes start there, also after a lost executor."""
+    path = work_dir(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def preview(rows: DataFrame, n: int = 20) -> None:
     """Print ``n`` rows in full."""
     rows.show(n, truncate=False)

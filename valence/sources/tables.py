@@ -33,14 +33,16 @@ def feed_of(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use all cores where a scan has fewer splits than cores; no change on large input.
 
-    Only for frames without a shuffle: to count partitions, Spark plans the frame.
+    ``keys`` name unique columns; without them Spark sorts each partition first,
+    so that a repeated task deals out its rows in the same way. Only for frames
+    without a shuffle: to count partitions, Spark plans the frame.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def event_feed(spark: SparkSession, folder: str) -> DataFrame:
-    return feed_of(spread(table(spark, folder, "events")))
+    return feed_of(spread(table(spark, folder, "events"), "event_id"))
