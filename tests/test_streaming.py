@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -52,8 +53,11 @@ def test_rows_metrics_and_keywords_equal_batch_across_restarts(spark, tmp_path):
             jobs.metrics_stream(rows), jobs.batch_folder(f"{out}/metrics"), f"{out}/c2", "complete", True
         ).awaitTermination()
         jobs.start_batches(
-            jobs.keyword_stream(rows), jobs.batch_folder(f"{out}/keywords"), f"{out}/c3", "complete", True
+            jobs.keyword_stream(rows), jobs.batch_folder(f"{out}/keywords"), f"{out}/c3", "complete", True,
+            state_partitions=jobs.KEYWORD_PARTITIONS,
         ).awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert len(os.listdir(f"{out}/c3/state/0")) == jobs.KEYWORD_PARTITIONS + 1  # and _metadata
     want = batch(spark, folder)
     got = spark.read.parquet(f"{out}/rows")
     columns = [c for c in want.columns if c != "processed_at"]

@@ -95,7 +95,10 @@ def keyword_stream(spark: SparkSession, folder: str) -> DataFrame:
     out = work_dir(spark, "keyword-stream")
     counts = jobs.keyword_stream(analyzed_stream(spark, folder))
     write = jobs.batch_folder(f"{out}/rows")
-    jobs.start_batches(counts, write, f"{out}/checkpoint", mode="complete", once=True).awaitTermination()
+    jobs.start_batches(
+        counts, write, f"{out}/checkpoint", mode="complete", once=True,
+        state_partitions=jobs.KEYWORD_PARTITIONS,
+    ).awaitTermination()
     rows = jobs.read_snapshot(spark, f"{out}/rows")
     return rows.withColumn("first_seen", F.col("first_seen").cast(_NTZ))
 

@@ -15,6 +15,9 @@ from ..sources.messages import RESULT_TOPIC, kafka_options
 
 Sink = Callable[[DataFrame, int], None]
 
+# At most 148 keywords: more state partitions would be empty.
+KEYWORD_PARTITIONS = 4
+
 
 def start(
     stream: DataFrame,
@@ -47,9 +50,31 @@ def start_kafka(analyzed: DataFrame, checkpoint: str, topic: str = RESULT_TOPIC,
     return start(encode_analyzed(analyzed), "kafka", checkpoint, **kafka_options(topic, servers), **kwargs)
 
 
-def start_batches(stream: DataFrame, write: Sink, checkpoint: str, mode: str = "append", once: bool = False):
+def start_batches(
+    stream: DataFrame,
+    write: Sink,
+    checkpoint: str,
+    mode: str = "append",
+    once: bool = False,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Start a query that hands each batch to ``write``.
+
+    ``state_partitions`` splits the state of this query only; a checkpoint keeps
+    the first value. State of a few keys needs few, not the session's number.
+    """
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    writer = writer.trigger(availableNow=True) if once else writer
+    if state_partitions is None:
+        return writer.start()
+    conf = stream.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        # The query takes a copy of the settings as it starts.
+        return writer.start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
 
 
 def fan_out(*sinks: Sink) -> Sink:
