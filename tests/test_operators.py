@@ -223,7 +223,7 @@ def test_terms(spark):
     tf = terms.term_counts(docs, "doc_id")
     got = {(r.doc_id, r.term): r.tf for r in tf.collect()}
     assert got == {(1, "cat"): 2, (1, ""): 1, (2, "dog"): 1, (2, "cat"): 1, (4, ""): 1}
-    weights = {r.term: r.idf for r in terms.idf(tf, docs).collect()}
+    weights = {r.term: r.idf for r in terms.idf(docs).collect()}
     assert weights["cat"] == pytest.approx(math.log(4 / 3)) and weights["dog"] == pytest.approx(math.log(2))
 
 

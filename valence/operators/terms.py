@@ -24,10 +24,14 @@ def term_counts(documents: DataFrame, key: str) -> DataFrame:
     return counted.where(F.col("term").isNotNull())
 
 
-def idf(tf: DataFrame, documents: DataFrame) -> DataFrame:
-    """``ln((documents + 1) / (df + 1))`` per term. The document count is a scalar subquery."""
+def idf(documents: DataFrame) -> DataFrame:
+    """``ln((documents + 1) / (df + 1))`` per term. The document count is a scalar subquery.
+
+    A document hands on each of its words once, and each task one row per term.
+    """
     n_docs = documents.agg(F.count("*")).scalar()
-    df = tf.groupBy("term").agg(F.count("*").alias("df"))
+    terms = content_words(documents.select("text")).selectExpr("explode_outer(array_distinct(filtered)) AS term")
+    df = terms.where(F.col("term").isNotNull()).groupBy("term").agg(F.count("*").alias("df"))
     return df.select("term", "df", F.ln((n_docs + 1) / (F.col("df") + 1)).alias("idf"))
 
 

@@ -107,14 +107,13 @@ def tf_exact(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {_TF} SELECT term, df, round(idf, 9) AS idf FROM idf")
 def idf_exact(spark: SparkSession, folder: str) -> DataFrame:
-    tf = terms.term_counts(_documents(spark, folder), "doc_id")
-    return terms.idf(tf, table(spark, folder, "documents")).withColumn("idf", F.round("idf", 9))
+    return terms.idf(_documents(spark, folder)).withColumn("idf", F.round("idf", 9))
 
 
 @query(f"WITH {_TF} SELECT doc_id, term, tf, round(idf, 9) AS idf, round(tf * idf, 9) AS tfidf FROM tf JOIN idf USING (term)")
 def tfidf_exact(spark: SparkSession, folder: str) -> DataFrame:
-    tf = terms.term_counts(_documents(spark, folder), "doc_id")
-    weighted = terms.tfidf(tf, terms.idf(tf, table(spark, folder, "documents")))
+    documents = _documents(spark, folder)
+    weighted = terms.tfidf(terms.term_counts(documents, "doc_id"), terms.idf(documents))
     return weighted.select("doc_id", "term", "tf", F.round("idf", 9).alias("idf"), F.round("tfidf", 9).alias("tfidf"))
 
 
