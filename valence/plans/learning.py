@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-
-import pyspark
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.sentiment import with_sentiment
+from ..functions.stop_words import ENGLISH
 from ..operators import classifier, sampling, terms
 from ..session import work_dir
 from ..sources.tables import spread, table
@@ -63,14 +59,7 @@ def split_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def english_stop_words() -> list[str]:
-    """Spark ML's English stop words, read from its jar, so that the SQL needs no session."""
-    jar = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))[0]
-    with zipfile.ZipFile(jar) as z:
-        return z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8").split("\n")
-
-
-_STOP = "[" + ", ".join(sql.quote(w.strip()) for w in english_stop_words() if w.strip()) + "]"
+_STOP = "[" + ", ".join(map(sql.quote, ENGLISH)) + "]"
 # The trailing empty strings of a split do not count as words.
 _WORDS = f"""raw AS (SELECT doc_id, string_split_regex(lower(text), '[ \\t\\n\\x0B\\f\\r]') AS s FROM documents),
 w AS (SELECT doc_id, CASE WHEN coalesce(len(list_filter(s, lambda x: x <> '')), 0) = 0
