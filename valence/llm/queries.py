@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..plans.registry import Query
 from ..session import prepare
 from ..sources.tables import table
-from . import fingerprints, near_dedup, sharding
+from . import decontaminate, fingerprints, language_id, near_dedup, packing, sharding, toxicity
+from .common import fold, held_out
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -25,12 +26,35 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", "text")
 
 
+def digests(pieces: DataFrame) -> DataFrame:
+    """Packed pieces with a checksum in place of their ids."""
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query
+def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """A row for each document and benchmark item that it leaks."""
+    return decontaminate.leaks(documents(spark, folder), table(spark, folder, "benchmark"))
+
+
 @query
 def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = near_dedup.near_duplicates(documents(spark, folder))
     return groups.select("doc_id", near_dedup.hex_of().alias("fingerprint"), "component_id")
 
 
+@query
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(documents(spark, folder), table(spark, folder, "labels"))
+
+
+@query
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return digests(packing.pack(documents(spark, folder)))
+
+
 @query
 def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edit_study(documents(spark, folder))
@@ -40,3 +64,11 @@ def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     rows = sharding.assign(documents(spark, folder), sharding.layout(40), sharding.layout(41))
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language_id.learn(rows.where(fold("doc_id", 3) != 1))
+    found = language_id.identify(rows, model)
+    return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score", "runner_up", "ambiguous")
