@@ -30,7 +30,10 @@ def once_per_worker(name: str, build: Callable[[], Any]) -> Any:
 
 
 class Isotonic:
-    """Non-decreasing calibration of a raw score: pooled blocks, with straight lines between their centres."""
+    """Non-decreasing calibration of a raw score: pooled blocks, with straight lines between their centres.
+
+    Each block is drawn to the mean of all by one average observation, so that no score is certain.
+    """
 
     def __init__(self, raw: np.ndarray, target: np.ndarray, weight: np.ndarray):
         order = np.argsort(raw, kind="stable")
@@ -42,8 +45,10 @@ class Isotonic:
             while len(blocks) > 1 and blocks[-2][1] * blocks[-1][2] >= blocks[-1][1] * blocks[-2][2]:
                 last = blocks.pop()
                 blocks[-1] = [a + b for a, b in zip(blocks[-1], last)]
+        total = max(sum(b[2] for b in blocks), 1e-12)
+        mean, one = sum(b[1] for b in blocks) / total, total / max(int((weight > 0).sum()), 1)
         self.x = np.array([b[0] / b[2] for b in blocks])
-        self.y = np.array([b[1] / b[2] for b in blocks])
+        self.y = np.array([(b[1] + one * mean) / (b[2] + one) for b in blocks])
 
     def __call__(self, raw: np.ndarray) -> np.ndarray:
         if not len(self.x):

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..plans.registry import Query
 from ..session import prepare
 from ..sources.tables import table
-from . import decontaminate, fingerprints, language_id, near_dedup, packing, sharding, toxicity
+from . import decontaminate, fingerprints, language_id, licenses, near_dedup, packing, quality, sharding, toxicity, warc
 from .common import fold, held_out
 
 QUERIES: dict[str, Query] = {}
@@ -26,6 +26,11 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", "text")
 
 
+@query
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score(documents(spark, folder), table(spark, folder, "labels"))
+
+
 def digests(pieces: DataFrame) -> DataFrame:
     """Packed pieces with a checksum in place of their ids."""
     return pieces.select(
@@ -72,3 +77,14 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     model = language_id.learn(rows.where(fold("doc_id", 3) != 1))
     found = language_id.identify(rows, model)
     return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score", "runner_up", "ambiguous")
+
+
+@query
+def op9_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Two derived records of each page's response record."""
+    return warc.derivatives(warc.responses(table(spark, folder, "pages")))
+
+
+@query
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.licences(documents(spark, folder))
