@@ -52,9 +52,11 @@ def ngrams(text: str) -> np.ndarray:
 
 def codewords(n: int) -> np.ndarray:
     """A row of +1 and -1 for each of ``n`` languages: all splits for up to six, else the best of many random codes."""
+    if n < 2:
+        return np.zeros((n, 0))
     if n <= 6:
-        sides = [(1, *rest) for rest in itertools.product((1, -1), repeat=n - 1)] if n > 1 else []
-        return np.array([s for s in sides if -1 in s], dtype=float).T.reshape(n, -1)
+        sides = [(1, *rest) for rest in itertools.product((1, -1), repeat=n - 1)]
+        return np.array([s for s in sides if -1 in s], dtype=float).T
     draw, best, found = np.random.default_rng(42), None, -1
     for _ in range(200):
         code = draw.choice((-1.0, 1.0), (n, BITS_OF_RANDOM_CODE))

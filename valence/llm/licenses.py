@@ -108,7 +108,7 @@ SPDX = ["Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "GPL-2.0-onl
         "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only",
         "AGPL-3.0-or-later", "MPL-2.0", "Unlicense", "CC0-1.0"]
 # Every known sentence holds one of these words.
-CUES = ["licen", "permission", "copyright", "redistribut", "public domain", "warrant", "liable", "mpl", "endorse", "rights reserved"]
+CUES = ["licen", "permission", "copyright", "redistribut", "public domain", "warrant", "liable", "mpl", "endorse", "rights reserved", "cc by"]
 
 #: Other sentences that may stand between two sentences of a rule, such as an address or a copyright line.
 GAP = 2
@@ -139,6 +139,7 @@ class Scanner:
 
     # A sentence ends at closing punctuation before white space; a blank line ends one as well.
     END = re.compile(r"(?<=[.!?;:])[\"')\]]*\s+|\n[ \t#*/;%-]*\n")
+    WORD = re.compile(r"[^\W_]")
     LINE = re.compile(r"(?<=[.!?;:])[\"')\]]*\s+|\n")
 
     def __init__(self) -> None:
@@ -174,7 +175,7 @@ class Scanner:
             if first in found and first > end:
                 out.append(found[first])
                 end = found[first][1]
-            elif first > end and text[first:last].strip():
+            elif first > end and self.WORD.search(text, first, last):
                 out.append((first, last, None))
         return out
 
