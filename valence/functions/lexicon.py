@@ -4,55 +4,42 @@ Fixed values: the scores depend on them, so they are stated as they are.
 Weights and modifiers are hundredths, which keeps all arithmetic in integers.
 """
 
-# Weight (hundredths) -> words.
+# Words and weights (hundredths).
 POSITIVE = {
-    98: ["masterpiece"],
-    95: ["amazing", "fantastic", "flawless", "outstanding", "perfect", "top-notch"],
-    90: ["awesome", "best", "brilliant", "delightful", "excellent", "love", "loved", "superb", "wonderful"],
-    85: ["beautiful", "delicious", "excited", "favorite", "great", "impressive"],
-    80: ["enjoy", "enjoyed", "happy", "pleased", "recommend", "super"],
-    75: ["glad", "helpful", "positive", "worth"],
-    70: ["good", "nice", "smooth", "solid"],
-    65: ["fast"],
-    60: ["clean"],
-}
+    "fantastic": 95, "amazing": 95, "excellent": 90, "great": 85, "love": 90,
+    "enjoyed": 80, "awesome": 90, "good": 70, "wonderful": 90, "delicious": 85,
+    "happy": 80, "best": 90, "positive": 75, "superb": 90, "perfect": 95,
+    "brilliant": 90, "loved": 90, "enjoy": 80, "helpful": 75, "nice": 70,
+    "beautiful": 85, "recommend": 80, "flawless": 95, "outstanding": 95,
+    "excited": 85, "pleased": 80, "glad": 75, "delightful": 90, "impressive": 85,
+    "clean": 60, "fast": 65, "smooth": 70, "worth": 75, "solid": 70,
+    "masterpiece": 98, "favorite": 85, "top-notch": 95, "super": 80,
+}
 NEGATIVE = {
-    98: ["worst"],
-    95: ["awful", "disaster", "garbage", "horrible", "nightmare", "terrible", "trash"],
-    90: ["crap", "hate", "hated", "pathetic", "sucks", "unacceptable", "useless"],
-    85: ["boring", "disappointed", "disappointing", "fail", "failed", "painful", "regret", "waste"],
-    80: ["annoying", "broken", "buggy", "mess", "poor", "ugly"],
-    75: ["bad", "dull", "flawed"],
-    70: ["mediocre"],
-    65: ["problem"],
-    60: ["slow"],
-}
-# Modifier (hundredths) -> words. "barely" and "hardly" are
-# negations as well, and a negation wins, so theirs never applies.
-INTENSIFIER = {
-    150: ["extremely"],
-    140: ["absolutely", "completely"],
-    135: ["super"],
-    130: ["highly", "really", "totally", "very"],
-    125: ["so"],
-    80: ["slightly"],
-    70: ["somewhat"],
-    50: ["barely", "hardly"],
-}
+    "terrible": 95, "horrible": 95, "worst": 98, "boring": 85, "hate": 90,
+    "awful": 95, "bad": 75, "poor": 80, "disappointed": 85, "disappointing": 85,
+    "waste": 85, "annoying": 80, "slow": 60, "useless": 90, "sucks": 90,
+    "broken": 80, "fail": 85, "failed": 85, "trash": 95, "crap": 90,
+    "garbage": 95, "hated": 90, "painful": 85, "pathetic": 90, "mess": 80,
+    "unacceptable": 90, "nightmare": 95, "problem": 65, "buggy": 80, "flawed": 75,
+    "regret": 85, "disaster": 95, "ugly": 80, "mediocre": 70, "dull": 75,
+}
+# Modifiers (hundredths). "barely" and "hardly" are negations as
+# well, and a negation wins, so theirs never applies.
+MODIFIERS = {
+    "very": 130, "really": 130, "extremely": 150, "super": 135, "so": 125,
+    "absolutely": 140, "highly": 130, "totally": 130, "completely": 140,
+    "barely": 50, "hardly": 50, "somewhat": 70, "slightly": 80,
+}
 # Fixed values.
 NEGATIONS = [
-    "aren't", "barely", "can't", "cannot", "couldn't", "didn't", "doesn't", "don't", "hardly", "hasn't", "haven't",
-    "isn't", "never", "no", "not", "scarcely", "wasn't", "weren't", "without", "won't", "wouldn't",
-]
-# U+2764 counts only with the variation selector U+FE0F.
-POSITIVE_EMOJI = [
-    "\U0001F60A", "\U0001F600", "\U0001F603", "\U0001F604", "\U0001F60D", "\U0001F44D", "\U0001F525", "✨",
-    "❤️", "\U0001F389", "\U0001F4AF",
-]
-NEGATIVE_EMOJI = [
-    "\U0001F61E", "\U0001F622", "\U0001F621", "\U0001F620", "\U0001F44E", "\U0001F494", "\U0001F4A9", "\U0001F92E",
-    "\U0001F62D",
-]
+    "not", "no", "never", "hardly", "barely", "scarcely", "without", "isn't",
+    "aren't", "wasn't", "weren't", "haven't", "hasn't", "don't", "doesn't",
+    "didn't", "won't", "wouldn't", "can't", "cannot", "couldn't",
+]
+# The heart counts only with its variation selector.
+POSITIVE_EMOJI = ["😊", "😀", "😃", "😄", "😍", "👍", "🔥", "✨", "❤️", "🎉", "💯"]
+NEGATIVE_EMOJI = ["😞", "😢", "😡", "😠", "👎", "💔", "💩", "🤮", "😭"]
 
 # Share of a word's weight that survives a negation, in
 # hundredths, and the weight of an emoji, in millionths.
@@ -64,12 +51,6 @@ EMOJI_UNITS = 1_200_000
 # Class limits and confidence constants (thousandths, tenths).
 CLASS_LIMIT_MILLI = 150
 BLANK_CONFIDENCE, NO_HIT_CONFIDENCE, TOP_CONFIDENCE = 500, 650, 995
-FACES = {"Positive": "\U0001F60A", "Negative": "\U0001F61E", "Neutral": "\U0001F610"}
+FACES = {"Positive": "😊", "Negative": "😞", "Neutral": "😐"}
 
-
-def _by_word(groups: dict[int, list[str]], sign: int = 1) -> dict[str, int]:
-    return {word: sign * weight for weight, words in groups.items() for word in words}
-
-
-WORD_WEIGHTS = _by_word(POSITIVE) | _by_word(NEGATIVE, -1)
-MODIFIERS = _by_word(INTENSIFIER)
+WORD_WEIGHTS = POSITIVE | {word: -weight for word, weight in NEGATIVE.items()}

@@ -1,8 +1,8 @@
 """Sentiment of a text in native Spark expressions.
 
-Scoring is row by row: no shuffle and no Python worker. Tokens are taken once
-per text; a token outside the word list costs one set lookup; only the few hits
-are weighed. Sums are exact integers (millionths), so results do not depend on
+Scoring is row by row: no shuffle and no Python worker. One search tells whether
+a text holds a listed word at all; only then its tokens are taken, once, and the
+few hits are weighed. Sums are exact integers (millionths), so results do not depend on
 order or platform. The arithmetic follows in separate projections, which Spark
 compiles, because expressions inside array lambdas are interpreted.
 """
@@ -33,6 +33,20 @@ def tokens(text: str) -> str:
     return f"regexp_extract_all(lower({text}), {literal(TOKEN)}, 0)"
 
 
+def _listed_pattern() -> str:
+    """Finds any listed word that no ASCII letter touches: every token that is a listed word is found, and a few more."""
+    by_letter: dict[str, list[str]] = {}
+    for word in sorted(lx.WORD_WEIGHTS):
+        by_letter.setdefault(word[0], []).append(word[1:])
+    branches = "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in by_letter.items())
+    return f"(?<![a-z])(?:{branches})(?![a-z])"
+
+
+def scored_tokens(text: str) -> str:
+    """The tokens of a text that may hold a listed word; none of any other text, which is searched but not cut up."""
+    return f"CASE WHEN lower({text}) RLIKE {literal(_listed_pattern())} THEN {tokens(text)} ELSE CAST(array() AS ARRAY<STRING>) END"
+
+
 def strip(text: str, space: str = SPACE) -> str:
     """Remove white space from both ends; a run inside the text is passed once."""
     pattern = f"^[{space}]++|(?<![{space}])[{space}]++$"
@@ -95,7 +109,7 @@ def _word_sums(text: str, exact: bool) -> str:
         'keywords', transform(hits, hit -> hit.keyword),
         'wordless', size(words) = 0)"""
     hits = f"transform({listed}, i -> {_hit('words', 'i', exact)})"
-    return bind("words", tokens(text), bind("hits", hits, sums))
+    return bind("words", scored_tokens(text), bind("hits", hits, sums))
 
 
 def _exact_numbers(p: str, n: str) -> dict[str, str]:
