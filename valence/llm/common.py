@@ -7,7 +7,15 @@ from collections.abc import Callable
 from typing import Any
 
 import numpy as np
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
+
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Hand whole texts to Python workers a few megabytes at a time, not ten thousand rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
 
 
 def fold(key: str | Column, parts: int) -> Column:

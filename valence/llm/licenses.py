@@ -4,7 +4,8 @@ A text is cut into sentences. A sentence without punctuation and in lower case i
 looked up among the known licence sentences, which gives its identifier; the
 sequence of identifiers in a text is then matched against ordered licence rules,
 the longest first. Sentences may run over several lines, also with comment marks
-before each: lines and sentences are both tried, and the longer find counts.
+before each: sentences within a line, lines and sentences over lines are all
+tried, and the longest find counts.
 """
 
 from __future__ import annotations
@@ -139,6 +140,7 @@ class Scanner:
 
     # A sentence ends at closing punctuation before white space; a blank line ends one as well.
     END = re.compile(r"(?<=[.!?;:])[\"')\]]*\s+|\n[ \t#*/;%-]*\n")
+    NEWLINE = re.compile(r"\n")
     WORD = re.compile(r"[^\W_]")
     LINE = re.compile(r"(?<=[.!?;:])[\"')\]]*\s+|\n")
 
@@ -164,7 +166,9 @@ class Scanner:
         found: dict[int, tuple[int, int, str]] = {}
         lines = list(self.spans(text, self.LINE))
         longest = max(map(len, self.known))
-        for first, last in [*lines, *((a, b) for a, b in self.spans(text, self.END) if "\n" in text[a:b])]:
+        whole_lines = self.spans(text, self.NEWLINE)
+        over_lines = ((a, b) for a, b in self.spans(text, self.END) if "\n" in text[a:b])
+        for first, last in (*lines, *whole_lines, *over_lines):
             # A known sentence has a few comment marks and spaces more at most.
             if last - first <= 4 * longest:
                 name = self.known.get(normalise(text[first:last]))

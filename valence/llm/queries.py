@@ -8,7 +8,7 @@ from ..plans.registry import Query
 from ..session import prepare
 from ..sources.tables import table
 from . import decontaminate, fingerprints, language_id, licenses, near_dedup, packing, quality, sharding, toxicity, warc
-from .common import fold, held_out
+from .common import fold, held_out, small_batches
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -16,7 +16,7 @@ ORACLES: dict[str, str] = {}
 
 def query(build: Query) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return build(prepare(spark), folder)
+        return build(small_batches(prepare(spark)), folder)
 
     QUERIES[build.__name__] = run
     return build
