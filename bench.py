@@ -2,8 +2,8 @@
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local cores. Every query
 runs once to warm up, then ``BENCH_RUNS`` times; the best time counts. The
-``twin`` figures are a row-at-a-time Python UDF with the same rules on the same
-texts, the way to score that the native expression replaces.
+``twin`` figures are a row-at-a-time Python UDF on the same texts: the second
+implementation of the rules that the tests use, in double arithmetic.
 """
 
 from __future__ import annotations
@@ -16,12 +16,13 @@ import time
 
 from pyspark.sql import SparkSession, functions as F
 
-from valence.functions import lexicon as lx
 from valence.functions.sentiment import with_sentiment
 from valence.plans import QUERIES
-from valence.schemas import SCORE
 from valence.session import prepare
-from valence.sources.tables import event_feed, spread, table
+from valence.sources.tables import INPUT_PARTITIONS, event_feed, table
+
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "tests"))
+import brute  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
@@ -35,7 +36,8 @@ HEADLINE = [
     "feed_latest", "polarity_timeline", "metrics_payload", "json_parse", "payload_json", "message_build",
     "text_lines_clean", "feed_union", "hash_sample", "hash_sample_exact", "train_test_split", "ml_tokenize",
     "ml_stopwords", "tf_exact", "idf_exact", "tfidf_exact", "eval_accuracy", "classify", "score_stream",
-    "metrics_stream", "keyword_stream", "throughput_stream", "reset_stream",
+    "metrics_stream", "keyword_stream", "throughput_stream", "reset_stream", "event_envelopes", "initial_envelope",
+    "two_sinks_stream", "classify_stream", "corpus_load", "sql_function", "kpi_metrics_binary",
 ]
 
 
@@ -50,45 +52,12 @@ def session() -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    # The tables are files of one row group: name the number of parts to use all cores.
+    spark.conf.set(INPUT_PARTITIONS, str(CPUS))
     return prepare(spark)
 
 
-def row_scorer():
-    """The rules in plain Python, for one text at a time."""
-    find = re.compile(r"\b[\w'-]+\b").findall
-    weights, modifiers, negations = dict(lx.WORD_WEIGHTS), dict(lx.MODIFIERS), frozenset(lx.NEGATIONS)
-    good, bad, faces, bonus = list(lx.POSITIVE_EMOJI), list(lx.NEGATIVE_EMOJI), dict(lx.FACES), lx.EMOJI_UNITS
-
-    def score(text):
-        text = text or ""
-        words = find(text.lower())
-        sides, keywords = [0, 0], set()
-        for i, word in enumerate(words):
-            weight = weights.get(word)
-            if weight is None:
-                continue
-            before = words[i - 1] if i else ""
-            negated = before in negations or (i > 1 and words[i - 2] in negations)
-            units = abs(weight) * (100 if before in negations else modifiers.get(before, 100))
-            sides[(weight < 0) != negated] += units * ((85 if weight > 0 else 70) if negated else 100)
-            keywords.add("not " + word if negated else word)
-        for side, emoji in enumerate((good, bad)):
-            if any(e in text for e in emoji):
-                sides[side] += bonus
-                keywords.add(("positive_emoji", "negative_emoji")[side])
-        p, n = sides
-        polarity = round((p - n) / (p + n + 500_000), 3)
-        name = "Positive" if polarity >= 0.15 else "Negative" if polarity <= -0.15 else "Neutral"
-        if p + n == 0:
-            confidence = 65.0 if text.strip() else 50.0
-        elif name == "Neutral":
-            confidence = round(100 - abs(polarity) * 100, 1)
-        else:
-            confidence = min(99.5, round(max(p, n) / (p + n + 100_000) * 100, 1))
-        label = f"{faces[name]} {name}"
-        return name, faces[name], label, polarity, confidence, round(p / 1e6, 2), round(n / 1e6, 2), sorted(keywords)
-
-    return score
+TWIN = "sentiment string, polarity double, confidence double, positive double, negative double, keywords array<string>"
 
 
 def seconds(build) -> float:
@@ -103,19 +72,21 @@ def seconds(build) -> float:
 
 def rates(spark: SparkSession) -> dict[str, dict[str, float]]:
     """Texts per second, native against the row-at-a-time twin, on the same stored input."""
-    udf = F.udf(row_scorer(), SCORE)
-    copies = spark.range(COPIES).withColumnRenamed("id", "copy")
+    udf = F.udf(lambda text: brute.score(text, binary=True), TWIN)
     texts = {
-        "documents": spread(table(spark, FOLDER, "documents").select("text")),
+        "documents": table(spark, FOLDER, "documents").select("text"),
         "feed": event_feed(spark, FOLDER).select("text"),
     }
     out = {}
     for name, df in texts.items():
-        kept = df.crossJoin(copies).select("text").persist()
+        kept = df.select("text", F.explode(F.sequence(F.lit(1), F.lit(COPIES)))).select("text").persist()
         n = kept.count()
         native = seconds(lambda: with_sentiment(kept).select("analysis.*"))
+        binary = seconds(lambda: with_sentiment(kept, rounding="binary").select("analysis.*"))
         twin = seconds(lambda: kept.select(udf("text").alias("analysis")).select("analysis.*"))
-        out[name] = {"texts": n, "native_sec": native, "twin_sec": twin, "speedup": round(twin / native, 2)}
+        out[name] = {
+            "texts": n, "native_sec": native, "native_binary_sec": binary, "twin_sec": twin, "speedup": round(twin / native, 2),
+        }
         kept.unpersist()
     return out
 

@@ -31,12 +31,26 @@ def rows(columns: list[str], data) -> list[tuple]:
     return sorted((tuple(plain(row[i]) for i in order) for row in data), key=repr)
 
 
+# Spark's types as DuckDB names them.
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+# Wider numbers of sums and quotients in DuckDB count as the type that they hold.
+WIDER = {"HUGEINT": "BIGINT"}
+
+
+def kind_of(name: str) -> str:
+    return "DOUBLE" if name.startswith("DECIMAL") else WIDER.get(name, name)
+
+
 def compare(df, db: duckdb.DuckDBPyConnection, sql: str) -> tuple[int, list[tuple], list[tuple]]:
-    """Number of rows, and the rows that only one side has."""
+    """Number of rows, and the rows that only one side has. Names, their order and types must be equal."""
     result = db.execute(sql)
     names = [d[0] for d in result.description]
+    kinds = [(d[0], kind_of(str(d[1]))) for d in result.description]
     want = rows(names, result.fetchall())
-    assert sorted(names) == sorted(df.columns), (sorted(names), sorted(df.columns))
+    assert kinds == [(name, TYPES[kind]) for name, kind in df.dtypes], (kinds, df.dtypes)
     got = rows(df.columns, [tuple(r) for r in df.collect()])
     if got == want:
         return len(got), [], []

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from valence.functions.text import escape_html, event_time, iso_utc, pointer_percent, polarity_band, signed_text
 from valence.operators import classifier, keywords, latest, messages, metrics, sampling, terms
 from valence.operators.analyze import analyze, encode_analyzed, score_texts, server_view
+from valence.operators.throughput import rate_columns
 from valence.schemas import ANALYZED, MESSAGE
+from valence.sinks import envelopes
 from valence.sources import files
 from valence.sources.messages import decode, kafka_options, message_stream
 from valence.sources.samples import PRESET_SAMPLES, PRODUCER_SAMPLES, sample_messages
@@ -73,6 +75,14 @@ def test_keywords_count_texts_and_flag_both_ways(spark):
 def test_equal_keyword_counts_keep_the_first_seen(spark):
     rows = scored(spark, ["worst", "amazing", "bad"])
     assert [r.keyword for r in keywords.top_keywords(keywords.keyword_counts(rows), 2).collect()] == ["worst", "amazing"]
+    at = message_rows(spark, ["worst", "amazing", "bad"]).withColumns(
+        {"event_ts": F.lit("1969-01-01").cast("timestamp"), "n": F.expr("CAST(substr(id, 2) AS BIGINT)")}
+    )
+    same = analyze(at, keep=("event_ts", "n"))
+    top = keywords.top_keywords(keywords.keyword_counts(same, number="n"), 2)
+    assert [r.keyword for r in top.collect()] == ["worst", "amazing"]
+    payload = json.loads(metrics.snapshot(same, F.lit(0.0), number="n").first().metrics)
+    assert [k for k, _ in payload["top_keywords"]] == ["worst", "amazing", "bad"]
 
 
 def test_latest_with_ties_and_few_rows(spark):
@@ -82,11 +92,49 @@ def test_latest_with_ties_and_few_rows(spark):
     assert latest.latest(rows.where("false"), 5, "ts", "id").count() == 0
 
 
+def test_latest_keeps_rows_without_a_time(spark):
+    at = lambda s: dt.datetime(2024, 1, 1, 0, 0, s)
+    rows = spark.createDataFrame([(1, at(1), at(9)), (2, None, at(5)), (3, at(3), at(9)), (4, None, None)], "id int, ts timestamp, came timestamp")
+    assert [r.id for r in latest.latest(rows, 100, "ts", "id").collect()] == [3, 1, 4, 2]
+    assert [r.id for r in latest.latest(rows, 3, "ts", "id", arrival="came").collect()] == [2, 3, 1]
+    assert latest.latest(rows, 2, "ts", "id").count() == 2
+
+
+def test_envelopes_for_more_events_than_the_history_and_for_those_without_a_time(spark):
+    texts = ["good", "bad", "chair"] * 50
+    rows = [(f"m{i:03d}", t, "s", "u", f"2024-01-01T00:{i // 60:02d}:{i % 60:02d}Z" if i % 50 else None) for i, t in enumerate(texts)]
+    scored = analyze(spark.createDataFrame(rows, MESSAGE).withColumn("event_ts", F.expr(event_time("timestamp"))), keep=("event_ts",))
+    events = envelopes.event_json(scored, F.lit("x"), F.date_trunc("minute", "event_ts").alias("minute"))
+    after = metrics.metrics_by_minute(scored, rate_columns("total")[0])
+    got = {r.id: json.loads(r.envelope)["metrics"] for r in envelopes.new_events(events, after).collect()}
+    assert len(got) == 150
+    assert got["m000"]["total"] == 3 and got["m001"]["total"] == 3 + 58 and got["m149"]["total"] == 150
+    assert got["m149"]["positive"] == got["m149"]["negative"] == 50 and got["m149"]["positive_pct"] == 33.3
+    assert got["m001"]["throughput_eps"] == 0.97
+
+
+def test_numbers_without_gaps(spark):
+    rows = spark.range(0, 1000, 1, 7).union(spark.range(1000, 1005, 1, 3))
+    assert sorted((r.id, r.number) for r in messages.number_rows(rows).collect()) == [(i, i + 1) for i in range(1005)]
+
+
+def test_binary_rounding_of_metrics(spark):
+    counts = spark.createDataFrame([(16, 1, 15, 0, 62), (3, 1, 2, 0, 1)], "total long, positive long, negative long, neutral long, polarity_milli long")
+    for rounding, percents in (("exact", [6.3, 33.3]), ("binary", [6.2, 33.3])):
+        rows = metrics.finish_counts(counts, rounding=rounding).orderBy(F.desc("total")).collect()
+        assert [r.positive_pct for r in rows] == percents
+    binary = metrics.finish_counts(counts, rounding="binary").collect()
+    assert [(r.positive_pct, r.avg_polarity) for r in binary] == [(round(1 / 16 * 100, 1), round(0.062 / 16, 3)), (round(1 / 3 * 100, 1), round(0.001 / 3, 3))]
+
+
 def test_after_reset(spark):
     rows = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, i),) for i in range(5)], "ts timestamp")
     resets = rows.where(F.col("ts") <= dt.datetime(2024, 1, 1, 0, 0, 2))
     assert metrics.after_reset(rows, resets, "ts").count() == 2
     assert metrics.after_reset(rows, rows.where("false"), "ts").count() == 5
+    untimed = rows.union(spark.createDataFrame([(None,)], "ts timestamp"))
+    assert metrics.after_reset(untimed, rows.where("false"), "ts").count() == 6
+    assert metrics.after_reset(untimed, resets, "ts").count() == 2
 
 
 def test_display_helpers(spark):
@@ -208,6 +256,13 @@ def test_exact_sample_with_a_hot_key(spark):
         assert sorted(r.id for r in sampling.exact_sample(rows, "id", n).collect()) == sorted(want)
 
 
+def test_exact_sample_of_equal_and_null_keys_repeats(spark):
+    rows = spark.range(0, 500).select(F.expr("CASE WHEN id % 2 = 0 THEN 5 WHEN id % 5 = 0 THEN NULL ELSE id END").alias("k"), "id")
+    first = sorted(r.id for r in sampling.exact_sample(rows, "k", 120).collect())
+    assert len(first) == 120
+    assert sorted(r.id for r in sampling.exact_sample(rows.repartition(9), "k", 120).collect()) == first
+
+
 def test_split_is_stable_and_whole(spark):
     rows = spark.range(0, 2000)
     train, test = sampling.train_test_split(rows, "id")

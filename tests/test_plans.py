@@ -4,11 +4,12 @@ import re
 
 import pytest
 
-import __spark_entry__ as driver
+from valence.plans import QUERIES
 from valence.functions.sentiment import with_sentiment
 from valence.operators import terms
 from valence.operators.throughput import throughput_series
-from valence.sources.tables import feed_of, table
+from valence.plans.learning import labelled_features
+from valence.sources.tables import INPUT_PARTITIONS, feed_of, table
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -29,14 +30,12 @@ SCORED = [
 
 @pytest.mark.parametrize("name", SCORED)
 def test_texts_are_tokenized_once(spark, name):
-    assert optimized(driver.queries()[name](spark, FOLDER)).count("regexp_extract_all") == 1
+    assert optimized(QUERIES[name](spark, FOLDER)).count("regexp_extract_all") == 1
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES)))
 def test_no_python_workers_and_no_cross_joins(spark, name):
-    if name.startswith("classify"):
-        pytest.skip("fits a model first")
-    plan = physical(driver.queries()[name](spark, FOLDER))
+    plan = physical(QUERIES[name](spark, FOLDER))
     assert not re.search(r"EvalPython|InPandas|InArrow|CartesianProduct|BroadcastNestedLoopJoin", plan)
 
 
@@ -52,15 +51,15 @@ def test_a_filter_on_the_key_reaches_the_scan_and_only_needed_columns_are_read(s
 
 
 def test_newest_rows_are_chosen_before_scoring_by_the_time_column(spark):
-    plan = physical(driver.queries()["history_latest"](spark, FOLDER))
+    plan = physical(QUERIES["history_latest"](spark, FOLDER))
     assert plan.index("regexp_extract_all") < plan.index("TakeOrderedAndProject")
     assert "ReadSchema: struct<ts:timestamp_ntz>" in plan
-    assert re.search(r"DataFilters: \[isnotnull\(ts#\d+\), \(ts#\d+ >= Subquery", plan)
+    assert re.search(r"DataFilters: \[.*\(ts#\d+ >= Subquery", plan)
 
 
 def test_metrics_combine_before_the_shuffle(spark):
     for name in ("kpi_by_source", "keyword_counts", "throughput_series", "idf_exact"):
-        plan = physical(driver.queries()[name](spark, FOLDER))
+        plan = physical(QUERIES[name](spark, FOLDER))
         assert "SortAggregate" not in plan and "partial_" in plan, name
 
 
@@ -69,7 +68,7 @@ def test_series_windows_are_keyed_by_short_spans(spark):
     plan = physical(throughput_series(events, "ts", "event_type"))
     windows = re.findall(r"Window \[.*\], \[([^\]]*)\]", plan)
     assert windows and "SinglePartition" not in plan
-    assert "hashpartitioning(event_type" in plan and not re.search(r"hashpartitioning\(event_type#\d+, \d+\)", plan)
+    assert "hashpartitioning(marker" in plan and not re.search(r"hashpartitioning\(marker#\d+, \d+\)", plan)
 
 
 def test_term_counts_need_no_shuffle(spark):
@@ -78,12 +77,38 @@ def test_term_counts_need_no_shuffle(spark):
 
 
 def test_ml_words_are_taken_once(spark):
-    assert optimized(driver.queries()["tf_exact"](spark, FOLDER)).count("UDF(UDF(") == 1
+    assert optimized(QUERIES["tf_exact"](spark, FOLDER)).count("UDF(UDF(") == 1
 
 
-def test_large_scans_are_not_repartitioned(spark):
-    from valence.sources.tables import spread
+def test_scans_are_dealt_out_only_where_the_caller_says_so(spark):
+    assert "Exchange" not in physical(QUERIES["scored_documents"](spark, FOLDER))
+    spark.conf.set(INPUT_PARTITIONS, "3")
+    try:
+        assert table(spark, FOLDER, "documents").rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset(INPUT_PARTITIONS)
 
-    many = spark.range(0, 100, 1, 64)
-    assert spread(many) is many
-    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_texts_are_not_shuffled(spark, no_broadcast):
+    for df in (QUERIES["eval_accuracy"](spark, FOLDER), labelled_features(spark, FOLDER)):
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", df._jdf.queryExecution().explainString(mode))
+        assert shuffled and not any("text#" in columns for columns in shuffled)
+
+
+def test_frequent_terms_are_not_shuffled(spark, no_broadcast):
+    tf = spark.createDataFrame([(1, "a", 2)], "doc_id int, term string, tf long")
+    plan = physical(terms.tfidf(tf, spark.createDataFrame([("a", 1, 0.5)], "term string, df long, idf double")))
+    assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
+
+
+def test_the_series_is_shuffled_once_for_cells_and_once_for_spans(spark, no_broadcast):
+    plan = physical(throughput_series(table(spark, FOLDER, "events"), "ts", "event_type"))
+    assert plan.count("Exchange hashpartitioning") <= 6

@@ -56,6 +56,57 @@ def test_golden_phrases(spark):
     assert run(spark, FEED_PHRASES) == want
 
 
+# Fixed values, a second time and as decimals: a wrong weight in the package must not pass.
+GOLDEN_WORDS = """fantastic 0.95 amazing 0.95 excellent 0.9 great 0.85 love 0.9 enjoyed 0.8 awesome 0.9 good 0.7
+wonderful 0.9 delicious 0.85 happy 0.8 best 0.9 positive 0.75 superb 0.9 perfect 0.95 brilliant 0.9 loved 0.9 enjoy 0.8
+helpful 0.75 nice 0.7 beautiful 0.85 recommend 0.8 flawless 0.95 outstanding 0.95 excited 0.85 pleased 0.8 glad 0.75
+delightful 0.9 impressive 0.85 clean 0.6 fast 0.65 smooth 0.7 worth 0.75 solid 0.7 masterpiece 0.98 favorite 0.85
+top-notch 0.95 super 0.8 terrible -0.95 horrible -0.95 worst -0.98 boring -0.85 hate -0.9 awful -0.95 bad -0.75 poor -0.8
+disappointed -0.85 disappointing -0.85 waste -0.85 annoying -0.8 slow -0.6 useless -0.9 sucks -0.9 broken -0.8 fail -0.85
+failed -0.85 trash -0.95 crap -0.9 garbage -0.95 hated -0.9 painful -0.85 pathetic -0.9 mess -0.8 unacceptable -0.9
+nightmare -0.95 problem -0.65 buggy -0.8 flawed -0.75 regret -0.85 disaster -0.95 ugly -0.8 mediocre -0.7 dull -0.75"""
+GOLDEN_MODIFIERS = """very 1.3 really 1.3 extremely 1.5 super 1.35 so 1.25 absolutely 1.4 highly 1.3 totally 1.3
+completely 1.4 somewhat 0.7 slightly 0.8"""
+GOLDEN_NEGATIONS = """not no never hardly barely scarcely without isn't aren't wasn't weren't haven't hasn't don't doesn't
+didn't won't wouldn't can't cannot couldn't"""
+GOLDEN_EMOJI = {"😊😀😃😄😍👍🔥✨🎉💯": 1, "😞😢😡😠👎💔💩🤮😭": -1}
+
+
+def pairs(text):
+    items = text.split()
+    return dict(zip(items[::2], map(float, items[1::2])))
+
+
+def test_every_word_modifier_negation_and_emoji(spark):
+    words, want = pairs(GOLDEN_WORDS), {}
+    assert len(words) == 73 == len(lx.WORD_WEIGHTS)
+    for word, weight in words.items():
+        want[f"xx {word}."] = weight
+        want[f"not {word}"] = -weight * (0.85 if weight > 0 else 0.7)
+    for modifier, factor in pairs(GOLDEN_MODIFIERS).items():
+        want[f"{modifier} bad"] = -0.75 * factor
+        want[f"{modifier} boring"] = -0.85 * factor
+    del want["super bad"], want["super boring"]  # "super" is a word as well
+    for negation in GOLDEN_NEGATIONS.split():
+        want[f"{negation} bad"] = want[f"{negation} yy bad"] = 0.75 * 0.7
+    for emoji, side in GOLDEN_EMOJI.items():
+        want |= {f"x {e}": 1.2 * side for e in emoji}
+    want["x ❤️"], want["x ❤"] = 1.2, 0.0
+    for text, (_, polarity, _, p, n, _) in zip(want, run(spark, list(want))):
+        value = want[text]
+        assert (p, n) == (pytest.approx(max(value, 0), abs=0.00501), pytest.approx(max(-value, 0), abs=0.00501)), text
+        assert polarity == pytest.approx(value / (abs(value) + 0.5), abs=0.000501), text
+    (name, _, _, p, n, _), = run(spark, ["super bad"])
+    assert (p, n) == (0.8, pytest.approx(0.75 * 1.35, abs=0.0051))
+
+
+@pytest.mark.parametrize("rounding", ["exact", "binary"])
+def test_words_inside_other_tokens_do_not_count(spark, rounding):
+    texts = ["goodness", "nogood", "good-bad", "bad's", "_bad", "bad_", "badé", "ébad", "bad1", "1bad", "-bad-", "'bad'", "BAD", "İbad"]
+    got = run(spark, texts, rounding)
+    assert [bool(g[5]) for g in got] == [bool(score(t)[5]) for t in texts]
+
+
 @pytest.mark.parametrize("rounding", ["exact", "binary"])
 def test_random_texts_match_second_implementation(spark, rounding):
     texts = random_texts(3000, seed=7)

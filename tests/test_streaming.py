@@ -50,11 +50,11 @@ def test_rows_metrics_and_keywords_equal_batch_across_restarts(spark, tmp_path):
         rows = stream(spark, folder)
         jobs.start_parquet(rows, f"{out}/rows", f"{out}/c1", once=True).awaitTermination()
         jobs.start_batches(
-            jobs.metrics_stream(rows), jobs.batch_folder(f"{out}/metrics"), f"{out}/c2", "complete", True
+            jobs.metrics_stream(rows), jobs.snapshot_folder(f"{out}/metrics"), f"{out}/c2", "complete", True
         ).awaitTermination()
+        own = stream(jobs.own_session(spark, jobs.KEYWORD_PARTITIONS), folder)
         jobs.start_batches(
-            jobs.keyword_stream(rows), jobs.batch_folder(f"{out}/keywords"), f"{out}/c3", "complete", True,
-            state_partitions=jobs.KEYWORD_PARTITIONS,
+            jobs.keyword_stream(own), jobs.snapshot_folder(f"{out}/keywords"), f"{out}/c3", "complete", True
         ).awaitTermination()
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
     assert len(os.listdir(f"{out}/c3/state/0")) == jobs.KEYWORD_PARTITIONS + 1  # and _metadata
@@ -73,7 +73,7 @@ def test_metrics_of_an_empty_stream(spark, tmp_path):
     (tmp_path / "in" / "0.txt").write_text("")
     rows = stream(spark, tmp_path / "in")
     jobs.start_batches(
-        jobs.metrics_stream(rows), jobs.batch_folder(f"{tmp_path}/m"), f"{tmp_path}/c", "complete", True
+        jobs.metrics_stream(rows), jobs.snapshot_folder(f"{tmp_path}/m"), f"{tmp_path}/c", "complete", True
     ).awaitTermination()
     (row,) = m.finish_counts(jobs.read_snapshot(spark, f"{tmp_path}/m")).collect()
     assert row.total == 0 and row.avg_polarity == 0.0
@@ -146,7 +146,30 @@ def test_repeating_a_batch_does_not_count_twice(spark, tmp_path):
     write(rows, 0)
     write(rows, 1)
     assert jobs.read_batches(spark, str(tmp_path / "o")).count() == 4
-    assert jobs.read_snapshot(spark, str(tmp_path / "o")).count() == 2
+
+
+def test_snapshots_are_kept_twice_at_most(spark, tmp_path):
+    write = jobs.snapshot_folder(str(tmp_path / "o"))
+    for batch in range(5):
+        write(spark.createDataFrame([(batch,)], "n int"), batch)
+        assert [r.n for r in jobs.read_snapshot(spark, str(tmp_path / "o")).collect()] == [batch]
+    assert len([d for d in os.listdir(tmp_path / "o") if d.startswith("slot=")]) == 2
+
+
+def test_open_minutes_are_kept_up_to_date(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path)
+    row = lambda i, minute: json.dumps({"id": str(i), "source": "a", "timestamp": f"2024-01-01T01:{minute:02d}:00Z"})
+    for part, values in enumerate([[row(0, 0), row(1, 1)], [row(2, 1), row(3, 2)]]):
+        put(folder, f"{part}.txt", values)
+        minutes = jobs.throughput_stream(stream(spark, folder))
+        jobs.start_batches(minutes, jobs.batch_folder(f"{out}/rows"), f"{out}/c", "update", True).awaitTermination()
+    got = jobs.read_newest(spark, f"{out}/rows", "window_start", "window_end", "source").collect()
+    assert {(r.window_start.minute, r.events) for r in got} == {(0, 1), (1, 2), (2, 1)}
+
+
+def test_a_single_sink_gets_the_batch_as_it_is(spark):
+    sink = jobs.console_sink()
+    assert jobs.fan_out(sink) is sink
 
 
 class Session:

@@ -44,16 +44,22 @@ def half_up_ratio(numerator: str, denominator: str, scale: int) -> str:
     return f"(CASE WHEN ({numerator}) < 0 THEN -{size} ELSE {size} END)"
 
 
-def percent(part: str, total: str) -> str:
-    """Percentage with one decimal; 0.0 where the total is zero."""
-    tenths = half_up_ratio(f"coalesce({part}, 0) * 100", f"greatest({total}, 1)", 10)
-    return f"(CASE WHEN {total} > 0 THEN {tenths} / 10.0D ELSE 0.0D END)"
+def percent(part: str, total: str, rounding: str = "exact", digits: int = 1) -> str:
+    """Percentage; 0.0 where the total is zero."""
+    if rounding == "binary":
+        value = round_binary(f"(CAST(coalesce({part}, 0) AS DOUBLE) / greatest({total}, 1) * 100)", digits)
+    else:
+        value = half_up_ratio(f"coalesce({part}, 0) * 100", f"greatest({total}, 1)", 10**digits) + f" / {float(10**digits)}D"
+    return f"(CASE WHEN {total} > 0 THEN {value} ELSE 0.0D END)"
 
 
-def mean_milli(sum_milli: str, total: str) -> str:
+def mean_milli(sum_milli: str, total: str, rounding: str = "exact") -> str:
     """Mean of values kept as thousandths, to three decimals; 0.0 on no rows."""
-    milli = half_up_ratio(f"coalesce({sum_milli}, 0)", f"greatest({total}, 1)", 1)
-    return f"(CASE WHEN {total} > 0 THEN {milli} / 1000.0D ELSE 0.0D END)"
+    if rounding == "binary":
+        value = round_binary(f"(coalesce({sum_milli}, 0) / 1000.0D / greatest({total}, 1))", 3)
+    else:
+        value = half_up_ratio(f"coalesce({sum_milli}, 0)", f"greatest({total}, 1)", 1) + " / 1000.0D"
+    return f"(CASE WHEN {total} > 0 THEN {value} ELSE 0.0D END)"
 
 
 def to_milli(value: str) -> str:

@@ -10,7 +10,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.messages import build_messages, encode
+from ..operators.messages import build_messages, encode, number_rows
 from ..session import build_session
 from ..sinks.writers import write_kafka
 from ..sources.files import read_lines
@@ -19,16 +19,11 @@ from ..sources.samples import sample_messages
 
 
 def messages(spark: SparkSession, lines: str | None) -> DataFrame:
-    """Sample messages, then those of the text files; all copies are kept.
-
-    Numbers are unique and rise within a partition, but leave gaps: gapless
-    numbers would need all rows in one order.
-    """
+    """Sample messages, then those of the text files; all copies are kept, numbered from 1 without a gap."""
     items = sample_messages(spark)
     if lines:
         items = items.unionByName(read_lines(spark, lines))
-    numbered = items.withColumns({"number": F.monotonically_increasing_id() + 1, "ts": F.current_timestamp()})
-    return build_messages(numbered, "number", "ts")
+    return build_messages(number_rows(items).withColumn("ts", F.current_timestamp()), "number", "ts")
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -24,7 +24,7 @@ def main(argv: list[str] | None = None) -> str:
     print(snapshot)
     preview(metrics.kpi_display(metrics.kpi(scored)))
     preview(keywords.top_keywords(keywords.keyword_counts(scored)))
-    preview(latest.feed_view(latest.latest(scored, args.rows, "event_ts", "id")), args.rows)
+    preview(latest.feed_view(latest.latest(scored, args.rows, "event_ts", "id", arrival="processed_at")), args.rows)
     return snapshot
 
 

@@ -17,20 +17,19 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--corpus", required=True)
     parser.add_argument("--model", required=True)
-    parser.add_argument("--rows", type=int, default=100_000, help="sample size; 0 for all rows")
+    parser.add_argument("--work", required=True, help="folder that all executors share, for rows between the steps")
+    parser.add_argument("--rows", type=int, default=100_000, help="most rows to fit on; 0 for all. All test rows are evaluated")
     parser.add_argument("--train-percent", type=int, default=80)
     return parser.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> float:
     args = arguments(argv)
-    spark = build_session("train classifier")
-    corpus = read_corpus(spark, args.corpus)
-    chosen = sampling.exact_sample(corpus, "id", args.rows) if args.rows else corpus
-    # Fit and evaluation pass over the rows many times: read the CSV for the sample only.
-    rows = stage(classifier.binarize(chosen).select("id", "text", "label"), "training-rows")
+    spark = build_session("train classifier", spark__checkpoint__dir=args.work)
+    # The CSV is parsed once; the later passes read what they need of it.
+    rows = stage(classifier.binarize(read_corpus(spark, args.corpus)).select("id", "text", "label"), "corpus")
     train, test = sampling.train_test_split(rows, "id", args.train_percent)
-    model = classifier.fit(train)
+    model = classifier.fit(sampling.exact_sample(train, "id", args.rows) if args.rows else train)
     classifier.save(model, args.model)
     predicted = classifier.classify(model, test)
     preview(predicted)

@@ -9,7 +9,7 @@ from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
 from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ..functions.arithmetic import half_up_ratio
+from ..functions.arithmetic import percent
 
 # Positive target, feature buckets, iterations.
 POSITIVE_TARGET, FEATURES, ITERATIONS = 4, 20_000, 10
@@ -43,13 +43,36 @@ def stages(features: int = FEATURES, iterations: int = ITERATIONS) -> Pipeline:
     )
 
 
-def fit(train: DataFrame, features: int = FEATURES, iterations: int = ITERATIONS) -> PipelineModel:
-    """Fit on ``text`` and ``label``, kept for the fit: the IDF pass and the training both read them."""
-    kept = train.select("text", "label").persist(StorageLevel.MEMORY_AND_DISK)
+# The first three stages read the text row by row; the other two are fitted.
+_ROW_STAGES = 3
+
+
+def hashed(rows: DataFrame, features: int = FEATURES) -> DataFrame:
+    """Add ``rawFeatures``, all that the fitted stages need of a text: joins then carry a sparse vector, not the text."""
+    for stage in stages(features).getStages()[:_ROW_STAGES]:
+        rows = stage.transform(rows)
+    return rows.drop("words", "filtered")
+
+
+def fit_hashed(train: DataFrame, features: int = FEATURES, iterations: int = ITERATIONS) -> PipelineModel:
+    """Fit on ``rawFeatures`` and ``label``; the model has all five stages and reads texts."""
+    every = stages(features, iterations).getStages()
+    kept = train.select("rawFeatures", "label").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return stages(features, iterations).fit(kept)
+        fitted = Pipeline(stages=every[_ROW_STAGES:]).fit(kept)
     finally:
         kept.unpersist()
+    return PipelineModel([*every[:_ROW_STAGES], *fitted.stages])
+
+
+def fit(train: DataFrame, features: int = FEATURES, iterations: int = ITERATIONS) -> PipelineModel:
+    """Fit on ``text`` and ``label``."""
+    return fit_hashed(hashed(train.select("text", "label"), features), features, iterations)
+
+
+def classify_hashed(model: PipelineModel, rows: DataFrame, keep: tuple[str, ...] = ("label",)) -> DataFrame:
+    """Predictions for rows that ``hashed`` has prepared."""
+    return PipelineModel(model.stages[_ROW_STAGES:]).transform(rows).select(*keep, "prediction")
 
 
 def save(model: PipelineModel, path: str) -> None:
@@ -71,7 +94,7 @@ def accuracy(predictions: DataFrame) -> float:
     ).evaluate(predictions)
 
 
-def accuracy_row(predictions: DataFrame) -> DataFrame:
+def accuracy_row(predictions: DataFrame, rounding: str = "exact") -> DataFrame:
     """The same as one row: rows, hits, fraction and percent with two decimals."""
     counted = predictions.agg(
         F.count("*").alias("total"),
@@ -81,5 +104,5 @@ def accuracy_row(predictions: DataFrame) -> DataFrame:
         "total",
         "correct",
         "correct / greatest(total, 1) AS accuracy",
-        f"{half_up_ratio('correct * 100', 'greatest(total, 1)', 100)} / 100.0D AS accuracy_pct",
+        f"{percent('correct', 'total', rounding, 2)} AS accuracy_pct",
     )

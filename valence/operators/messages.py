@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.arithmetic import literal, lookup
 from ..functions.sentiment import BROWSER_SPACE, is_blank, strip
@@ -59,6 +59,23 @@ def nonblank(messages: DataFrame) -> DataFrame:
     return kept.withColumn("text", F.expr(strip("text", BROWSER_SPACE)))
 
 
+def number_rows(items: DataFrame, into: str = "number") -> DataFrame:
+    """Number items from 1 without a gap, in their order, and without bringing them together.
+
+    A row's place in its partition is known where it is read; the counts of the
+    partitions before it, one row each, are added. ``items`` must read the same
+    partitions in both passes, as files and fixed rows do.
+    """
+    bits = 33  # Spark puts the partition above these bits of its row ids.
+    placed = items.withColumn("__id", F.monotonically_increasing_id())
+    placed = placed.withColumn("__part", F.expr(f"shiftright(__id, {bits})"))
+    counts = placed.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    place = F.expr(f"__before + (__id & {(1 << bits) - 1}L) + 1")
+    return placed.join(offsets, "__part").withColumn(into, place).drop("__id", "__part", "__before")
+
+
 def build_messages(items: DataFrame, number: str, ts: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Number and stamp items that have ``text``, ``source`` and ``user``."""
     return items.selectExpr(

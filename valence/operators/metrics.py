@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.arithmetic import literal, mean_milli, percent, to_milli
 from ..functions.text import pointer_percent, polarity_band, signed_text
+from .keywords import first_place
 
 CLASSES = ("Positive", "Negative", "Neutral")
 
@@ -19,23 +20,27 @@ def count_columns() -> list[Column]:
     ]
 
 
-def finish_counts(counts: DataFrame, *keys: str) -> DataFrame:
-    """Shares and average of summed counts."""
+def finish_counts(counts: DataFrame, *keys: str, rounding: str = "exact") -> DataFrame:
+    """Shares and average of summed counts.
+
+    ``rounding="binary"`` rounds the double quotients half to even, as plain
+    double arithmetic does; the sum of polarities stays exact.
+    """
     classes = [name.lower() for name in CLASSES]
     return counts.selectExpr(
         *[f"`{key}`" for key in keys],
         "total",
         *[f"coalesce({name}, 0L) AS {name}" for name in classes],
-        *[f"{percent(name, 'total')} AS {name}_pct" for name in classes],
-        f"{mean_milli('polarity_milli', 'total')} AS avg_polarity",
+        *[f"{percent(name, 'total', rounding)} AS {name}_pct" for name in classes],
+        f"{mean_milli('polarity_milli', 'total', rounding)} AS avg_polarity",
     )
 
 
-def kpi(scored: DataFrame, *keys: str, ts: str | None = None) -> DataFrame:
+def kpi(scored: DataFrame, *keys: str, ts: str | None = None, rounding: str = "exact") -> DataFrame:
     """Metrics of all rows (one row, also on empty input) or per ``keys``; with ``ts``, their start time too."""
     start = [F.min(ts).alias("started_at")] if ts else []
     counts = scored.groupBy(*keys).agg(*start, *count_columns())
-    return finish_counts(counts, *keys, *(["started_at"] if ts else []))
+    return finish_counts(counts, *keys, *(["started_at"] if ts else []), rounding=rounding)
 
 
 def kpi_display(metrics: DataFrame) -> DataFrame:
@@ -56,7 +61,7 @@ def distribution(scored: DataFrame) -> DataFrame:
     return rows.selectExpr("sentiment", "cnt", f"{percent('cnt', 'total')} AS pct")
 
 
-def snapshot(scored: DataFrame, throughput_eps: Column, ts: str = "event_ts", k: int = 10) -> DataFrame:
+def snapshot(scored: DataFrame, throughput_eps: Column, ts: str = "event_ts", number: str | None = None, k: int = 10) -> DataFrame:
     """One row: the metrics and the top keywords as JSON, from one pass over the scored rows.
 
     Each row counts once under the null keyword, which carries the totals, and
@@ -64,9 +69,9 @@ def snapshot(scored: DataFrame, throughput_eps: Column, ts: str = "event_ts", k:
     the lists below hold at most 148 entries.
     """
     tagged = scored.selectExpr(
-        "sentiment", "polarity", ts, "explode_outer(concat(array(CAST(NULL AS STRING)), keywords)) AS keyword"
+        "sentiment", "polarity", *([ts, number] if number else [ts]), "explode_outer(concat(array(CAST(NULL AS STRING)), keywords)) AS keyword"
     )
-    groups = tagged.groupBy("keyword").agg(*count_columns(), F.min(ts).alias("first_seen"))
+    groups = tagged.groupBy("keyword").agg(*count_columns(), first_place(ts, number).alias("first_seen"))
     total_of = lambda name: f"max(CASE WHEN keyword IS NULL THEN {name} END)"
     entry = "CASE WHEN keyword IS NOT NULL THEN struct(-total AS order, first_seen, keyword, total AS cnt) END"
     row = groups.agg(
@@ -85,13 +90,38 @@ def snapshot(scored: DataFrame, throughput_eps: Column, ts: str = "event_ts", k:
     )
 
 
+def metrics_by_minute(scored: DataFrame, rate: str, ts: str = "event_ts") -> DataFrame:
+    """``minute, metrics``: the running metrics after each minute with events, as JSON; events without a time come first.
+
+    Rows are counted per minute before any shuffle. The running sums go over the
+    minutes of a day, and then over days, so that no task sees more than a day's
+    1,440 minutes or one row for each day. ``rate`` is the rate column of a
+    minute's ``total``.
+    """
+    minutes = scored.groupBy(F.date_trunc("minute", ts).alias("minute")).agg(*count_columns())
+    minutes = minutes.withColumn("day", F.to_date("minute"))
+    names = ["total", *[name.lower() for name in CLASSES], "polarity_milli"]
+    in_day = Window.partitionBy("day").orderBy("minute").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
+    days = minutes.groupBy(F.col("day").alias("of")).agg(*[F.sum(n).alias(n) for n in names])
+    days = days.select("of", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before") for n in names])
+    running = minutes.selectExpr("*", rate).select(
+        "minute", "day", "throughput_eps", *[F.sum(n).over(in_day).alias(n) for n in names]
+    )
+    summed = running.join(days, F.col("day").eqNullSafe(F.col("of"))).select(
+        "minute", "throughput_eps", *[(F.col(n) + F.col(f"{n}_before")).alias(n) for n in names]
+    )
+    done = finish_counts(summed, "minute", "throughput_eps")
+    fields = [c for c in done.columns if c not in ("minute", "throughput_eps")]
+    return done.select("minute", F.to_json(F.struct(*fields, "throughput_eps")).alias("metrics"))
+
+
 def after_reset(rows: DataFrame, resets: DataFrame, ts: str) -> DataFrame:
     """Rows after the last reset; all rows where there was none.
 
-    The last reset is a scalar subquery: known before the scan starts, and
-    pushed down to it.
+    Of a row without a time it is not known that it came after a reset: it counts
+    only where there was none. The last reset is a scalar subquery, known before
+    the scan starts.
     """
     last = resets.agg(F.max(ts).alias("reset_at"))
-    never = F.lit("0001-01-01 00:00:00").cast(rows.schema[ts].dataType)
-    floor = last.select(F.coalesce("reset_at", never)).scalar()
-    return rows.where(F.col(ts) > floor)
+    return rows.where(last.scalar().isNull() | (F.col(ts) > last.scalar()))

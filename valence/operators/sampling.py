@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import digest, stable_hash
+from ..sinks.writers import stage
 
 _HASHES = 1 << 32
 
@@ -20,34 +21,25 @@ def train_test_split(rows: DataFrame, key: str, train_percent: int = 80) -> tupl
     return rows.where(in_train), rows.where(f"NOT {in_train}")
 
 
-def _crossing(rows: DataFrame, prefix: Column, n: int) -> tuple[str | None, int]:
-    """The hash prefix at which the count in prefix order reaches ``n``, and the count before it.
-
-    There are at most 65,536 prefixes, so the ordered sum runs on a bounded table.
-    """
-    counts = rows.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("cnt"))
-    upto = F.sum("cnt").over(Window.orderBy("prefix"))
-    hit = counts.select("prefix", "cnt", upto.alias("upto")).where(F.col("upto") >= n).orderBy("prefix").first()
-    return (None, 0) if hit is None else (hit["prefix"], hit["upto"] - hit["cnt"])
-
-
 def exact_sample(rows: DataFrame, key: str, n: int) -> DataFrame:
     """The ``n`` rows that come first by MD5 of the key (all rows where there are fewer).
 
-    Two counting passes over the key column find the hash at which row ``n``
-    lies. Rows before it pass a filter; only the rows that share its 32-bit
-    prefix are sorted, so the sample never goes through one task.
+    Two passes over the rows. The first counts 65,536 hash prefixes and finds the
+    one in which row ``n`` lies. The second writes the rows up to that prefix, a
+    little more than the sample; only those with that prefix are sorted. Equal
+    and null keys are ordered by the other columns, so the choice repeats.
     """
     if n <= 0:
         return rows.limit(0)
     code = F.expr(digest(key))
-    first, before = _crossing(rows, F.substring(code, 1, 4), n)
-    if first is None:
+    prefix = F.substring(code, 1, 4)
+    counts = rows.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("cnt"))
+    # At most 65,536 rows.
+    upto = counts.select("prefix", "cnt", F.sum("cnt").over(Window.orderBy("prefix")).alias("upto"))
+    hit = upto.where(F.col("upto") >= n).orderBy("prefix").first()
+    if hit is None:
         return rows
-    second, more = _crossing(
-        rows.where(F.substring(code, 1, 4) == first), F.substring(code, 5, 4), n - before
-    )
-    cutoff = first + second
-    prefix = F.substring(code, 1, 8)
-    rest = rows.where(prefix == cutoff).orderBy(code, F.col(key)).limit(n - before - more)
-    return rows.where(prefix < cutoff).unionByName(rest)
+    kept = stage(rows.where(prefix <= hit["prefix"]), "sample")
+    others = [F.col(f"`{c}`") for c in kept.columns if c != key]
+    last = kept.where(prefix == hit["prefix"]).orderBy(code, F.col(key), *others).limit(n - hit["upto"] + hit["cnt"])
+    return kept.where(prefix < hit["prefix"]).unionByName(last)

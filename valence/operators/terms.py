@@ -24,6 +24,17 @@ def term_counts(documents: DataFrame, key: str) -> DataFrame:
     return counted.where(F.col("term").isNotNull())
 
 
+# Terms that are joined by a copy of their weights in every task: a bound on what is broadcast.
+FREQUENT = 10_000
+
+
+def idf_of_counts(tf: DataFrame, documents: DataFrame) -> DataFrame:
+    """The same as ``idf`` from stored term counts: a document has a row for each of its terms."""
+    n_docs = documents.agg(F.count("*")).scalar()
+    df = tf.groupBy("term").agg(F.count("*").alias("df"))
+    return df.select("term", "df", F.ln((n_docs + 1) / (F.col("df") + 1)).alias("idf"))
+
+
 def idf(documents: DataFrame) -> DataFrame:
     """``ln((documents + 1) / (df + 1))`` per term. The document count is a scalar subquery.
 
@@ -36,9 +47,12 @@ def idf(documents: DataFrame) -> DataFrame:
 
 
 def tfidf(tf: DataFrame, weights: DataFrame) -> DataFrame:
-    """Join without a hint: Spark broadcasts the vocabulary if its measured size allows it.
+    """Weights of all terms. ``tf`` and ``weights`` should be stored tables, as they are read twice.
 
-    Beyond that it is a sort-merge join, in which adaptive execution splits the
-    partitions of very frequent terms.
+    The ``FREQUENT`` most frequent terms are joined where they are read, so that
+    no task gets all rows of a hot term; the others meet by their term.
     """
-    return tf.join(weights.select("term", "idf"), "term").withColumn("tfidf", F.col("tf") * F.col("idf"))
+    top = F.broadcast(weights.orderBy(F.desc("df"), "term").limit(FREQUENT).select("term", "idf"))
+    often = tf.join(top, "term")
+    seldom = tf.join(top, "term", "left_anti").join(weights.select("term", "idf"), "term")
+    return often.unionByName(seldom).withColumn("tfidf", F.col("tf") * F.col("idf"))

@@ -7,16 +7,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.arithmetic import half_up_ratio
 
 # Length of the trailing window in seconds, and the number of
-# events that the capped rate counts at most.
+# events that the saturating display counts at most.
 SPAN, CAP = 60, 60
 _MICROS = 1_000_000
 _CHUNK = 3600
 
 
 def rate_columns(n: str) -> list[str]:
-    """Events per second, capped as the metrics show it, and uncapped."""
+    """Events per second, and the same where the display stops counting."""
     rate = lambda count: f"{half_up_ratio(count, str(SPAN), 100)} / 100.0D"
-    return [f"{rate(f'least({n}, {CAP})')} AS throughput_eps", f"{rate(n)} AS throughput_eps_uncapped"]
+    return [f"{rate(n)} AS throughput_eps", f"{rate(f'least({n}, {CAP})')} AS throughput_eps_saturated"]
 
 
 def throughput_asof(events: DataFrame, ts: str, asof: Column | None = None) -> DataFrame:
@@ -44,8 +44,13 @@ def throughput_series(events: DataFrame, ts: str, key: str) -> DataFrame:
     """
     micros = f"unix_micros(CAST(`{ts}` AS TIMESTAMP))"
     offset = f"pmod({micros}, {_MICROS})"
+    # A marker stands for the key, so that the join below is on plain equality and keeps the partitioning.
+    key, given = "marker", key
+    kind = events.schema[given].dataType.simpleString()
     stamped = events.where(F.col(ts).isNotNull()).selectExpr(
-        f"`{key}`", f"({micros} - {offset}) div {_MICROS} AS sec", f"{offset} AS offset"
+        f"coalesce(concat('=', CAST(`{given}` AS STRING)), '') AS marker",
+        f"({micros} - {offset}) div {_MICROS} AS sec",
+        f"{offset} AS offset",
     )
     cells = stamped.groupBy(key, "sec", "offset").agg(F.count("*").alias("n"))
     entries = f"array(struct(sec, n AS own, 0L AS old), struct(sec + {SPAN} AS sec, 0L AS own, n AS old))"
@@ -68,11 +73,10 @@ def throughput_series(events: DataFrame, ts: str, key: str) -> DataFrame:
         seconds.selectExpr(f"`{key}`", "sec", "n", f"explode({reach}) AS chunk")
         .withColumn("between", F.coalesce(F.sum("n").over(whole), F.lit(0)))
         .where(f"chunk = {chunk('sec')}")
-        .select(F.col(key).alias("between_key"), F.col("sec").alias("between_sec"), "between")
+        .select(key, "sec", "between")
     )
-    same = F.col(key).eqNullSafe(F.col("between_key")) & (F.col("sec") == F.col("between_sec"))
-    return ends.join(between, same).selectExpr(
-        f"`{key}`",
+    return ends.join(between, [key, "sec"]).selectExpr(
+        f"CASE WHEN marker <> '' THEN CAST(substr(marker, 2) AS {kind}) END AS `{given}`",
         f"timestamp_micros(sec * {_MICROS} + offset) AS event_ts",
         "own AS events",
         "at_ends + `between` AS events_60s",

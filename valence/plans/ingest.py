@@ -12,7 +12,7 @@ from ..session import work_dir
 from ..sources import files
 from ..sources.messages import decode
 from ..sources.samples import sample_messages
-from ..sources.tables import event_feed, spread, table
+from ..sources.tables import event_feed, table
 from . import sql
 from .registry import query
 
@@ -37,9 +37,9 @@ def json_parse(spark: SparkSession, folder: str) -> DataFrame:
     return decode(feed_records(spark, folder), keep=("event_id",))
 
 
-@query(f"""WITH {sql.FEED} SELECT id AS "key", printf('evt_%06d', (epoch_us(event_ts) // 1000) % 1000000) AS event_key,
+@query(f"""WITH {sql.FEED} SELECT id AS "key",
   to_json(struct_pack(id := id, text := text, source := source, "user" := "user", "timestamp" := "timestamp"))::VARCHAR
-  AS "value" FROM feed""")
+  AS "value", printf('evt_%06d', (epoch_us(event_ts) // 1000) % 1000000) AS event_key FROM feed""")
 def message_build(spark: SparkSession, folder: str) -> DataFrame:
     """Numbered, time-stamped JSON records of the events, and their clock ids."""
     feed = event_feed(spark, folder).drop("id", "timestamp")
@@ -56,7 +56,7 @@ SELECT doc_id, text, 'FileStream' AS source, {_STAND_IN('text')} AS "user" FROM
 WHERE length(text) > 0 AND NOT starts_with(text, '#')""")
 def text_lines_clean(spark: SparkSession, folder: str) -> DataFrame:
     """Every line of the documents, cleaned as lines of a text file."""
-    lines = spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id").select("doc_id", F.explode_outer(F.split("text", "\n")).alias("value"))
+    lines = table(spark, folder, "documents").select("doc_id", "text").select("doc_id", F.explode_outer(F.split("text", "\n")).alias("value"))
     return files.clean_lines(lines, keep=("doc_id",))
 
 
@@ -139,7 +139,7 @@ def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with a label; the target is 4 where the quality is 1, else 0."""
     labels = table(spark, folder, "labels").select("doc_id", (F.col("quality") * 4).alias("target"), "toxic")
     documents = table(spark, folder, "documents").select("doc_id", "text", "source")
-    return spread(documents, "doc_id").join(labels, "doc_id")
+    return documents.join(labels, "doc_id")
 
 
 def _one_line(text: str) -> Column:

@@ -8,9 +8,9 @@ from ..functions.sentiment import with_sentiment
 from ..functions.stop_words import ENGLISH
 from ..operators import classifier, sampling, terms
 from ..session import work_dir
-from ..sources.tables import spread, table
+from ..sinks.writers import stage
+from ..sources.tables import table
 from . import sql
-from .ingest import labelled_documents
 from .registry import query
 
 SAMPLE_FRACTION, SAMPLE_ROWS = 0.25, 2500
@@ -74,16 +74,16 @@ idf AS (SELECT term, count(*) AS df, ln(((SELECT count(*) FROM documents) + 1) /
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    return table(spark, folder, "documents").select("doc_id", "text")
 
 
-@query(f"WITH {_WORDS} SELECT doc_id, len(words) AS n_words, array_to_string(words, ' ') AS words FROM f")
+@query(f"WITH {_WORDS} SELECT doc_id, CAST(len(words) AS INTEGER) AS n_words, array_to_string(words, ' ') AS words FROM f")
 def ml_tokenize(spark: SparkSession, folder: str) -> DataFrame:
     words = classifier.words(_documents(spark, folder))
     return words.select("doc_id", F.size("words").alias("n_words"), F.array_join("words", " ").alias("words"))
 
 
-@query(f"WITH {_WORDS} SELECT doc_id, len(filtered) AS n_words, array_to_string(filtered, ' ') AS words FROM f")
+@query(f"WITH {_WORDS} SELECT doc_id, CAST(len(filtered) AS INTEGER) AS n_words, array_to_string(filtered, ' ') AS words FROM f")
 def ml_stopwords(spark: SparkSession, folder: str) -> DataFrame:
     words = classifier.content_words(_documents(spark, folder))
     return words.select("doc_id", F.size("filtered").alias("n_words"), F.array_join("filtered", " ").alias("words"))
@@ -102,7 +102,8 @@ def idf_exact(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"WITH {_TF} SELECT doc_id, term, tf, round(idf, 9) AS idf, round(tf * idf, 9) AS tfidf FROM tf JOIN idf USING (term)")
 def tfidf_exact(spark: SparkSession, folder: str) -> DataFrame:
     documents = _documents(spark, folder)
-    weighted = terms.tfidf(terms.term_counts(documents, "doc_id"), terms.idf(documents))
+    counts = stage(terms.term_counts(documents, "doc_id"), "term-counts")
+    weighted = terms.tfidf(counts, stage(terms.idf_of_counts(counts, documents), "term-weights"))
     return weighted.select("doc_id", "term", "tf", F.round("idf", 9).alias("idf"), F.round("tfidf", 9).alias("tfidf"))
 
 
@@ -116,15 +117,37 @@ n AS (SELECT count(*) AS total, count(*) FILTER (prediction = label) AS correct
   {sql.half_up('correct * 100', 'greatest(total, 1)', 100)} / 100.0 AS accuracy_pct FROM n""")
 def eval_accuracy(spark: SparkSession, folder: str) -> DataFrame:
     """How often the word list's class agrees with the label of a document."""
-    scored = with_sentiment(labelled_documents(spark, folder))
-    predicted = scored.withColumn("prediction", F.when(F.col("analysis.sentiment") == "Positive", 1).otherwise(0))
-    return classifier.accuracy_row(classifier.binarize(predicted))
+    return classifier.accuracy_row(_rated(spark, folder))
+
+
+@query(f"""WITH {_RATED} SELECT total, correct, correct / greatest(total, 1) AS accuracy,
+  {sql.round_even('CAST(correct AS DOUBLE) / greatest(total, 1) * 100', 2)} AS accuracy_pct FROM n""")
+def eval_accuracy_binary(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, rounded as plain double arithmetic does."""
+    return classifier.accuracy_row(_rated(spark, folder), rounding="binary")
+
+
+def _targets(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "labels").select("doc_id", (F.col("quality") * 4).alias("target"))
+
+
+def _rated(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts are scored where they are read; the join carries a class."""
+    scored = with_sentiment(table(spark, folder, "documents").select("doc_id", "text"))
+    predicted = scored.select("doc_id", F.when(F.col("analysis.sentiment") == "Positive", 1).otherwise(0).alias("prediction"))
+    return classifier.binarize(predicted.join(_targets(spark, folder), "doc_id"))
+
+
+def labelled_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts are hashed where they are read; the join carries a sparse vector."""
+    features = classifier.hashed(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+    return classifier.binarize(features.join(_targets(spark, folder), "doc_id"))
 
 
 def _fit(spark: SparkSession, folder: str):
-    rows = classifier.binarize(labelled_documents(spark, folder))
+    rows = stage(labelled_features(spark, folder).select("doc_id", "label", "rawFeatures"), "features")
     train, test = sampling.train_test_split(rows, "doc_id")
-    return classifier.fit(train), test
+    return classifier.fit_hashed(train), test
 
 
 @query()
@@ -133,11 +156,11 @@ def classify(spark: SparkSession, folder: str) -> DataFrame:
     model, test = _fit(spark, folder)
     path = work_dir(spark, "model")
     classifier.save(model, path)
-    return classifier.classify(classifier.load(path), test, keep=("doc_id", "label"))
+    return classifier.classify_hashed(classifier.load(path), test, keep=("doc_id", "label"))
 
 
 @query()
 def classify_accuracy(spark: SparkSession, folder: str) -> DataFrame:
     """Accuracy of the trained classifier on the test side."""
     model, test = _fit(spark, folder)
-    return classifier.accuracy_row(classifier.classify(model, test, keep=("doc_id", "label")))
+    return classifier.accuracy_row(classifier.classify_hashed(model, test, keep=("doc_id", "label")))

@@ -18,13 +18,19 @@ _NTZ = "timestamp_ntz"
 
 @query(
     f"WITH {sql.SCORED_FEED}, k AS ({sql.kpi('scored')}) "
-    "SELECT k.*, (SELECT min(ts) FROM events) AS started_at FROM k"
+    "SELECT (SELECT min(ts) FROM events) AS started_at, k.* FROM k"
 )
 def kpi_metrics(spark: SparkSession, folder: str) -> DataFrame:
     row = m.kpi(analyzed_feed(spark, folder), ts="event_ts")
     return row.withColumn("started_at", F.col("started_at").cast(_NTZ))
 
 
+@query(f"WITH {sql.SCORED_FEED} {sql.kpi('scored', 'source', 'binary')}")
+def kpi_metrics_binary(spark: SparkSession, folder: str) -> DataFrame:
+    """Metrics as plain double arithmetic rounds them, per source so that several values are shown."""
+    return m.kpi(analyzed_feed(spark, folder), "source", rounding="binary")
+
+
 @query(f"WITH {sql.SCORED_FEED} {sql.kpi('scored', 'source')}")
 def kpi_by_source(spark: SparkSession, folder: str) -> DataFrame:
     return m.kpi(analyzed_feed(spark, folder), "source")
@@ -48,27 +54,29 @@ def sentiment_distribution(spark: SparkSession, folder: str) -> DataFrame:
     return m.distribution(analyzed_feed(spark, folder))
 
 
-_KEYWORDS = f"""WITH {sql.SCORED_FEED}, x AS (SELECT unnest(keywords) AS keyword, event_ts FROM scored),
-counts AS (SELECT keyword, count(*) AS cnt, min(event_ts) AS first_seen FROM x GROUP BY keyword)"""
+_KEYWORDS = f"""WITH {sql.SCORED_FEED}, x AS (SELECT unnest(keywords) AS keyword, event_ts, event_id FROM scored),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY keyword ORDER BY event_ts, event_id) AS place FROM x),
+counts AS (SELECT keyword, count(*) AS cnt, max(event_ts) FILTER (place = 1) AS first_seen,
+  max(event_id) FILTER (place = 1) AS first_id FROM ranked GROUP BY keyword)"""
 
 
-@query(f"{_KEYWORDS} SELECT * FROM counts")
+@query(f"{_KEYWORDS} SELECT keyword, cnt, first_seen FROM counts")
 def keyword_counts(spark: SparkSession, folder: str) -> DataFrame:
-    counts = kw.keyword_counts(analyzed_feed(spark, folder))
-    return counts.withColumn("first_seen", F.col("first_seen").cast(_NTZ))
+    counts = kw.keyword_counts(analyzed_feed(spark, folder), number="event_id")
+    return counts.select("keyword", "cnt", F.col("first_seen").cast(_NTZ).alias("first_seen"))
 
 
-@query(f"""{_KEYWORDS}, top AS (SELECT * FROM counts ORDER BY cnt DESC, first_seen, keyword LIMIT 10),
+@query(f"""{_KEYWORDS}, top AS (SELECT * FROM counts ORDER BY cnt DESC, first_seen, first_id, keyword LIMIT 10),
 lex AS (SELECT word, weight FROM weights UNION ALL SELECT 'not ' || word, -weight FROM weights
         UNION ALL SELECT 'positive_emoji', 1 UNION ALL SELECT 'negative_emoji', -1)
 SELECT keyword, cnt, regexp_matches(keyword, 'terrible|boring|hate|bad|not') AS is_neg_display, weight < 0 AS is_neg
 FROM top JOIN lex ON word = keyword""")
 def top_keywords(spark: SparkSession, folder: str) -> DataFrame:
-    return kw.top_keywords(kw.keyword_counts(analyzed_feed(spark, folder)))
+    return kw.top_keywords(kw.keyword_counts(analyzed_feed(spark, folder), number="event_id"))
 
 
 _RATE = lambda n: f"{sql.half_up(n, '60', 100)} / 100.0"
-_RATES = f"{_RATE('least(events_60s, 60)')} AS throughput_eps, {_RATE('events_60s')} AS throughput_eps_uncapped"
+_RATES = f"{_RATE('events_60s')} AS throughput_eps, {_RATE('least(events_60s, 60)')} AS throughput_eps_saturated"
 
 
 @query(f"""WITH n AS (SELECT count(*) AS events_60s FROM events
@@ -96,7 +104,7 @@ IS_RESET = "coalesce(get_json_object(props, '$.k') = '0', false)"
 
 
 @query(f"""WITH {sql.SCORED_FEED}, r AS (SELECT max(ts) AS reset_at FROM events WHERE {_MARKER}),
-since AS (SELECT scored.* FROM scored, r WHERE event_ts > coalesce(reset_at, TIMESTAMP '0001-01-01'))
+since AS (SELECT scored.* FROM scored, r WHERE reset_at IS NULL OR event_ts > reset_at)
 {sql.kpi('since')}""")
 def metrics_since_reset(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
@@ -160,15 +168,15 @@ def polarity_timeline(spark: SparkSession, folder: str) -> DataFrame:
 def feed_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """Metrics of the feed: one pass for counts and keywords, one over the last minute."""
     rate = tp.throughput_asof(table(spark, folder, "events"), "ts").select("throughput_eps").scalar()
-    return m.snapshot(analyzed_feed(spark, folder), rate)
+    return m.snapshot(analyzed_feed(spark, folder), rate, number="event_id")
 
 
 _METRICS = f"""{_KEYWORDS}, k AS ({sql.kpi('scored')}),
 n AS (SELECT count(*) AS events_60s FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 60 SECOND),
-top AS (SELECT * FROM counts ORDER BY cnt DESC, first_seen, keyword LIMIT 10),
-pairs AS (SELECT string_agg('["' || keyword || '",' || cnt || ']', ',' ORDER BY cnt DESC, first_seen, keyword) AS pairs
+top AS (SELECT * FROM counts ORDER BY cnt DESC, first_seen, first_id, keyword LIMIT 10),
+pairs AS (SELECT string_agg('["' || keyword || '",' || cnt || ']', ',' ORDER BY cnt DESC, first_seen, first_id, keyword) AS pairs
           FROM top),
-metrics AS (SELECT k.*, {_RATE('least(events_60s, 60)')} AS throughput_eps, coalesce(pairs, '') AS pairs
+metrics AS (SELECT k.*, {_RATE('events_60s')} AS throughput_eps, coalesce(pairs, '') AS pairs
             FROM k, n, pairs),
 payload AS (SELECT '{{"total":' || total || ',"positive":' || positive || ',"negative":' || negative
   || ',"neutral":' || neutral || ',"positive_pct":' || positive_pct || ',"negative_pct":' || negative_pct
@@ -187,16 +195,31 @@ def metrics_payload(spark: SparkSession, folder: str) -> DataFrame:
     return feed_snapshot(spark, folder).select("metrics")
 
 
-def _newest_json(spark: SparkSession, folder: str) -> DataFrame:
-    rows = newest_analyzed(spark, folder, newest.HISTORY_SIZE)
+# Each event's envelope carries the metrics after its minute, as a stream sends them after a batch.
+_MINUTES = f"""WITH {sql.SCORED_FEED}, e AS (SELECT *, date_trunc('minute', event_ts) AS minute FROM scored),
+per AS (SELECT minute, count(*) AS n, count(*) FILTER (sentiment = 'Positive') AS p, count(*) FILTER (sentiment = 'Negative') AS q,
+  count(*) FILTER (sentiment = 'Neutral') AS z, CAST(sum(milli) AS BIGINT) AS m FROM e GROUP BY minute),
+upto AS (SELECT minute, n, sum(n) OVER w AS total, sum(p) OVER w AS positive, sum(q) OVER w AS negative,
+  sum(z) OVER w AS neutral, sum(m) OVER w AS milli_sum FROM per WINDOW w AS (ORDER BY minute)),
+metrics AS (SELECT minute, '{{"total":' || total || ',"positive":' || positive || ',"negative":' || negative
+  || ',"neutral":' || neutral || ',"positive_pct":' || {sql.percent('positive', 'total')}
+  || ',"negative_pct":' || {sql.percent('negative', 'total')} || ',"neutral_pct":' || {sql.percent('neutral', 'total')}
+  || ',"avg_polarity":' || {sql.mean('milli_sum', 'total')} || ',"throughput_eps":' || {_RATE('n')} || '}}' AS metrics FROM upto)"""
+
+
+def _json_rows(rows: DataFrame) -> DataFrame:
     return event_json(rows, F.expr(time_of_day("event_ts")), "event_ts", "event_id")
 
 
-@query(f"""{_METRICS}, {_NEWEST(newest.HISTORY_SIZE)}
-SELECT id, '{{"type":"NEW_EVENT","data":' || {_EVENT} || ',"metrics":' || metrics || '}}' AS envelope FROM newest, payload""")
+@query(f"""{_MINUTES}
+SELECT id, '{{"type":"NEW_EVENT","data":' || {_EVENT} || ',"metrics":' || metrics || '}}' AS envelope
+FROM e JOIN metrics ON e.minute IS NOT DISTINCT FROM metrics.minute""")
 def event_envelopes(spark: SparkSession, folder: str) -> DataFrame:
-    metrics = feed_snapshot(spark, folder).select("metrics").scalar()
-    return new_events(_newest_json(spark, folder), metrics)
+    """One envelope for every event."""
+    rows = analyzed_feed(spark, folder)
+    minute = F.date_trunc("minute", "event_ts").alias("minute")
+    after = m.metrics_by_minute(rows, tp.rate_columns("total")[0])
+    return new_events(_json_rows(rows).select("*", minute), after)
 
 
 @query(f"""{_METRICS}, {_NEWEST(newest.HISTORY_SIZE)},
@@ -205,4 +228,5 @@ SELECT '{{"type":"INITIAL_STATE","history":[' || coalesce(history, '') || '],"me
 FROM h, payload""")
 def initial_envelope(spark: SparkSession, folder: str) -> DataFrame:
     metrics = feed_snapshot(spark, folder).select("metrics").scalar()
-    return initial_state(_newest_json(spark, folder), metrics, "event_ts", "event_id")
+    newest_rows = newest_analyzed(spark, folder, newest.HISTORY_SIZE)
+    return initial_state(_json_rows(newest_rows), metrics, "event_ts", "event_id")

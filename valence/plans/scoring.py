@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.sentiment import with_sentiment
+from ..functions.sentiment import register_sql, with_sentiment
 from ..operators.analyze import analyze, encode_analyzed, score_texts
-from ..sources.tables import event_feed, spread, table
+from ..sources.tables import event_feed, table
 from . import sql
 from .registry import query
 
@@ -60,10 +60,18 @@ def scored_feed_binary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {sql.score('documents', 'doc_id')} SELECT k AS doc_id, {sql.SCORE_COLUMNS} FROM score")
 def scored_documents(spark: SparkSession, folder: str) -> DataFrame:
-    documents = spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    documents = table(spark, folder, "documents").select("doc_id", "text")
     return flat_score(with_sentiment(documents), "doc_id")
 
 
+@query(f"WITH {sql.score('documents', 'doc_id')} SELECT k AS doc_id, {sql.SCORE_COLUMNS} FROM score")
+def sql_function(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents, scored by the SQL function."""
+    register_sql(spark, "sentiment")
+    documents = table(spark, folder, "documents")
+    return flat_score(spark.sql("SELECT doc_id, sentiment(text) AS analysis FROM {documents}", documents=documents), "doc_id")
+
+
 _TURN_KEY = "conv_id || '_' || turn"
 
 
@@ -72,7 +80,7 @@ _TURN_KEY = "conv_id || '_' || turn"
     f"FROM conversations JOIN score ON k = {_TURN_KEY}"
 )
 def scored_conversations(spark: SparkSession, folder: str) -> DataFrame:
-    turns = spread(table(spark, folder, "conversations").select("conv_id", "turn", "text"), "conv_id", "turn")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "text")
     return flat_score(with_sentiment(turns), "conv_id", "turn")
 
 
@@ -83,7 +91,7 @@ def scored_conversations(spark: SparkSession, folder: str) -> DataFrame:
 )
 def adhoc_score(spark: SparkSession, folder: str) -> DataFrame:
     """Conversation turns as score requests; those of users give no source."""
-    requests = spread(table(spark, folder, "conversations"), "conv_id", "turn").select(
+    requests = table(spark, folder, "conversations").select(
         "conv_id", "turn", "text", F.nullif(F.col("role"), F.lit("user")).alias("source")
     )
     return flat_score(score_texts(requests), "conv_id", "turn", "source", "user")

@@ -53,7 +53,7 @@ def _any_of(text: str, parts: list[str]) -> str:
     return "(" + " OR ".join(f"contains({text}, {quote(p)})" for p in parts) + ")"
 
 
-def _round_even(value: str, digits: int) -> str:
+def round_even(value: str, digits: int) -> str:
     """Correct rounding of the binary value: the decimal text of 30 digits shows on which side of a tie it lies."""
     return f"CAST(printf('%.{digits}f', {value}) AS DOUBLE)"
 
@@ -81,11 +81,11 @@ def score(source: str, key: str, text: str = "text", rounding: str = "exact") ->
             f"coalesce(list_reduce(list(value ORDER BY i) FILTER (favourable = {side}), lambda a, b: a + b),"
             " 0.0::DOUBLE)"
         )
-        milli = f"CAST(round({_round_even('(p - n) / (p + n + 0.5::DOUBLE)', 3)} * 1000) AS BIGINT)"
+        milli = f"CAST(round({round_even('(p - n) / (p + n + 0.5::DOUBLE)', 3)} * 1000) AS BIGINT)"
         share = lambda side: (
-            f"CAST(round({_round_even(f'{side} / (p + n + 0.1::DOUBLE) * 100', 1)} * 10) AS BIGINT)"
+            f"CAST(round({round_even(f'{side} / (p + n + 0.1::DOUBLE) * 100', 1)} * 10) AS BIGINT)"
         )
-        points = lambda side: _round_even(side, 2)
+        points = lambda side: round_even(side, 2)
     face = f"CASE sentiment WHEN 'Positive' THEN '{lx.FACES['Positive']}' WHEN 'Negative' THEN '{lx.FACES['Negative']}' ELSE '{lx.FACES['Neutral']}' END"
     return f"""
 weights AS (SELECT * FROM {values(lx.WORD_WEIGHTS.items())} AS v(word, weight)),
@@ -132,21 +132,26 @@ scored AS (SELECT id, text, source, "user", "timestamp", event_ts, event_id, sco
            FROM feed JOIN score ON k = id)"""
 
 
-def percent(part: str, total: str) -> str:
+def percent(part: str, total: str, rounding: str = "exact") -> str:
+    if rounding == "binary":
+        return f"CASE WHEN {total} > 0 THEN {round_even(f'CAST({part} AS DOUBLE) / greatest({total}, 1) * 100', 1)} ELSE 0.0 END"
     return f"CASE WHEN {total} > 0 THEN {half_up(f'{part} * 100', f'greatest({total}, 1)', 10)} / 10.0 ELSE 0.0 END"
 
 
-def mean(total_milli: str, total: str) -> str:
+def mean(total_milli: str, total: str, rounding: str = "exact") -> str:
+    if rounding == "binary":
+        value = round_even(f"coalesce({total_milli}, 0) / 1000.0::DOUBLE / greatest({total}, 1)", 3)
+        return f"CASE WHEN {total} > 0 THEN {value} ELSE 0.0 END"
     return f"CASE WHEN {total} > 0 THEN {half_up(f'coalesce({total_milli}, 0)', f'greatest({total}, 1)', 1)} / 1000.0 ELSE 0.0 END"
 
 
-def kpi(source: str, keys: str = "") -> str:
+def kpi(source: str, keys: str = "", rounding: str = "exact") -> str:
     """CTE body of the metrics of scored rows."""
     lead = f"{keys}, " if keys else ""
     group = f"GROUP BY {keys}" if keys else ""
     return f"""SELECT {lead}total, positive, negative, neutral,
-  {percent('positive', 'total')} AS positive_pct, {percent('negative', 'total')} AS negative_pct,
-  {percent('neutral', 'total')} AS neutral_pct, {mean('milli', 'total')} AS avg_polarity
+  {percent('positive', 'total', rounding)} AS positive_pct, {percent('negative', 'total', rounding)} AS negative_pct,
+  {percent('neutral', 'total', rounding)} AS neutral_pct, {mean('milli', 'total', rounding)} AS avg_polarity
 FROM (SELECT {lead}count(*) AS total, count(*) FILTER (sentiment = 'Positive') AS positive,
         count(*) FILTER (sentiment = 'Negative') AS negative, count(*) FILTER (sentiment = 'Neutral') AS neutral,
         CAST(sum(milli) AS BIGINT) AS milli FROM {source} {group})"""

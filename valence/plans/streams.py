@@ -85,35 +85,32 @@ def two_sinks_stream(spark: SparkSession, folder: str) -> DataFrame:
 def metrics_stream(spark: SparkSession, folder: str) -> DataFrame:
     out = work_dir(spark, "metrics-stream")
     counts = jobs.metrics_stream(analyzed_stream(spark, folder))
-    write = jobs.batch_folder(f"{out}/rows")
+    write = jobs.snapshot_folder(f"{out}/rows")
     jobs.start_batches(counts, write, f"{out}/checkpoint", mode="complete", once=True).awaitTermination()
     return m.finish_counts(jobs.read_snapshot(spark, f"{out}/rows"))
 
 
-@query(f"{_KEYWORDS} SELECT * FROM counts")
+@query(f"{_KEYWORDS} SELECT keyword, cnt, first_seen FROM counts")
 def keyword_stream(spark: SparkSession, folder: str) -> DataFrame:
     out = work_dir(spark, "keyword-stream")
-    counts = jobs.keyword_stream(analyzed_stream(spark, folder))
-    write = jobs.batch_folder(f"{out}/rows")
-    jobs.start_batches(
-        counts, write, f"{out}/checkpoint", mode="complete", once=True,
-        state_partitions=jobs.KEYWORD_PARTITIONS,
-    ).awaitTermination()
+    own = jobs.own_session(spark, jobs.KEYWORD_PARTITIONS)
+    counts = jobs.keyword_stream(analyzed_stream(own, folder))
+    write = jobs.snapshot_folder(f"{out}/rows")
+    jobs.start_batches(counts, write, f"{out}/checkpoint", mode="complete", once=True).awaitTermination()
     rows = jobs.read_snapshot(spark, f"{out}/rows")
-    return rows.withColumn("first_seen", F.col("first_seen").cast(_NTZ))
+    return rows.select("keyword", "cnt", F.col("first_seen").cast(_NTZ).alias("first_seen"))
 
 
 @query("""WITH w AS (SELECT time_bucket(INTERVAL 60 SECOND, ts) AS window_start, event_type AS source, count(*) AS events
   FROM events GROUP BY ALL)
-SELECT window_start, window_start + INTERVAL 60 SECOND AS window_end, source, events FROM w
-WHERE window_start + INTERVAL 60 SECOND
-  <= date_trunc('millisecond', (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE)""")
+SELECT window_start, window_start + INTERVAL 60 SECOND AS window_end, source, events FROM w""")
 def throughput_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Final minutes only: those that ended ten minutes before the newest event."""
+    """All minutes, those that are still open included: each batch writes the minutes that it changed."""
     out = work_dir(spark, "throughput-stream")
     minutes = jobs.throughput_stream(feed_stream(spark, folder))
-    jobs.start_parquet(minutes, f"{out}/rows", f"{out}/checkpoint", once=True).awaitTermination()
-    rows = spark.read.schema(minutes.schema).parquet(f"{out}/rows")
+    write = jobs.batch_folder(f"{out}/rows")
+    jobs.start_batches(minutes, write, f"{out}/checkpoint", mode="update", once=True).awaitTermination()
+    rows = jobs.read_newest(spark, f"{out}/rows", "window_start", "window_end", "source")
     return rows.withColumns({name: F.col(name).cast(_NTZ) for name in ("window_start", "window_end")})
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..operators.analyze import server_view
 
 _JSON = {"ignoreNullFields": "false"}
+# Stands for the minute of events without a time in the join on plain equality.
+_NO_MINUTE = "coalesce({}, TIMESTAMP '0001-01-01 00:00:00')"
 # The fields of an event, in order.
 EVENT_FIELDS = (
     "id", "text", "source", "user", "timestamp", "sentiment", "emoji", "label", "polarity", "confidence",
@@ -20,14 +22,18 @@ def event_json(analyzed: DataFrame, time: Column, *keep: str) -> DataFrame:
     return events.select(*keep, "id", F.to_json(F.struct(*EVENT_FIELDS), _JSON).alias("event"))
 
 
-def new_events(events: DataFrame, metrics: Column) -> DataFrame:
-    """One ``NEW_EVENT`` envelope per event, with the metrics of the snapshot."""
-    return events.select(
-        "id",
-        F.concat(
-            F.lit('{"type":"NEW_EVENT","data":'), F.col("event"), F.lit(',"metrics":'), metrics, F.lit("}")
-        ).alias("envelope"),
+def new_events(events: DataFrame, metrics: DataFrame) -> DataFrame:
+    """One ``NEW_EVENT`` envelope per event, with the metrics (``minute, metrics``) after its minute.
+
+    There is one row of metrics a minute: the events of a busy minute are split by
+    adaptive execution, or not shuffled at all while the minutes are few.
+    """
+    body = F.concat(
+        F.lit('{"type":"NEW_EVENT","data":'), F.col("event"), F.lit(',"metrics":'), F.col("metrics"), F.lit("}")
     )
+    known = metrics.select(F.col("minute").alias("of"), "metrics")
+    joined = events.join(known, F.expr(_NO_MINUTE.format("minute")) == F.expr(_NO_MINUTE.format("of")))
+    return joined.select("id", body.alias("envelope"))
 
 
 def initial_state(events: DataFrame, metrics: Column, *order: str) -> DataFrame:

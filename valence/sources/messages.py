@@ -22,15 +22,21 @@ def kafka_options(topic: str | None = None, servers: str | None = None) -> dict[
 def kafka_stream(spark: SparkSession, topic: str = INPUT_TOPIC, servers: str | None = None, **options: str) -> DataFrame:
     """Raw Kafka records. Needs the Kafka connector on the class path.
 
-    One task reads one topic partition; ``minPartitions`` splits large ones.
+    One task reads one topic partition; ``minPartitions`` splits large ones, and
+    ``maxOffsetsPerTrigger`` bounds a batch.
     """
     settings = kafka_options(servers=servers) | READ_OPTIONS | {"subscribe": topic} | options
     return spark.readStream.format("kafka").options(**settings).load()
 
 
+# A batch of a file source reads so many new files at most, also where it starts on a long backlog.
+FILES_PER_BATCH = "1000"
+
+
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, format: str = "json", **options: str) -> DataFrame:
     """Stream new files of a folder, or of what a path pattern matches."""
-    return spark.readStream.format(format).schema(schema).options(**options).load(path)
+    settings = {"maxFilesPerTrigger": FILES_PER_BATCH} | options
+    return spark.readStream.format(format).schema(schema).options(**settings).load(path)
 
 
 def message_stream(spark: SparkSession, format: str, path: str | None = None, **options: str) -> DataFrame:

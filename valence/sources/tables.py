@@ -10,8 +10,15 @@ from ..operators.messages import message_id
 from .samples import FEED_PHRASES
 
 
+# Unset by default. A caller that reads files of one row group each, which no scan setting can split, may name a number.
+INPUT_PARTITIONS = "spark.valence.inputPartitions"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """A given table, as its scan splits it; dealt out only where the caller has set ``INPUT_PARTITIONS``."""
+    rows = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    parts = spark.conf.get(INPUT_PARTITIONS, None)
+    return rows.repartition(int(parts), rows.columns[0]) if parts else rows
 
 
 def feed_of(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -33,16 +40,5 @@ def feed_of(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores where a scan has fewer splits than cores; no change on large input.
-
-    ``keys`` name unique columns; without them Spark sorts each partition first,
-    so that a repeated task deals out its rows in the same way. Only for frames
-    without a shuffle: to count partitions, Spark plans the frame.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def event_feed(spark: SparkSession, folder: str) -> DataFrame:
-    return feed_of(spread(table(spark, folder, "events"), "event_id"))
+    return feed_of(table(spark, folder, "events"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,12 +12,16 @@ from pyspark.storagelevel import StorageLevel
 from ..operators.analyze import analyze, encode_analyzed
 from ..operators.keywords import keyword_counts
 from ..operators.metrics import count_columns
+from ..session import prepare_streaming
 from ..sources.messages import RESULT_TOPIC, kafka_options
 
 Sink = Callable[[DataFrame, int], None]
 
 # At most 148 keywords: more state partitions would be empty.
 KEYWORD_PARTITIONS = 4
+# The rows of resets lie in folders of hours; up to so many are named to the scan.
+_HOUR, MOST_HOURS = "yyyyMMddHH", 1000
+_SLIM = "source string, event_ts timestamp, sentiment string, polarity double, batch int, hour string"
 
 
 def start(
@@ -50,35 +55,28 @@ def start_kafka(analyzed: DataFrame, checkpoint: str, topic: str = RESULT_TOPIC,
     return start(encode_analyzed(analyzed), "kafka", checkpoint, **kafka_options(topic, servers), **kwargs)
 
 
-def start_batches(
-    stream: DataFrame,
-    write: Sink,
-    checkpoint: str,
-    mode: str = "append",
-    once: bool = False,
-    state_partitions: int | None = None,
-) -> StreamingQuery:
-    """Start a query that hands each batch to ``write``.
+def own_session(spark: SparkSession, state_partitions: int) -> SparkSession:
+    """A session whose streams split their state into so many partitions; other sessions keep their number.
 
-    ``state_partitions`` splits the state of this query only; a checkpoint keeps
-    the first value. State of a few keys needs few, not the session's number.
+    A checkpoint keeps the first value. State of a few keys needs few partitions.
     """
+    own = prepare_streaming(spark.newSession())
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    return own
+
+
+def start_batches(
+    stream: DataFrame, write: Sink, checkpoint: str, mode: str = "append", once: bool = False
+) -> StreamingQuery:
+    """Start a query that hands each batch to ``write``."""
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
-    writer = writer.trigger(availableNow=True) if once else writer
-    if state_partitions is None:
-        return writer.start()
-    conf = stream.sparkSession.conf
-    before = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        # The query takes a copy of the settings as it starts.
-        return writer.start()
-    finally:
-        conf.set("spark.sql.shuffle.partitions", before)
+    return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def fan_out(*sinks: Sink) -> Sink:
-    """Score a batch once for several sinks."""
+    """Score a batch once for several sinks. A single sink gets the batch as it comes, without a copy of it."""
+    if len(sinks) == 1:
+        return sinks[0]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -91,11 +89,26 @@ def fan_out(*sinks: Sink) -> Sink:
     return write
 
 
-def batch_folder(path: str) -> Sink:
+def run_folder(path: str, checkpoint: str) -> str:
+    """A folder in ``path`` for the runs that share a checkpoint, whose batch numbers go on from run to run."""
+    return f"{path.rstrip('/')}/run={hashlib.sha256(checkpoint.rstrip('/').encode()).hexdigest()[:16]}"
+
+
+def batch_folder(path: str, *partition_by: str) -> Sink:
     """Write each batch to its own folder; repeating a batch overwrites it, so it counts once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch={batch_id}")
+
+    return write
+
+
+def snapshot_folder(path: str) -> Sink:
+    """Keep the newest snapshot of a complete-mode query, and the one before it until the next is written."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        numbered = batch.withColumn("batch", F.lit(batch_id).cast("bigint"))
+        numbered.write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
 
     return write
 
@@ -116,9 +129,17 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest snapshot that a complete-mode query wrote with ``batch_folder``."""
+    """The newest snapshot that ``snapshot_folder`` keeps; there are two at most, however long the query has run."""
     rows = spark.read.parquet(path)
-    return rows.where(F.col("batch") == rows.agg(F.max("batch")).scalar()).drop("batch")
+    return rows.where(F.col("batch") == rows.agg(F.max("batch")).scalar()).drop("batch", "slot")
+
+
+def read_newest(spark: SparkSession, path: str, *keys: str) -> DataFrame:
+    """Of rows that an update-mode query wrote with ``batch_folder``, the last one of each key."""
+    rows = spark.read.parquet(path)
+    values = [c for c in rows.columns if c not in (*keys, "batch")]
+    last = F.max_by(F.struct(*values), "batch").alias("last")
+    return rows.groupBy(*keys).agg(last).select(*keys, "last.*")
 
 
 # Transformations of streams
@@ -152,22 +173,25 @@ def reset_sinks(path: str) -> Sink:
 
     Columns: ``source, event_ts, is_reset, sentiment, polarity``. Counts per
     source and minute are additive, so no reset has to reach any state: a reset
-    only moves the point from which minutes count. The slim rows serve the one
-    minute in which a reset falls.
+    only moves the point from which minutes count. The slim rows, in a folder for
+    each hour, serve the one minute in which a reset falls.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def minutes(batch: DataFrame, batch_id: int) -> None:
         marked = batch.withColumn("minute", F.date_trunc("minute", "event_ts"))
-        events = marked.where(~F.col("is_reset"))
-        counts = events.groupBy("source", "minute").agg(*count_columns())
-        resets = marked.where("is_reset").groupBy("source").agg(F.max("event_ts").alias("reset_at"))
-        batch_folder(f"{path}/minutes")(counts, batch_id)
-        batch_folder(f"{path}/resets")(resets, batch_id)
-        batch_folder(f"{path}/rows")(
-            events.select("source", "minute", "event_ts", "sentiment", "polarity"), batch_id
+        as_event = marked.withColumn("sentiment", F.expr("CASE WHEN NOT is_reset THEN sentiment END"))
+        as_event = as_event.withColumn("polarity", F.expr("CASE WHEN NOT is_reset THEN polarity END"))
+        total, *others = count_columns()
+        counts = as_event.groupBy("source", "minute").agg(
+            F.count_if(~F.col("is_reset")).alias("total"), *others, F.expr("max(CASE WHEN is_reset THEN event_ts END)").alias("reset_at")
         )
+        batch_folder(f"{path}/minutes")(counts, batch_id)
+
+    def rows(batch: DataFrame, batch_id: int) -> None:
+        events = batch.where(~F.col("is_reset")).withColumn("hour", F.date_format("event_ts", _HOUR))
+        batch_folder(f"{path}/rows", "hour")(events.select("source", "hour", "event_ts", "sentiment", "polarity"), batch_id)
 
-    return fan_out(write)
+    return fan_out(minutes, rows)
 
 
 def read_since_reset(spark: SparkSession, path: str) -> DataFrame:
@@ -175,21 +199,18 @@ def read_since_reset(spark: SparkSession, path: str) -> DataFrame:
 
     A source with no events since then shows zeros.
     """
-    resets = spark.read.parquet(f"{path}/resets").groupBy("source").agg(F.max("reset_at").alias("reset_at"))
-    marks = resets.select(F.col("source").alias("mark"), "reset_at", F.date_trunc("minute", "reset_at").alias("edge"))
+    minutes = spark.read.parquet(f"{path}/minutes")
+    marks = minutes.groupBy(F.col("source").alias("mark")).agg(F.max("reset_at").alias("reset_at")).where("reset_at IS NOT NULL")
+    marks = marks.select("mark", "reset_at", F.date_trunc("minute", "reset_at").alias("edge"), F.date_format("reset_at", _HOUR).alias("edge_hour"))
     same_source = F.col("source").eqNullSafe(F.col("mark"))
-    later = (
-        spark.read.parquet(f"{path}/minutes")
-        .join(marks, same_source, "left")
-        .where(F.col("edge").isNull() | (F.col("minute") > F.col("edge")))
-    )
-    # Known before the scan, so that it reads the row groups of these minutes only.
-    first, last = marks.agg(F.min("edge")).scalar(), marks.agg(F.max("edge")).scalar()
+    later = minutes.drop("reset_at").join(marks, same_source, "left").where("edge IS NULL OR minute > edge")
+    # Of each source one minute counts in part: only the folders of the hours of the resets are read.
+    hours = [r["edge_hour"] for r in marks.select("edge_hour").distinct().limit(MOST_HOURS).collect()]
+    stored = spark.read.option("basePath", f"{path}/rows").schema(_SLIM).parquet(f"{path}/rows")
+    stored = stored.where(F.col("hour").isin(hours)) if len(hours) < MOST_HOURS else stored
     edge = (
-        spark.read.parquet(f"{path}/rows")
-        .where((F.col("minute") >= first) & (F.col("minute") <= last))
-        .join(marks, same_source & (F.col("minute") == F.col("edge")))
-        .where(F.col("event_ts") > F.col("reset_at"))
+        stored.join(marks, same_source & (F.col("hour") == F.col("edge_hour")))
+        .where("date_trunc('minute', event_ts) = edge AND event_ts > reset_at")
         .groupBy("source")
         .agg(*count_columns())
     )
