@@ -174,6 +174,16 @@ def test_blocks_miss_no_fingerprint_within_the_radius():
 # --- toxicity, language, quality ---
 
 
+@given(st.lists(st.sampled_from(["stupidly", "Stupid", "stupidity", "abcdefghij", "abcdexyz", "no", "x1y", "naïveté"])).map(" ".join), st.integers(0, 2**20))
+@settings(max_examples=200, deadline=None)
+def test_chosen_terms_are_counted_as_all_terms(text, pick):
+    find = toxicity._finder()
+    every = toxicity.terms_of("stupidly stupid stupidity abcdefghij abcdexyz no no x1y naïveté naïveté stupid", find)
+    terms = [t for i, t in enumerate(sorted(every)) if pick >> (i % 20) & 1]
+    vocabulary, whole = toxicity.Vocabulary(terms), toxicity.terms_of(text, find)
+    assert vocabulary.counts(text, find) == {i: whole[t] for i, t in enumerate(terms) if t in whole}
+
+
 def test_block_max_search_is_exact():
     draw = np.random.default_rng(6)
     vectors = []
@@ -397,3 +407,27 @@ def test_licence_rules():
 def test_every_known_sentence_holds_a_cue():
     known, _ = licenses.catalogue()
     assert all(any(cue in sentence for cue in licenses.CUES) for sentence in known)
+
+
+# --- the pipeline ---
+
+
+def test_stages_do_what_their_operators_say(spark):
+    """Each stage against its operator's own answer on the stage's input."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels, items = (spark.read.parquet(f"{FOLDER}/{name}.parquet") for name in ("labels", "benchmark"))
+    stages = dict(corpus_pipeline.STAGES)
+    ids = lambda df: sorted(r.doc_id for r in df.select("doc_id").collect())
+
+    kept = stages["toxicity"](spark, docs, FOLDER)
+    assert ids(kept) == ids(toxicity.score(docs, labels).where("predicted = 0"))
+    kept = stages["language_id"](spark, docs, FOLDER)
+    assert ids(kept) == ids(docs)
+    kept = stages["near_dedup"](spark, docs, FOLDER)
+    assert ids(kept) == ids(near_dedup.near_duplicates(docs).where("component_id = doc_id")) != ids(docs)
+    leaked = {r.doc_id for r in decontaminate.leaks(docs, items).collect()}
+    assert leaked and ids(stages["decontamination"](spark, docs, FOLDER)) == sorted(set(ids(docs)) - leaked)
+    whole = {r["doc_id"] for r in rows_of(spark, "pipeline")}
+    assert 100 < len(whole) < docs.count() and not whole & leaked
