@@ -104,13 +104,14 @@ def test_envelopes_for_more_events_than_the_history_and_for_those_without_a_time
     texts = ["good", "bad", "chair"] * 50
     rows = [(f"m{i:03d}", t, "s", "u", f"2024-01-01T00:{i // 60:02d}:{i % 60:02d}Z" if i % 50 else None) for i, t in enumerate(texts)]
     scored = analyze(spark.createDataFrame(rows, MESSAGE).withColumn("event_ts", F.expr(event_time("timestamp"))), keep=("event_ts",))
-    events = envelopes.event_json(scored, F.lit("x"), F.date_trunc("minute", "event_ts").alias("minute"))
+    events = envelopes.event_json(scored, F.lit("x"), "event_ts").withColumn("minute", F.expr(metrics.minute_of()))
     after = metrics.metrics_by_minute(scored, rate_columns("total")[0])
     got = {r.id: json.loads(r.envelope)["metrics"] for r in envelopes.new_events(events, after).collect()}
     assert len(got) == 150
     assert got["m000"]["total"] == 3 and got["m001"]["total"] == 3 + 58 and got["m149"]["total"] == 150
     assert got["m149"]["positive"] == got["m149"]["negative"] == 50 and got["m149"]["positive_pct"] == 33.3
     assert got["m001"]["throughput_eps"] == 0.97
+    assert got["m001"]["top_keywords"] == [["bad", 21], ["good", 20]] and got["m149"]["top_keywords"] == [["bad", 50], ["good", 50]]
 
 
 def test_numbers_without_gaps(spark):

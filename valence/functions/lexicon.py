@@ -54,3 +54,5 @@ BLANK_CONFIDENCE, NO_HIT_CONFIDENCE, TOP_CONFIDENCE = 500, 650, 995
 FACES = {"Positive": "😊", "Negative": "😞", "Neutral": "😐"}
 
 WORD_WEIGHTS = POSITIVE | {word: -weight for word, weight in NEGATIVE.items()}
+# All keywords that a text can have.
+KEYWORDS = [*WORD_WEIGHTS, *[f"not {word}" for word in WORD_WEIGHTS], "positive_emoji", "negative_emoji"]

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.arithmetic import literal, mean_milli, percent, to_milli
+from ..functions.arithmetic import literal, literals, mean_milli, percent, to_milli
+from ..functions.lexicon import KEYWORDS
 from ..functions.text import pointer_percent, polarity_band, signed_text
 from .keywords import first_place
 
@@ -80,40 +81,62 @@ def snapshot(scored: DataFrame, throughput_eps: Column, ts: str = "event_ts", nu
         F.expr(f"slice(sort_array(collect_list({entry})), 1, {k}) AS top"),
     )
     numbers = finish_counts(row, "top").withColumn("throughput_eps", throughput_eps)
-    # A pair holds a text and a number, which no array type does: the list is put together as text.
-    pair = "concat(rtrim(']', to_json(array(e.keyword))), ',', e.cnt, ']')"
     fields = [name for name in numbers.columns if name != "top"]
-    body = f"rtrim('}}', to_json(struct({', '.join(fields)})))"
-    return numbers.selectExpr(
-        *fields,
-        f"concat({body}, ',\"top_keywords\":[', array_join(transform(top, e -> {pair}), ','), ']}}') AS metrics",
-    )
+    return numbers.selectExpr(*fields, f"{_payload(fields)} AS metrics")
+
 
+# Stands for the minute of events without a time; they come first.
+NO_MINUTE = "TIMESTAMP '0001-01-01 00:00:00'"
 
-def metrics_by_minute(scored: DataFrame, rate: str, ts: str = "event_ts") -> DataFrame:
-    """``minute, metrics``: the running metrics after each minute with events, as JSON; events without a time come first.
 
-    Rows are counted per minute before any shuffle. The running sums go over the
-    minutes of a day, and then over days, so that no task sees more than a day's
-    1,440 minutes or one row for each day. ``rate`` is the rate column of a
-    minute's ``total``.
+def minute_of(ts: str = "event_ts") -> str:
+    return f"coalesce(date_trunc('minute', CAST({ts} AS TIMESTAMP)), {NO_MINUTE})"
+
+
+def metrics_by_minute(scored: DataFrame, rate: str, ts: str = "event_ts", number: str | None = None, k: int = 10) -> DataFrame:
+    """``minute, metrics``: the metrics and top keywords after each minute with events, as JSON.
+
+    One pass counts rows per minute and keyword before any shuffle, totals under
+    the null keyword as in ``snapshot``. What follows depends on the time that the
+    events span, not on their number: running totals go over the minutes of a day
+    and then over days, those of the 148 keywords over minutes. ``rate`` is the
+    rate column of a minute's ``total``.
     """
-    minutes = scored.groupBy(F.date_trunc("minute", ts).alias("minute")).agg(*count_columns())
-    minutes = minutes.withColumn("day", F.to_date("minute"))
+    columns = ["sentiment", "polarity", *([ts, number] if number else [ts])]
+    tagged = scored.selectExpr(
+        *columns, f"{minute_of(ts)} AS minute", "explode_outer(concat(array(CAST(NULL AS STRING)), keywords)) AS keyword"
+    )
+    groups = tagged.groupBy("minute", "keyword").agg(*count_columns(), first_place(ts, number).alias("place"))
+    minutes = groups.where("keyword IS NULL").withColumn("day", F.to_date("minute"))
     names = ["total", *[name.lower() for name in CLASSES], "polarity_milli"]
     in_day = Window.partitionBy("day").orderBy("minute").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
-    days = minutes.groupBy(F.col("day").alias("of")).agg(*[F.sum(n).alias(n) for n in names])
-    days = days.select("of", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before") for n in names])
-    running = minutes.selectExpr("*", rate).select(
-        "minute", "day", "throughput_eps", *[F.sum(n).over(in_day).alias(n) for n in names]
-    )
-    summed = running.join(days, F.col("day").eqNullSafe(F.col("of"))).select(
+    days = minutes.groupBy("day").agg(*[F.sum(n).alias(n) for n in names])
+    before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("day", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before") for n in names])
+    running = minutes.selectExpr("minute", "day", *names, rate)
+    running = running.select("minute", "day", "throughput_eps", *[F.sum(n).over(in_day).alias(n) for n in names])
+    summed = running.join(days, "day").select(
         "minute", "throughput_eps", *[(F.col(n) + F.col(f"{n}_before")).alias(n) for n in names]
     )
-    done = finish_counts(summed, "minute", "throughput_eps")
-    fields = [c for c in done.columns if c not in ("minute", "throughput_eps")]
-    return done.select("minute", F.to_json(F.struct(*fields, "throughput_eps")).alias("metrics"))
+    numbers = finish_counts(summed, "minute", "throughput_eps")
+
+    every = f"explode(array({literals(KEYWORDS)})) AS keyword"
+    seen = groups.where("keyword IS NOT NULL").select("minute", "keyword", "total", "place")
+    grid = minutes.selectExpr("minute", every).join(seen, ["minute", "keyword"], "left")
+    upto = Window.partitionBy("keyword").orderBy("minute").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = grid.select("minute", "keyword", F.sum("total").over(upto).alias("cnt"), F.min("place").over(upto).alias("place"))
+    entry = "struct(-cnt AS order, place, keyword, cnt)"
+    tops = filled.where("cnt > 0").groupBy("minute").agg(F.expr(f"slice(sort_array(collect_list({entry})), 1, {k}) AS top"))
+    fields = [c for c in numbers.columns if c not in ("minute", "throughput_eps")]
+    return numbers.join(tops, "minute", "left").selectExpr("minute", f"{_payload([*fields, 'throughput_eps'])} AS metrics")
+
+
+def _payload(fields: list[str]) -> str:
+    """JSON of numbers and the list ``top`` of keywords with counts."""
+    # A pair holds a text and a number, which no array type does: the list is put together as text.
+    pair = "concat(rtrim(']', to_json(array(e.keyword))), ',', e.cnt, ']')"
+    pairs = f"array_join(transform(coalesce(top, array()), e -> {pair}), ',')"
+    return f"concat(rtrim('}}', to_json(struct({', '.join(fields)}))), ',\"top_keywords\":[', {pairs}, ']}}')"
 
 
 def after_reset(rows: DataFrame, resets: DataFrame, ts: str) -> DataFrame:

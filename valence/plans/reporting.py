@@ -201,10 +201,19 @@ per AS (SELECT minute, count(*) AS n, count(*) FILTER (sentiment = 'Positive') A
   count(*) FILTER (sentiment = 'Neutral') AS z, CAST(sum(milli) AS BIGINT) AS m FROM e GROUP BY minute),
 upto AS (SELECT minute, n, sum(n) OVER w AS total, sum(p) OVER w AS positive, sum(q) OVER w AS negative,
   sum(z) OVER w AS neutral, sum(m) OVER w AS milli_sum FROM per WINDOW w AS (ORDER BY minute)),
+kw AS (SELECT minute, unnest(keywords) AS keyword, event_ts, event_id FROM e),
+seen AS (SELECT keyword, min(minute) AS first_minute, min((event_ts, event_id)) AS place FROM kw GROUP BY keyword),
+kwm AS (SELECT minute, keyword, count(*) AS n FROM kw GROUP BY ALL),
+grid AS (SELECT per.minute, keyword, place, coalesce(kwm.n, 0) AS n FROM per JOIN seen ON first_minute <= per.minute
+  LEFT JOIN kwm USING (minute, keyword)),
+kwc AS (SELECT minute, keyword, place, sum(n) OVER (PARTITION BY keyword ORDER BY minute) AS cnt FROM grid),
+best AS (SELECT *, row_number() OVER (PARTITION BY minute ORDER BY cnt DESC, place, keyword) AS r FROM kwc),
+top AS (SELECT minute, string_agg('["' || keyword || '",' || cnt || ']', ',' ORDER BY r) AS pairs FROM best WHERE r <= 10 GROUP BY minute),
 metrics AS (SELECT minute, '{{"total":' || total || ',"positive":' || positive || ',"negative":' || negative
   || ',"neutral":' || neutral || ',"positive_pct":' || {sql.percent('positive', 'total')}
   || ',"negative_pct":' || {sql.percent('negative', 'total')} || ',"neutral_pct":' || {sql.percent('neutral', 'total')}
-  || ',"avg_polarity":' || {sql.mean('milli_sum', 'total')} || ',"throughput_eps":' || {_RATE('n')} || '}}' AS metrics FROM upto)"""
+  || ',"avg_polarity":' || {sql.mean('milli_sum', 'total')} || ',"throughput_eps":' || {_RATE('n')}
+  || ',"top_keywords":[' || coalesce(pairs, '') || ']}}' AS metrics FROM upto LEFT JOIN top USING (minute))"""
 
 
 def _json_rows(rows: DataFrame) -> DataFrame:
@@ -217,9 +226,8 @@ FROM e JOIN metrics ON e.minute IS NOT DISTINCT FROM metrics.minute""")
 def event_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     """One envelope for every event."""
     rows = analyzed_feed(spark, folder)
-    minute = F.date_trunc("minute", "event_ts").alias("minute")
-    after = m.metrics_by_minute(rows, tp.rate_columns("total")[0])
-    return new_events(_json_rows(rows).select("*", minute), after)
+    after = m.metrics_by_minute(rows, tp.rate_columns("total")[0], number="event_id")
+    return new_events(_json_rows(rows).withColumn("minute", F.expr(m.minute_of())), after)
 
 
 @query(f"""{_METRICS}, {_NEWEST(newest.HISTORY_SIZE)},

@@ -7,8 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..operators.analyze import server_view
 
 _JSON = {"ignoreNullFields": "false"}
-# Stands for the minute of events without a time in the join on plain equality.
-_NO_MINUTE = "coalesce({}, TIMESTAMP '0001-01-01 00:00:00')"
 # The fields of an event, in order.
 EVENT_FIELDS = (
     "id", "text", "source", "user", "timestamp", "sentiment", "emoji", "label", "polarity", "confidence",
@@ -31,9 +29,7 @@ def new_events(events: DataFrame, metrics: DataFrame) -> DataFrame:
     body = F.concat(
         F.lit('{"type":"NEW_EVENT","data":'), F.col("event"), F.lit(',"metrics":'), F.col("metrics"), F.lit("}")
     )
-    known = metrics.select(F.col("minute").alias("of"), "metrics")
-    joined = events.join(known, F.expr(_NO_MINUTE.format("minute")) == F.expr(_NO_MINUTE.format("of")))
-    return joined.select("id", body.alias("envelope"))
+    return events.join(metrics, "minute").select("id", body.alias("envelope"))
 
 
 def initial_state(events: DataFrame, metrics: Column, *order: str) -> DataFrame:
