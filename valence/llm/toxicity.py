@@ -2,9 +2,9 @@
 
 Learning takes a bounded sample of the labelled texts: ``EXAMPLES`` toxic and as
 many clean ones for the index, and ``CALIBRATION`` of each for the calibration,
-chosen by a hash among distinct texts. Terms that the sample ties to either class
-(chi-squared above ``CHI``, at most ``TERMS``) span the vectors; document
-frequencies are counted over all documents. An example's vector is stored by
+chosen by a hash among distinct texts. Terms (words and beginnings of words) that
+the sample ties to either class (chi-squared above ``CHI``, at most ``TERMS``)
+span the vectors; document frequencies are counted over all documents. An example's vector is stored by
 blocks of ``BLOCK`` examples: for each block the largest weight of each term, and
 the postings. A query visits blocks in the order of their bounds, and stops when
 no block can hold a nearer example; the nearest are exact. They vote by distance,
@@ -31,17 +31,53 @@ EXAMPLES, CALIBRATION = 2000, 1000
 TERMS, CHI, LEAST_TEXTS = 2048, 25.0, 5
 BLOCK, NEAREST, EVIDENCE = 64, 15, 5
 NEAR = 0.05
-TERM = r"[^\W\d_]+"
-
-
-def _counts(text: str | None, place: dict[str, int], find) -> Counter:
-    return Counter([place[t] for t in find((text or "").lower()) if t in place])
+WORD = r"[^\W\d_]+"
+#: Letters of a word's beginnings that are terms as well, for inflected and compound words.
+BEGINNINGS = (5, 6, 7, 8)
 
 
 def _finder():
     import re
 
-    return re.compile(TERM).findall
+    return re.compile(WORD).findall
+
+
+def terms_of(text: str | None, find) -> Counter:
+    """How often a text holds each term: words, beginnings of longer words (``abcde-``), and both again
+    where they stand twice or more (``abcde-+``), as a vector of length one has no other way to tell that.
+    """
+    out = Counter(find((text or "").lower()))
+    for word, n in list(out.items()):
+        for size in BEGINNINGS:
+            if len(word) > size:
+                out[word[:size] + "-"] += n
+    out.update({term + "+": n for term, n in out.items() if n > 1})
+    return out
+
+
+class Vocabulary:
+    """The chosen terms and their places; counts them without making the other terms of a text."""
+
+    def __init__(self, terms: list[str]):
+        self.terms, self.place = terms, {t: i for i, t in enumerate(terms)}
+        # Beginnings that have to be counted, also where only their repetition is a term.
+        self.counted = {t.rstrip("+") for t in terms}
+        self.starts = {t[: BEGINNINGS[0]] for t in self.counted if t.endswith("-")}
+        self.again = {t.rstrip("+") for t in terms if t.endswith("+")}
+
+    def counts(self, text: str | None, find) -> dict[int, int]:
+        found: dict[str, int] = {}
+        for word, n in Counter(find((text or "").lower())).items():
+            if word in self.counted:
+                found[word] = n
+            if word[: BEGINNINGS[0]] in self.starts:
+                for size in BEGINNINGS:
+                    start = word[:size] + "-"
+                    if len(word) > size and start in self.counted:
+                        found[start] = found.get(start, 0) + n
+        out = {self.place[t]: n for t, n in found.items() if t in self.place}
+        out.update({self.place[t + "+"]: n for t, n in found.items() if n > 1 and t in self.again})
+        return out
 
 
 class Index:
@@ -85,7 +121,7 @@ class Index:
 
 @dataclass
 class Model:
-    place: dict[str, int]
+    vocabulary: Vocabulary
     idf: np.ndarray
     index: Index
     ids: list
@@ -124,20 +160,35 @@ class Model:
         return self.calibration(np.array(raw)), evidence
 
 
-def vectors(documents: DataFrame, terms: list[str], key: str, text: str) -> DataFrame:
-    """``key, terms, counts``: how often each whole text holds the given terms."""
-    place = {t: i for i, t in enumerate(terms)}
+def vectors(documents: DataFrame, vocabulary: Vocabulary, key: str, text: str) -> DataFrame:
+    """``key, terms, counts``: how often each whole text holds the chosen terms."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         find = _finder()
         for batch in batches:
-            counted = [_counts(t, place, find) for t in batch["text"]]
+            counted = [vocabulary.counts(t, find) for t in batch["text"]]
             yield pd.DataFrame({"key": batch["key"], "terms": [list(c) for c in counted], "counts": [list(c.values()) for c in counted]})
 
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
     return rows.mapInPandas(work, f"key {rows.schema['key'].dataType.simpleString()}, terms array<int>, counts array<int>")
 
 
+def _document_frequencies(stored: DataFrame, terms: int) -> tuple[np.ndarray, int]:
+    """In how many documents each term stands, and the number of documents; a task hands on one row of each term."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts, rows = np.zeros(terms, np.int64), 0
+        for batch in batches:
+            rows += len(batch)
+            counts += np.bincount(np.concatenate([np.zeros(0, np.int64), *batch["terms"]]).astype(np.int64), minlength=terms)
+        place = np.flatnonzero(counts)
+        yield pd.DataFrame({"term": np.append(place, -1), "n": np.append(counts[place], rows)})
+
+    sums = stored.select("terms").mapInPandas(work, "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    found = {row["term"]: row["n"] for row in sums}
+    return np.array([found.get(t, 0) for t in range(terms)], float), found.get(-1, 0)
+
+
 def _sample(documents: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> tuple[DataFrame, dict[int, int]]:
     """``key, label, role`` of the chosen rows, and the number of distinct labelled texts of each class."""
     learnable = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & (fold(key, FOLDS) != HELD_OUT))
@@ -161,7 +212,7 @@ def _chosen_terms(texts: DataFrame) -> list[str]:
         find, sums = _finder(), ({}, {})
         for batch in batches:
             for body, label in zip(batch["text"], batch["label"]):
-                for term in set(find((body or "").lower())):
+                for term in terms_of(body, find):
                     sums[label][term] = sums[label].get(term, 0) + 1
         for label in (0, 1):
             yield pd.DataFrame({"term": list(sums[label]), "label": label, "n": list(sums[label].values())})
@@ -188,18 +239,17 @@ def learn(
     texts = rows.join(F.broadcast(chosen), "key").groupBy("key").agg(F.min("text").alias("text"), F.first("label").alias("label"), F.first("role").alias("role"))
     texts = stage(texts, "examples")
     terms = _chosen_terms(texts.where("role = 'index'"))
-    stored = stage(vectors(documents, terms, key, text), "vectors")
-    df = {row["t"]: row["n"] for row in stored.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()}
-    total = stored.count()
-    idf = np.array([np.log((1.0 + total) / (1.0 + df.get(t, 0))) + 1e-6 for t in range(len(terms))])
-    place = {t: i for i, t in enumerate(terms)}
+    vocabulary = Vocabulary(terms)
+    stored = stage(vectors(documents, vocabulary, key, text), "vectors")
+    df, total = _document_frequencies(stored, len(terms))
+    idf = np.log((1.0 + total) / (1.0 + df)) + 1e-6
     # Bounded: the sample's rows, and of each the terms of the vocabulary.
-    sample = texts.select("key", "label", "role").join(vectors(texts, terms, "key", "text"), "key").orderBy("key").collect()
+    sample = texts.select("key", "label", "role").join(vectors(texts, vocabulary, "key", "text"), "key").orderBy("key").collect()
     of = lambda role: [(r["key"], r["label"], dict(zip(r["terms"], r["counts"]))) for r in sample if r["role"] == role]
-    return _fit(place, idf, of("index"), of("calibrate"), totals), stored
+    return _fit(vocabulary, idf, of("index"), of("calibrate"), totals), stored
 
 
-def _fit(place: dict[str, int], idf: np.ndarray, examples: list[tuple], others: list[tuple], totals: dict[int, int]) -> Model:
+def _fit(vocabulary: Vocabulary, idf: np.ndarray, examples: list[tuple], others: list[tuple], totals: dict[int, int]) -> Model:
     def weights(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
         label = np.array([r[1] for r in rows], float)
         stands = {c: totals.get(c, 0) / max(1, int((label == c).sum())) for c in (0, 1)}
@@ -209,7 +259,7 @@ def _fit(place: dict[str, int], idf: np.ndarray, examples: list[tuple], others:
     empty = np.array([not r[2] for r in examples], bool)
     of = empty if empty.any() else ~empty
     base = float((weight * label)[of].sum() / max(weight[of].sum(), 1e-9)) if len(examples) else 0.0
-    model = Model(place, idf, Index([], len(idf)), [r[0] for r in examples], label, weight, base, Isotonic(*[np.zeros(0)] * 3))
+    model = Model(vocabulary, idf, Index([], len(idf)), [r[0] for r in examples], label, weight, base, Isotonic(*[np.zeros(0)] * 3))
     model.index = Index([model.vector(r[2]) for r in examples], len(idf))
     target, share = weights(others)
     model.calibration = Isotonic(np.array([model.vote(r[2])[0] for r in others]), target, share)
@@ -253,7 +303,7 @@ def without_toxic(documents: DataFrame, labels: DataFrame, key: str = "doc_id",
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = _finder()
         for batch in batches:
-            found, _ = model.judge([_counts(t, model.place, find) for t in batch.column(text).to_pylist()])
+            found, _ = model.judge([model.vocabulary.counts(t, find) for t in batch.column(text).to_pylist()])
             yield batch.filter(pa.array(found < 0.5))
 
     return documents.mapInArrow(work, documents.schema)
