@@ -25,11 +25,11 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> float:
     args = arguments(argv)
-    spark = build_session("train classifier", spark__checkpoint__dir=args.work)
+    spark = build_session("train classifier")
     # The CSV is parsed once; the later passes read what they need of it.
-    rows = stage(classifier.binarize(read_corpus(spark, args.corpus)).select("id", "text", "label"), "corpus")
+    rows = stage(classifier.binarize(read_corpus(spark, args.corpus)).select("id", "text", "label"), "corpus", args.work)
     train, test = sampling.train_test_split(rows, "id", args.train_percent)
-    model = classifier.fit(sampling.exact_sample(train, "id", args.rows) if args.rows else train)
+    model = classifier.fit(sampling.exact_sample(train, "id", args.rows, args.work) if args.rows else train)
     classifier.save(model, args.model)
     predicted = classifier.classify(model, test)
     preview(predicted)

@@ -21,13 +21,14 @@ def train_test_split(rows: DataFrame, key: str, train_percent: int = 80) -> tupl
     return rows.where(in_train), rows.where(f"NOT {in_train}")
 
 
-def exact_sample(rows: DataFrame, key: str, n: int) -> DataFrame:
+def exact_sample(rows: DataFrame, key: str, n: int, work: str | None = None) -> DataFrame:
     """The ``n`` rows that come first by MD5 of the key (all rows where there are fewer).
 
     Two passes over the rows. The first counts 65,536 hash prefixes and finds the
     one in which row ``n`` lies. The second writes the rows up to that prefix, a
     little more than the sample; only those with that prefix are sorted. Equal
     and null keys are ordered by the other columns, so the choice repeats.
+    ``work`` is the folder to write to, else that of the session.
     """
     if n <= 0:
         return rows.limit(0)
@@ -39,7 +40,7 @@ def exact_sample(rows: DataFrame, key: str, n: int) -> DataFrame:
     hit = upto.where(F.col("upto") >= n).orderBy("prefix").first()
     if hit is None:
         return rows
-    kept = stage(rows.where(prefix <= hit["prefix"]), "sample")
+    kept = stage(rows.where(prefix <= hit["prefix"]), "sample", work)
     others = [F.col(f"`{c}`") for c in kept.columns if c != key]
     last = kept.where(prefix == hit["prefix"]).orderBy(code, F.col(key), *others).limit(n - hit["upto"] + hit["cnt"])
     return kept.where(prefix < hit["prefix"]).unionByName(last)

@@ -40,13 +40,13 @@ def prepare_streaming(spark: SparkSession) -> SparkSession:
     return prepare(spark)
 
 
-def work_dir(spark: SparkSession, label: str) -> str:
-    """A new path for one run under ``spark.checkpoint.dir``, the folder all executors share.
+def work_dir(spark: SparkSession, label: str, base: str | None = None) -> str:
+    """A new path for one run under ``base`` or ``spark.checkpoint.dir``, a folder all executors share.
 
     Only a local session without that setting gets a folder of its own.
     """
     global _local_base
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = base or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")

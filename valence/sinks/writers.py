@@ -19,9 +19,9 @@ def write_table(rows: DataFrame, path: str, partition_by: str | None = None, mod
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 
 
-def stage(rows: DataFrame, label: str) -> DataFrame:
+def stage(rows: DataFrame, label: str, base: str | None = None) -> DataFrame:
     """Write rows to the shared work folder and read them back: later passes start there, also after a lost executor."""
-    path = work_dir(rows.sparkSession, label)
+    path = work_dir(rows.sparkSession, label, base)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
