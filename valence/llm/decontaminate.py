@@ -35,7 +35,6 @@ RADIUS = 19
 ITEMS_AT_ONCE, CHARS_AT_ONCE = 20_000, 16_000_000
 #: Characters of documents whose words a task holds at once (a longer document is held alone).
 TEXT_AT_ONCE = 2_000_000
-_FILTER_BITS = 20
 WORD = r"[^\W_]+"
 
 
@@ -115,17 +114,16 @@ class Index:
 
         find = re.compile(WORD).findall
         self.ids = ids
-        self.words = [find(t.lower()) for t in texts]
-        self.vocabulary = {w: i for i, w in enumerate(sorted({w for words in self.words for w in words}))}
+        shared: dict[str, str] = {}
+        self.words = [[shared.setdefault(w, w) for w in find(t.lower())] for t in texts]
+        self.vocabulary = {w: i for i, w in enumerate(sorted(shared))}
         names = list(self.vocabulary)
         self.hashes = word_hashes(names) if names else np.zeros(0, np.uint64)
-        self.counts: list[Counter] = []
         #: Shingle length (five, or the words of a shorter item) -> words of an item -> the items.
         self.sized: dict[int, dict[int, Sized]] = {}
         known: dict[int, list[np.ndarray]] = {}
         for number, words in enumerate(self.words):
             n = min(SHINGLE, len(words))
-            self.counts.append(shingles(words, n) if n else Counter())
             if n:
                 hashes = shingle_hashes(self.hashes[[self.vocabulary[w] for w in words]], n)
                 known.setdefault(n, []).append(hashes)
@@ -136,21 +134,25 @@ class Index:
             for sized in sizes.values():
                 sized.close()
         self.known = {n: np.unique(np.concatenate(h)) for n, h in known.items()}
-        self.filter = {n: np.zeros(1 << _FILTER_BITS, bool) for n in self.known}
-        for n, h in self.known.items():
-            self.filter[n][h >> np.uint64(64 - _FILTER_BITS)] = True
+        self.filters: dict[int, tuple[np.uint64, np.ndarray]] = {}  # made where they are used, not sent
 
     def hits(self, words: np.ndarray, n: int) -> np.ndarray:
         """Places of the shingles that some item has."""
-        hashes = shingle_hashes(words, n)
-        places = np.flatnonzero(self.filter[n][hashes >> np.uint64(64 - _FILTER_BITS)])
         known = self.known[n]
+        if n not in self.filters:
+            shift = np.uint64(64 - max(16, (32 * len(known)).bit_length()))
+            self.filters[n] = (shift, np.zeros(1 << (64 - int(shift)), bool))
+            self.filters[n][1][known >> shift] = True
+        shift, may_be = self.filters[n]
+        hashes = shingle_hashes(words, n)
+        places = np.flatnonzero(may_be[hashes >> shift])
         at = np.minimum(np.searchsorted(known, hashes[places]), len(known) - 1)
         return places[known[at] == hashes[places]]
 
     def matches(self, words: list[str], hits: np.ndarray, n: int) -> dict[int, tuple[float, int, int, int]]:
         """For each matching item the best window of a document: similarity, distance, first word, words."""
         best: dict[int, tuple[float, int, int, int]] = {}
+        items: dict[int, Counter] = {}
         longest = max(self.sized[n])
         for group in np.split(hits, np.flatnonzero(np.diff(hits) > 2 * longest) + 1):
             low = max(0, int(group[0]) - longest)
@@ -166,7 +168,9 @@ class Index:
                     number = sized.items[item]
                     if window not in counted:
                         counted[window] = shingles(part[window : window + size + n - 1], n)
-                    found = similarity(counted[window], self.counts[number])
+                    if number not in items:
+                        items[number] = shingles(self.words[number], n)
+                    found = similarity(counted[window], items[number])
                     if found >= SIMILARITY and (number not in best or found > best[number][0]):
                         best[number] = (found, bits, low + window, size + n - 1)
         return best
