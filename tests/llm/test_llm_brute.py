@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import hypothesis.strategies as st
 import numpy as np
+import oracle
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -13,6 +14,7 @@ from hypothesis import given, settings
 import __spark_entry__ as driver
 from valence.llm import decontaminate, language_id, licenses, near_dedup, packing, sharding, toxicity, warc
 from valence.llm.common import Isotonic
+from valence.llm.queries import ORACLES
 
 FOLDER = "/root/testdata/sf0.001"
 LARGER = "/root/testdata/sf0.01"
@@ -27,6 +29,13 @@ def texts(spark):
     return {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
 
 
+@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("folder", [FOLDER, LARGER])
+def test_matches_sql(spark, name, folder):
+    count, extra, missing = oracle.compare(driver.queries()[name](spark, folder), oracle.connect(folder), ORACLES[name])
+    assert count and not extra and not missing, (extra[:3], missing[:3])
+
+
 # --- near duplicates ---
 
 
@@ -304,6 +313,40 @@ def test_fast_ids_are_the_ids_of_the_library(encoders, text):
     assert fast(text).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+# --- fingerprints ---
+
+
+def plain_sketch(text):
+    chain = lambda numbers: [seed := 42, *[seed := xxhash.xxh64_intdigest((n % 2**64).to_bytes(8, "little"), seed) for n in numbers]][-1]
+    words = re.sub(r"([\u0E00-\u0E7F\u2E80-\u9FFF\uF900-\uFAFF\U00020000-\U0003FFFF])", r" \1 ", text)
+    h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in re.split(r"[ \t\n\x0b\f\r]+", words) if w]
+    signed = lambda n: n - 2**64 if n >> 63 else n
+    if len(h) < 5:
+        found = [chain(h)] if h else []
+    else:
+        g = [signed(chain(h[i : i + 2])) for i in range(len(h) - 1)]
+        found = [chain(h[i : i + 5]) for i in range(len(h) - 4) if min(g[i], g[i + 3]) <= min(g[i + 1], g[i + 2])]
+    return sorted({(signed(n) >> 32) for n in found})[:64]
+
+
+def test_fingerprints_and_edits(spark, texts):
+    import hashlib
+
+    ids, near = sorted(texts), lambda a, b: len(set(sorted(set(a) | set(b))[:64]) & set(a) & set(b)) / max(len(sorted(set(a) | set(b))[:64]), 1) if a or b else 1.0
+    rows = {r["doc_id"]: r for r in rows_of(spark, "op6_fingerprints")}
+    assert sorted(rows) == ids
+    show = lambda s: "".join(f"{n % 2**32:08x}" for n in s)
+    for place, i in enumerate(ids):
+        text, following = texts[i], texts[ids[(place + 1) % len(ids)]]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        own, other, after = plain_sketch(text), plain_sketch(edited), plain_sketch(following)
+        assert rows[i] == {
+            "doc_id": i, "n_chars": len(text), "edited_sha256": hashlib.sha256(edited.encode()).hexdigest(), "fingerprint": show(own),
+            "edited_fingerprint": show(other), "near_edited": near(own, other), "near_next": near(own, after),
+        }
+
+
 # --- shards, records, licences ---
 
 

@@ -177,7 +177,9 @@ class Index:
 
 
     def search(self, texts: list[str | None]) -> Iterator[tuple]:
-        """``(place, item_id, similarity, distance, first_char, last_char, passage)`` for each match, by place in ``texts``."""
+        """``(place, item_id, similarity, distance, first_word, n_words, first_char, last_char, passage)`` of each match, by
+        place in ``texts``.
+        """
         part, size = [], 0
         for place, text in enumerate(texts):
             part.append((place, text or ""))
@@ -210,7 +212,7 @@ class Index:
                     # Lower case may change the number of words of rare scripts: then there are no places in the text.
                     span = (spans[first][0], spans[first + count - 1][1]) if len(spans) == len(words) else (None, None)
                     cut = text[span[0] : span[1]] if span[1] else " ".join(words[first : first + count])
-                    found.append((place, self.ids[number], alike, bits, *span, cut))
+                    found.append((place, self.ids[number], alike, bits, first, count, *span, cut))
         return sorted(found, key=lambda row: row[0])
 
 
@@ -225,7 +227,7 @@ def indexes(items: DataFrame, item_key: str = "item_id", item_text: str = "text"
 
 
 def _scan(index: Index):
-    columns = ["key", "item_id", "similarity", "distance", "first_char", "last_char", "passage"]
+    columns = ["key", "item_id", "similarity", "distance", "first_word", "n_words", "first_char", "last_char", "passage"]
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -243,8 +245,8 @@ def leaks(
 ) -> DataFrame:
     """A row for each document and benchmark item of which it holds a passage of similarity 0.8 or more.
 
-    ``key, item_id, similarity, distance, first_char, last_char, passage``: the
-    item's best window, the first of equal ones. Words are runs of letters and
+    ``key, item_id, similarity, distance, first_word, n_words, first_char,
+    last_char, passage``: the item's best window, the first of equal ones. Words are runs of letters and
     digits, in lower case; shingles are five words, of an item with fewer words
     all of them. Null and empty texts and items match nothing. Repeated rows and
     repeated items are reported each; null ids are kept. Other columns are not
@@ -253,7 +255,8 @@ def leaks(
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind, item_kind = rows.schema["key"].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     schema = (
-        f"key {kind}, item_id {item_kind}, similarity double, distance int, first_char bigint, last_char bigint, passage string"
+        f"key {kind}, item_id {item_kind}, similarity double, distance int, first_word bigint, n_words bigint, "
+        "first_char bigint, last_char bigint, passage string"
     )
     found = documents.sparkSession.createDataFrame([], schema)
     for index in indexes(items, item_key, item_text):

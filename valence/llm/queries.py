@@ -22,6 +22,62 @@ def query(build: Query) -> Query:
     return build
 
 
+# Brute force over all windows that hold a shingle of an item; lengths in words.
+ORACLES["op2_benchmark_decontamination"] = r"""
+WITH i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark),
+sized AS (SELECT item_id, w, len(w) AS m, least(5, len(w)) AS n FROM i WHERE len(w) > 0),
+runs AS (SELECT item_id, m, n, unnest(list_transform(range(1, m - n + 2), lambda k: array_to_string(w[k:k + n - 1], ' '))) AS s
+  FROM sized),
+items AS (SELECT item_id, m, n, s, count(*) AS c FROM runs GROUP BY ALL),
+d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+placed AS (SELECT doc_id, n, len(w) AS size, unnest(range(0, len(w) - n + 1)) AS p,
+  unnest(list_transform(range(1, len(w) - n + 2), lambda k: array_to_string(w[k:k + n - 1], ' '))) AS s
+  FROM d JOIN (SELECT DISTINCT n FROM sized) ON len(w) >= n),
+hits AS (SELECT doc_id, item_id, m, n, size, p, s, c FROM placed JOIN items USING (n, s)),
+near AS (SELECT doc_id, item_id, m, n, size, p, unnest(range(0, m - n + 1)) AS back FROM hits),
+windows AS (SELECT DISTINCT doc_id, item_id, greatest(0, least(p - back, size - m)) AS first_word, least(m, size) AS n_words
+  FROM near),
+inside AS (SELECT doc_id, item_id, first_word, n_words, m, n, s, c, count(*) AS x
+  FROM windows JOIN hits USING (doc_id, item_id) WHERE p BETWEEN first_word AND first_word + n_words - n GROUP BY ALL),
+common AS (SELECT doc_id, item_id, first_word, n_words, m, n, sum(least(x, c)) AS shared FROM inside GROUP BY ALL),
+scored AS (SELECT *, CAST(shared AS DOUBLE) / ((m - n + 1) + (n_words - n + 1) - shared) AS similarity FROM common)
+SELECT doc_id, item_id, similarity, CAST(first_word AS BIGINT) AS first_word, CAST(n_words AS BIGINT) AS n_words FROM scored
+WHERE similarity >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, first_word) = 1"""
+
+
+def _shard_sql(shards: int) -> str:
+    """CTE body ``rid, shard``: all draws of a level as rows, the smallest one kept."""
+    leaves = ", ".join(f"({x.region}, {x.rack}, {x.shard}, {x.weight})" for x in sharding.layout(shards))
+    draw = lambda path, child: (
+        f"-ln((CAST('0x' || substr(md5(concat_ws('/', {path}, {child}, k)), 1, 13) AS BIGINT) + 0.5::DOUBLE)"
+        " / 4503599627370496.0::DOUBLE) / w"
+    )
+    return f"""WITH leaf AS (SELECT * FROM (VALUES {leaves}) AS v(region, rack, shard, weight)),
+g AS (SELECT rid, k, region FROM doc, (SELECT region, CAST(sum(weight) AS DOUBLE) AS w FROM leaf GROUP BY region)
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY {draw("'tree'", 'region')}, region) = 1),
+r AS (SELECT rid, k, region, rack FROM g JOIN (SELECT region, rack, CAST(sum(weight) AS DOUBLE) AS w FROM leaf GROUP BY ALL)
+  USING (region) QUALIFY row_number() OVER (PARTITION BY rid ORDER BY {draw('region', 'rack')}, rack) = 1)
+SELECT rid, shard FROM r JOIN (SELECT region, rack, shard, CAST(weight AS DOUBLE) AS w FROM leaf) USING (region, rack)
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY {draw("concat_ws('/', region, rack)", 'shard')}, shard) = 1"""
+
+
+# Slots as Spark numbers them where one input split holds all rows, as in a file of one row group.
+ORACLES["op7_sharding"] = f"""
+WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS k, coalesce(text, '') AS text
+  FROM documents),
+bits AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+  lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) r(i))),
+bytes AS (SELECT rid, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS b FROM doc),
+crc AS (SELECT rid, xor(list_reduce(list_prepend(4294967295, b),
+  lambda a, x: xor(a >> 8, t[CAST(xor(a, x) & 255 AS INTEGER) + 1])), 4294967295) AS text_crc32 FROM bytes, bits),
+own AS ({_shard_sql(40)}), grown AS ({_shard_sql(41)}),
+rows AS (SELECT doc_id, CAST(octet_length(encode(text)) + 16 AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law,
+  own.shard AS shard, grown.shard AS grown_shard FROM doc JOIN crc USING (rid) JOIN own USING (rid) JOIN grown USING (rid))
+SELECT doc_id, size, text_crc32, law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, grown_shard FROM rows"""
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", "text")
 
@@ -41,7 +97,8 @@ def digests(pieces: DataFrame) -> DataFrame:
 @query
 def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """A row for each document and benchmark item that it leaks."""
-    return decontaminate.leaks(documents(spark, folder), table(spark, folder, "benchmark"))
+    found = decontaminate.leaks(documents(spark, folder), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "first_word", "n_words")
 
 
 @query
