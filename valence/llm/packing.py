@@ -239,7 +239,8 @@ def pack(
         level += 1
         left = packed.where("left_over")
         tasks = -(-left.agg(F.count_distinct("sequence_id")).first()[0] // FAN_IN)
-        met = left.repartitionByRange(tasks, "sequence_id") if tasks > 1 else left.coalesce(1)
+        # Whole windows meet in a task; the table itself is read by many.
+        met = left.repartitionByRange(tasks, "sequence_id") if tasks > 1 else left.repartition(1)
         met = met.sortWithinPartitions("sequence_id", "offset").select("key", "start", "ids", "doc_tokens")
         packed = stage(met.mapInPandas(_pack_again(window, open_windows, level, tasks <= 1), kind), "packed")
         done = done.union(packed.where("NOT left_over"))
