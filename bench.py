@@ -14,8 +14,10 @@ import re
 import sys
 import time
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession, functions as F
 
+from valence.functions import lexicon
 from valence.functions.sentiment import with_sentiment
 from valence.plans import QUERIES
 from valence.session import prepare
@@ -24,6 +26,10 @@ from valence.sources.tables import INPUT_PARTITIONS, event_feed, table
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "tests"))
 import brute  # noqa: E402
 
+# The twin runs in workers that may not have this folder.
+for module in (brute, lexicon):
+    cloudpickle.register_pickle_by_value(module)
+
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
 RUNS = int(os.environ.get("BENCH_RUNS", "2"))
