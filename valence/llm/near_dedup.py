@@ -260,11 +260,13 @@ def links(distinct: DataFrame) -> DataFrame:
     these are linked exactly through the points within two bits of each: that
     costs 2,081 rows a fingerprint, however many share the key.
     """
-    keyed = distinct.select("fp").mapInPandas(_emit_keys, _KEYED)
+    # Fingerprints are few bytes and their keys many: a file's worth of them would be too much for a task.
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = distinct.select("fp").repartition(tasks, "fp").mapInPandas(_emit_keys, _KEYED)
     met = keyed.repartition("key").sortWithinPartitions("key")
     found = stage(met.mapInPandas(_near, _LINKED), "near")
     crowded = found.where("many").select(F.col("a").alias("fp")).distinct()
-    ball = crowded.mapInPandas(_ball_keys, _KEYED).repartition("key").sortWithinPartitions("key", "fp")
+    ball = crowded.repartition(tasks, "fp").mapInPandas(_ball_keys, _KEYED).repartition("key").sortWithinPartitions("key", "fp")
     near = ball.mapInPandas(_chain, _LINKED)
     return found.where("NOT many").union(near).select("a", "b")
 
