@@ -17,8 +17,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 K, S = 5, 2
 SKETCH = 64
-_ALONE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}"
-WORD = rf"[{_ALONE}]|[^\s{_ALONE}]+"
+#: Letters of scripts without spaces between words; each is a word of its own.
+ALONE = r"[\u0E00-\u0E7F\u2E80-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}]"
+
+
+def words(text: str) -> str:
+    """SQL for the words of a text: what stands between white space; plain ASCII needs no look at scripts."""
+    body = f"coalesce(`{text}`, '')"
+    parted = f"CASE WHEN octet_length({body}) = char_length({body}) THEN {body} ELSE regexp_replace({body}, r'({ALONE})', ' $1 ') END"
+    return f"array_remove(split({parted}, r'\\s+'), '')"
 
 
 def with_anchors(rows: DataFrame, text: str, into: str = "anchors") -> DataFrame:
@@ -30,10 +37,9 @@ def with_anchors(rows: DataFrame, text: str, into: str = "anchors") -> DataFrame
     own = [F.col(f"`{c}`") for c in rows.columns]
     last = K - S
     inner = ", ".join(f"get(__g, i + {j})" for j in range(1, last))
-    words = f"regexp_extract_all(coalesce(`{text}`, ''), r'{WORD}', 0)"
     pair = ", ".join(f"get(__h, i + {j})" for j in range(S))
     run = ", ".join(f"get(__h, i + {j})" for j in range(K))
-    hashed = rows.select(*own, F.expr(f"transform({words}, w -> xxhash64(w))").alias("__h"))
+    hashed = rows.select(*own, F.expr(f"transform({words(text)}, w -> xxhash64(w))").alias("__h"))
     inners = hashed.select(
         *own, "__h", F.expr(f"CASE WHEN size(__h) >= {K} THEN transform(sequence(0, size(__h) - {S}), i -> xxhash64({pair})) END").alias("__g")
     )
@@ -86,7 +92,7 @@ def _in_ranges(rows: DataFrame, ranges: int) -> DataFrame:
 
 
 def with_next(rows: DataFrame, ranges: int | None = None) -> DataFrame:
-    """Add ``next_text`` and ``next_sketch`` of the row with the next ``key``; after the last comes the first.
+    """Add ``sketch``, and ``next_text`` and ``next_sketch`` of the row with the next ``key``; after the last comes the first.
 
     Rows are dealt out by ranges of keys. Each range also gets a copy of the first
     row of the range after it, so no range has to look into another. Rows with
@@ -101,9 +107,11 @@ def with_next(rows: DataFrame, ranges: int | None = None) -> DataFrame:
     firsts = firsts.select("range", "first", before.alias("before"))
     same = "p.range = f.range AND p.key <=> f.first.key AND p.tie = f.first.tie"
     heads = placed.alias("p").join(F.broadcast(firsts.alias("f")), F.expr(same)).select("p.*", "f.before")
-    heads = heads.groupBy("before").agg(F.min(F.struct("key", "tie", "text", "sketch")).alias("row"))
-    guests = heads.select("row.key", "row.text", "row.sketch", "row.tie", F.col("before").alias("range"), F.lit(1).alias("guest"))
-    both = placed.select("key", "text", "sketch", "tie", "range", F.lit(0).alias("guest")).union(guests)
+    heads = heads.groupBy("before").agg(F.min(F.struct("key", "tie", "text")).alias("row"))
+    guests = heads.select("row.key", "row.text", "row.tie", F.col("before").alias("range"), F.lit(1).alias("guest"))
+    both = placed.select("key", "text", "tie", "range", F.lit(0).alias("guest")).union(guests)
+    # Each text is sketched once, here, where rows and guests have come together but have not moved yet.
+    both = with_anchors(both, "text").select("key", "text", "tie", "range", "guest", sketch("anchors").alias("sketch"))
     order = Window.partitionBy("range").orderBy("guest", "key", "tie")
     followed = both.select(
         "*", F.lead("text").over(order).alias("next_text"), F.lead("sketch").over(order).alias("next_sketch")
@@ -128,7 +136,6 @@ def edit_study(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
     gives no rows.
     """
     rows = documents.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = with_anchors(rows, "text").select("key", "text", sketch("anchors").alias("sketch"))
     rows = with_next(rows).withColumn("n_chars", F.char_length("text").cast("long"))
     rows = rows.select("key", "n_chars", "sketch", "next_sketch", edited("text", "next_text", "n_chars").alias("edited"))
     rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
