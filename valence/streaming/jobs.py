@@ -19,9 +19,9 @@ Sink = Callable[[DataFrame, int], None]
 
 # At most 148 keywords: more state partitions would be empty.
 KEYWORD_PARTITIONS = 4
-# The rows of resets lie in folders of hours; up to so many are named to the scan.
-_HOUR, MOST_HOURS = "yyyyMMddHH", 1000
-_SLIM = "source string, event_ts timestamp, sentiment string, polarity double, batch int, hour string"
+# The rows of resets lie in folders of days; up to so many are named to the scan.
+_DAY, MOST_DAYS = "yyyyMMdd", 1000
+_SLIM = "source string, event_ts timestamp, sentiment string, polarity double, batch int, day string"
 
 
 def start(
@@ -174,7 +174,7 @@ def reset_sinks(path: str) -> Sink:
     Columns: ``source, event_ts, is_reset, sentiment, polarity``. Counts per
     source and minute are additive, so no reset has to reach any state: a reset
     only moves the point from which minutes count. The slim rows, in a folder for
-    each hour, serve the one minute in which a reset falls.
+    each day, serve the one minute in which a reset falls.
     """
 
     def minutes(batch: DataFrame, batch_id: int) -> None:
@@ -188,8 +188,8 @@ def reset_sinks(path: str) -> Sink:
         batch_folder(f"{path}/minutes")(counts, batch_id)
 
     def rows(batch: DataFrame, batch_id: int) -> None:
-        events = batch.where(~F.col("is_reset")).withColumn("hour", F.date_format("event_ts", _HOUR))
-        batch_folder(f"{path}/rows", "hour")(events.select("source", "hour", "event_ts", "sentiment", "polarity"), batch_id)
+        events = batch.where(~F.col("is_reset")).withColumn("day", F.date_format("event_ts", _DAY))
+        batch_folder(f"{path}/rows", "day")(events.select("source", "day", "event_ts", "sentiment", "polarity"), batch_id)
 
     return fan_out(minutes, rows)
 
@@ -201,15 +201,15 @@ def read_since_reset(spark: SparkSession, path: str) -> DataFrame:
     """
     minutes = spark.read.parquet(f"{path}/minutes")
     marks = minutes.groupBy(F.col("source").alias("mark")).agg(F.max("reset_at").alias("reset_at")).where("reset_at IS NOT NULL")
-    marks = marks.select("mark", "reset_at", F.date_trunc("minute", "reset_at").alias("edge"), F.date_format("reset_at", _HOUR).alias("edge_hour"))
+    marks = marks.select("mark", "reset_at", F.date_trunc("minute", "reset_at").alias("edge"), F.date_format("reset_at", _DAY).alias("edge_day"))
     same_source = F.col("source").eqNullSafe(F.col("mark"))
     later = minutes.drop("reset_at").join(marks, same_source, "left").where("edge IS NULL OR minute > edge")
-    # Of each source one minute counts in part: only the folders of the hours of the resets are read.
-    hours = [r["edge_hour"] for r in marks.select("edge_hour").distinct().limit(MOST_HOURS).collect()]
+    # Of each source one minute counts in part: only the folders of the days of the resets are read.
+    days = [r["edge_day"] for r in marks.select("edge_day").distinct().limit(MOST_DAYS).collect()]
     stored = spark.read.option("basePath", f"{path}/rows").schema(_SLIM).parquet(f"{path}/rows")
-    stored = stored.where(F.col("hour").isin(hours)) if len(hours) < MOST_HOURS else stored
+    stored = stored.where(F.col("day").isin(days)) if len(days) < MOST_DAYS else stored
     edge = (
-        stored.join(marks, same_source & (F.col("hour") == F.col("edge_hour")))
+        stored.join(marks, same_source & (F.col("day") == F.col("edge_day")))
         .where("date_trunc('minute', event_ts) = edge AND event_ts > reset_at")
         .groupBy("source")
         .agg(*count_columns())
