@@ -447,6 +447,44 @@ def test_licence_rules():
     assert scan(out_of_order) == []
 
 
+GPL = """/* This program is free software{0}
+ * modify it under the terms of the GNU General Public License as
+ * published by the Free Software Foundation{1} of the
+ * License, or (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details. */
+"""
+MPL = """// This Source Code Form is subject to the terms of the Mozilla Public
+// License, v. 2.0. If a copy of the MPL was not distributed with this
+// file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+
+
+def test_wrapped_headers_with_punctuation_inside_sentences():
+    scan = licenses.Scanner().licences
+    hope = ["gpl-hope", "gpl-see"]
+    gpl2 = GPL.format("; you can redistribute it and/or", "; either version 2")
+    gpl3 = GPL.format(": you can redistribute it and/or", ", either version 3")
+    wanted = {
+        gpl2: ("GPL-2.0-or-later", ["gpl2-or-later", *hope]), gpl3: ("GPL-3.0-or-later", ["gpl3-or-later", *hope]),
+        MPL: ("MPL-2.0", ["mpl2-subject", "mpl2-copy"]), " ".join(MPL.replace("//", "").split()): ("MPL-2.0", ["mpl2-subject", "mpl2-copy"]),
+    }
+    for text, (name, used) in wanted.items():
+        for whole in (text, text.replace("\n", "\r\n"), "int a;\n" + text + "\nint b; int c;"):
+            ((found, kind, first, last, sentences),) = scan(whole)
+            assert (found, kind, sentences) == (name, "notice", used)
+            assert whole[first:].lstrip("/* ").startswith("This") and whole[:last].rstrip(" */").endswith(".")
+    # A word on each line is as good as a long line.
+    assert [f[:2] for f in scan("\n".join(MPL.replace("//", "").split()))] == [("MPL-2.0", "notice")]
+    assert scan(gpl3.replace("redistribute", "sell").replace("version 3", "version 4")) == []
+    for before in ("", "x = 1  ", "Copyright 2020 Someone. ", "/*"):
+        (found,) = scan(text := f"{before}SPDX-License-Identifier: MIT\nimport x")
+        assert found[:2] == ("MIT", "spdx") and text[found[2] : found[3]].lstrip("/*") == "SPDX-License-Identifier: MIT"
+
+
 def test_every_known_sentence_holds_a_cue():
     known, _ = licenses.catalogue()
     assert all(any(cue in sentence for cue in licenses.CUES) for sentence in known)

@@ -4,7 +4,8 @@ A text is cut into sentences. A sentence without punctuation and in lower case i
 looked up among the known licence sentences, which gives its identifier; the
 sequence of identifiers in a text is then matched against ordered licence rules,
 the longest first. Sentences may run over several lines, also with comment marks
-before each: sentences within a line, lines and sentences over lines are all
+before each, and may hold punctuation that ends others: sentences within a line,
+lines, sentences over lines and runs of neighbouring pieces of any number are all
 tried, and the longest find counts.
 """
 
@@ -143,9 +144,19 @@ class Scanner:
     NEWLINE = re.compile(r"\n")
     WORD = re.compile(r"[^\W_]")
     LINE = re.compile(r"(?<=[.!?;:])[\"')\]]*\s+|\n")
+    # An SPDX tag may follow anything.
+    TAGGED = re.compile(LINE.pattern + r"|(?=\bspdx-license-identifier:)", re.IGNORECASE)
+    WORDS = re.compile(r"[^\W_]+")
 
     def __init__(self) -> None:
         self.known, self.rules = catalogue()
+        #: Known sentences word by word; None holds the identifier of a sentence that is whole there.
+        self.tree: dict = {}
+        for sentence, name in self.known.items():
+            node = self.tree
+            for word in sentence.split():
+                node = node.setdefault(word, {})
+            node[None] = name
         self.first: dict[str, list[tuple[str, str, tuple[str, ...]]]] = {}
         for rule in self.rules:
             self.first.setdefault(rule[2][0], []).append(rule)
@@ -158,13 +169,29 @@ class Scanner:
             at = match.end()
         yield at, len(text)
 
+    def _run(self, text: str, pieces: list[tuple[int, int]], at: int) -> tuple[int, str] | None:
+        """Last character and identifier of the longest known sentence that whole pieces from ``at`` on make up."""
+        node, longest = self.tree, None
+        for place in range(at, len(pieces)):
+            any_word = False
+            for match in self.WORDS.finditer(text, *pieces[place]):
+                node, any_word = node.get(match[0].lower()), True
+                if node is None:
+                    return longest
+            if any_word and None in node:
+                longest = (pieces[place][1], node[None])
+            elif not any_word and place == at:
+                return None
+        return longest
+
     def sentences(self, text: str) -> list[tuple[int, int, str | None]]:
         """First and last character of each sentence, with its identifier if known; finds in lines and over lines."""
         lower = text.lower()
         if not any(cue in lower for cue in CUES):
             return []
         found: dict[int, tuple[int, int, str]] = {}
-        lines = list(self.spans(text, self.LINE))
+        cut = self.TAGGED if "spdx" in lower else self.LINE
+        lines = [(first, last) for first, last in self.spans(text, cut) if first < last]
         longest = max(map(len, self.known))
         whole_lines = self.spans(text, self.NEWLINE)
         over_lines = ((a, b) for a, b in self.spans(text, self.END) if "\n" in text[a:b])
@@ -174,12 +201,16 @@ class Scanner:
                 name = self.known.get(normalise(text[first:last]))
                 if name and (first not in found or last > found[first][1]):
                     found[first] = (first, last, name)
+        for place, (first, _) in enumerate(lines):
+            run = self._run(text, lines, place)
+            if run and (first not in found or run[0] > found[first][1]):
+                found[first] = (first, *run)
         out, end = [], -1
         for first, last in lines:
-            if first in found and first > end:
+            if first in found and first >= end:
                 out.append(found[first])
                 end = found[first][1]
-            elif first > end and self.WORD.search(text, first, last):
+            elif first >= end and self.WORD.search(text, first, last):
                 out.append((first, last, None))
         return out
 
