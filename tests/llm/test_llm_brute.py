@@ -490,6 +490,18 @@ def test_every_known_sentence_holds_a_cue():
     assert all(any(cue in sentence for cue in licenses.CUES) for sentence in known)
 
 
+def test_cues_are_found_however_words_are_parted():
+    known, _ = licenses.catalogue()
+    scan = licenses.Scanner().licences
+    for gap in ("-", "  ", "\n", "\n# ", "\t", "_", " \r\n * "):
+        for sentence in known:
+            assert any(cue in gap.join(sentence.split()).lower() for cue in licenses.CUES)
+        for text, name in {"Released under CC BY-SA 4.0.": "CC-BY-SA-4.0", "Released under CC BY 4.0": "CC-BY-4.0"}.items():
+            assert [f[:2] for f in scan(text.replace("CC BY", f"CC{gap}BY"))] == [(name, "reference")]
+        unlicense = licenses.SENTENCES["unlicense"][0].replace("public domain", f"public{gap}domain")
+        assert [f[:2] for f in scan(unlicense)] == [("Unlicense", "text")]
+
+
 # --- the pipeline ---
 
 

@@ -109,8 +109,8 @@ CREATIVE_COMMONS_VERSIONS = ["1.0", "2.0", "2.5", "3.0", "4.0"]
 SPDX = ["Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only",
         "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only",
         "AGPL-3.0-or-later", "MPL-2.0", "Unlicense", "CC0-1.0"]
-# Every known sentence holds one of these words.
-CUES = ["licen", "permission", "copyright", "redistribut", "public domain", "warrant", "liable", "mpl", "endorse", "rights reserved", "cc by"]
+# Every known sentence holds one of these; each lies within a word, so white space and hyphens cannot part it.
+CUES = ["licen", "permission", "copyright", "redistribut", "domain", "warrant", "liable", "mpl", "endorse", "reserved", "cc"]
 
 #: Other sentences that may stand between two sentences of a rule, such as an address or a copyright line.
 GAP = 2
