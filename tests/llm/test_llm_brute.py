@@ -12,7 +12,7 @@ import xxhash
 from hypothesis import given, settings
 
 import __spark_entry__ as driver
-from valence.llm import decontaminate, language_id, licenses, near_dedup, packing, sharding, toxicity, warc
+from valence.llm import copies, decontaminate, language_id, licenses, near_dedup, packing, sharding, toxicity, warc
 from valence.llm.common import Isotonic
 from valence.llm.queries import ORACLES
 
@@ -169,6 +169,16 @@ def test_the_near_copy_stage_finds_copies_of_similarity_0_8(spark, texts):
         assert got == sorted(set(want.values())) and len(got) < len(case)
 
 
+@pytest.mark.parametrize("keep_first", [copies.keep_first, near_dedup.keep_first])
+def test_a_key_at_several_texts_keeps_one_text_of_each_group(spark, keep_first):
+    line = lambda name: " ".join(f"{name}{i}" for i in range(40))
+    rows = [(1, line("a")), (1, line("b")), (2, line("b")), (2, line("c")), (3, line("c")), (3, line("a")), (4, line("d")), (4, line("d").upper()), (4, line("d"))]
+    for parts in (1, 3, 7):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts)
+        kept = [(r.doc_id, r.text.lower()) for r in keep_first(docs).collect()]
+        assert sorted(kept) == [(1, line("a")), (1, line("b")), (2, line("c")), (4, line("d"))]
+
+
 # --- decontamination ---
 
 

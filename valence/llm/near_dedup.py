@@ -17,7 +17,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..sinks.writers import stage
 from .components import components
@@ -271,6 +273,15 @@ def links(distinct: DataFrame) -> DataFrame:
     return found.where("NOT many").union(near).select("a", "b")
 
 
+def _rooted(documents: DataFrame, key: str, text: str, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """``key, fp`` of each row, and ``fp, least, root`` of each fingerprint: its smallest key and its group."""
+    fps = stage(fingerprints(documents, key, text, shingle), "simhash")
+    distinct = stage(fps.groupBy("fp").agg(F.min("key").alias("least")), "distinct")
+    roots = components(links(distinct))
+    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    return fps, stage(rooted, "roots")
+
+
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4) -> DataFrame:
     """``key, fp, component_id``: SimHash and group of each document; a group's id is its smallest key.
 
@@ -283,11 +294,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     compared once. A row with a null key keeps its row; a group of such rows alone
     has a null id. Other columns are not read. An empty table gives no rows.
     """
-    fps = stage(fingerprints(documents, key, text, shingle), "simhash")
-    distinct = stage(fps.groupBy("fp").agg(F.min("key").alias("least")), "distinct")
-    roots = components(links(distinct))
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    rooted = stage(rooted, "roots")
+    fps, rooted = _rooted(documents, key, text, shingle)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_fp = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
     return fps.join(of_fp, "fp").select(F.col("key").alias(key), "fp", "component_id")
@@ -298,8 +305,19 @@ def hex_of(fp: str = "fp"):
 
 
 def keep_first(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without near copies: of each group the one with the smallest key stays, once; null keys stay."""
-    groups = near_duplicates(documents.where(F.col(key).isNotNull()), key, text)
-    firsts = groups.where(F.col("component_id") == F.col(key)).select(key).distinct()
-    kept = documents.join(firsts, key, "left_semi").dropDuplicates([key])
+    """The documents without near copies: of each group the one with the smallest key stays, once; null keys stay.
+
+    A key may stand at several texts: one text of each group stays.
+    """
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = pa.array([simhash(t) for t in batch.column(text).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, fps], names=[*batch.schema.names, "__fp"])
+
+    _, rooted = _rooted(documents.where(F.col(key).isNotNull()), key, text, 4)
+    firsts = rooted.groupBy("root").agg(F.min(F.struct("least", "fp")).alias("first"))
+    firsts = firsts.select(F.col("first.least").alias(key), F.col("first.fp").alias("__fp"))
+    marked = documents.mapInArrow(mark, StructType([*documents.schema.fields, StructField("__fp", LongType())]))
+    kept = marked.join(firsts, [key, "__fp"], "left_semi").dropDuplicates([key, "__fp"])
     return kept.select(documents.columns).union(documents.where(F.col(key).isNull()))
