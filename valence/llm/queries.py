@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..plans.registry import Query
 from ..session import prepare
 from ..sources.tables import table
-from . import decontaminate, fingerprints, language_id, licenses, near_dedup, packing, quality, sharding, toxicity, warc
+from . import (
+    decontaminate, fingerprints, language_id, licenses, merkle, near_dedup, packing, quality, sharding, suffixes, toxicity, warc, whitening,
+)
 from .common import fold, held_out, small_batches
 
 QUERIES: dict[str, Query] = {}
@@ -145,3 +147,18 @@ def op9_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.licences(documents(spark, folder))
+
+
+@query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+@query
+def op12_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.cut_repeats(documents(spark, folder))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(table(spark, folder, "documents"))
