@@ -39,7 +39,7 @@ GRAM = 24
 REACH = LENGTH - GRAM + 1
 #: Bytes of text of a portion (and of the longest document more), and of a bucket.
 PORTION_BYTES, BUCKET_BYTES = 4 << 20, 2 << 20
-WINDOWS_AT_ONCE = 1 << 18
+WINDOWS_AT_ONCE, ROWS_AT_ONCE = 1 << 18, 1 << 13
 #: Portions that share an anchor, or records of one in a portion, from which its windows are dealt out one by one.
 COMMON_PORTIONS, COMMON_RECORDS = 1024, 256
 _STRETCH = REACH + LENGTH - 1
@@ -399,6 +399,15 @@ def _send_stretches(buckets: int):
     return work
 
 
+def _blocks(anchors: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Parts of sorted rows that are sorted one after the other; rows with one anchor stay together."""
+    at = 0
+    while at < len(anchors):
+        end = int(np.searchsorted(anchors, anchors[min(at + ROWS_AT_ONCE, len(anchors)) - 1], side="right"))
+        yield at, end
+        at = end
+
+
 def _meet_stretches(key: tuple, sent: pd.DataFrame) -> pd.DataFrame:
     """For each stretch sent, its windows that start in a smaller document than the portion's smallest."""
     import zstandard
@@ -407,11 +416,12 @@ def _meet_stretches(key: tuple, sent: pd.DataFrame) -> pd.DataFrame:
     rows = np.concatenate([np.frombuffer(unpack(b), np.uint8).reshape(-1, _RECORD) for b in sent["body"]])
     least = np.concatenate([np.frombuffer(unpack(b), np.int64) for b in sent["more"]])
     found, first, number = _distinct_rows(rows, least)
-    row, place, kind = equal_windows(found[:, 10:], found[:, 8].astype(np.int64))
-    smallest = np.full(int(kind.max(initial=-1)) + 1, np.iinfo(np.int64).max)
-    np.minimum.at(smallest, kind, first[row])
     by_window = np.full((len(found), REACH), np.iinfo(np.int64).max)
-    by_window[row, place] = smallest[kind]
+    for at, end in _blocks(_anchors_of(found)):
+        row, place, kind = equal_windows(found[at:end, 10:], found[at:end, 8].astype(np.int64))
+        smallest = np.full(int(kind.max(initial=-1)) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(smallest, kind, first[at + row])
+        by_window[at + row, place] = smallest[kind]
     weights = np.int64(1) << np.arange(REACH, dtype=np.int64)
     masks = np.concatenate(
         [((by_window[number[at : at + 65536]] < least[at : at + 65536, None]) * weights).sum(axis=1) for at in range(0, len(number), 65536)]
