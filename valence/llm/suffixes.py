@@ -230,7 +230,12 @@ class Portion:
         turn = (place[1:] != place[:-1]) | (valid[1:] != valid[:-1])
         first = np.flatnonzero(valid & np.concatenate(([True], turn)))
         last = np.flatnonzero(valid & np.concatenate((turn, [True])))
-        return h[place[first]], first, last - first + 1
+        with np.errstate(over="ignore"):
+            anchor = h[place[first]] * _B  # least hashes are small: scattered anew, so that all buckets get as many
+            anchor ^= anchor >> np.uint64(32)
+            anchor *= _C
+            anchor ^= anchor >> np.uint64(29)
+        return anchor, first, last - first + 1
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Anchors, sorted; which of them two documents here have, which are common here; and the anchor's number of each record."""
