@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from valence.llm import copies, decontaminate, language_id, packing, toxicity
+from valence.llm import decontaminate, language_id, near_dedup, packing, toxicity
 from valence.llm.common import fold, small_batches
 from valence.llm.queries import digests
 from valence.session import prepare
@@ -13,30 +13,33 @@ from valence.sources.tables import table
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score 0.5 or more go."""
+    """Documents that score 0.5 or more go; null and empty texts get the base score, null ids and repeated rows are judged like any other."""
     return toxicity.without_toxic(docs, table(small_batches(spark), sf_dir, "labels"))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: null texts and those without a letter."""
+    """Documents without a language go: null texts and those without a letter; null ids and repeated rows are judged like any other."""
     small_batches(spark)
     model = language_id.learn(docs.where(fold("doc_id", 3) != 1))
     return language_id.with_language(docs, model)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8 or more) stays, the one with the smallest id."""
+    """One document of each group of near copies stays, the one with the smallest id, by the operator's SimHash and distance.
+
+    Null ids stay; null and empty texts are one group; repeated rows stay once.
+    """
     small_batches(spark)
-    return copies.keep_first(docs)
+    return near_dedup.keep_first(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
+    """Documents that hold a benchmark passage go; null and empty texts hold none and stay."""
     return decontaminate.without_leaks(docs, table(small_batches(spark), sf_dir, "benchmark"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every id of the documents left, in sequences."""
+    """Every id of the documents left, in sequences; null and empty texts are their end mark alone, repeated rows are packed each."""
     small_batches(spark)
     return digests(packing.pack(docs))
 
