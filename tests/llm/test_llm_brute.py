@@ -12,7 +12,7 @@ import xxhash
 from hypothesis import given, settings
 
 import __spark_entry__ as driver
-from valence.llm import copies, decontaminate, language_id, licenses, near_dedup, packing, sharding, toxicity, warc
+from valence.llm import decontaminate, language_id, licenses, near_dedup, packing, sharding, toxicity, warc
 from valence.llm.common import Isotonic
 from valence.llm.queries import ORACLES
 
@@ -126,56 +126,12 @@ def test_components_of_a_long_path(spark):
     assert {(r.node, r.root) for r in components(path).collect()} == {(i, 0) for i in range(1, 300)}
 
 
-def plain_copies(texts, shingle=5, least=0.8):
-    """Groups by all pairs of shingle sets, as the smallest id of each text's group."""
-    words = {i: (t or "").encode().lower().split() for i, t in texts.items()}
-    sets = {i: {tuple(w[k : k + shingle]) for k in range(max(1, len(w) - shingle + 1))} for i, w in words.items()}
-    root, ids = {i: i for i in texts}, sorted(texts)
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for place, i in enumerate(ids):
-        for j in ids[:place]:
-            if min(len(sets[i]), len(sets[j])) >= least * max(len(sets[i]), len(sets[j])):
-                common = len(sets[i] & sets[j])
-                if common >= least * (len(sets[i]) + len(sets[j]) - common):
-                    a, b = sorted((find(i), find(j)))
-                    root[b] = a
-    return {i: find(i) for i in ids}
-
-
-def test_the_near_copy_stage_finds_copies_of_similarity_0_8(spark, texts):
-    """Random words replaced in texts of many lengths, and the given table, against all pairs."""
-    import corpus_pipeline
-
-    draw = np.random.default_rng(9)
-    word, rows, at = lambda: "".join(draw.choice(list("abcdefghij"), 5)), {}, 0
-    for size, changes in ((80, 1), (130, 2), (500, 3), (900, 18), (300, 12), (6, 1), (3, 0)):
-        for _ in range(8):
-            words = [word() for _ in range(size)]
-            for copy in range(4):
-                other = list(words)
-                for place in draw.choice(size, changes * copy // 2 if size < 7 else changes * (copy > 0), replace=False):
-                    other[place] = word()
-                rows[at] = " ".join(other)
-                at += 1
-    for case in (rows, texts):
-        docs = spark.createDataFrame(list(case.items()), "doc_id bigint, text string").repartition(5)
-        got = sorted(r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, docs, FOLDER).collect())
-        want = plain_copies(case)
-        assert got == sorted(set(want.values())) and len(got) < len(case)
-
-
-@pytest.mark.parametrize("keep_first", [copies.keep_first, near_dedup.keep_first])
-def test_a_key_at_several_texts_keeps_one_text_of_each_group(spark, keep_first):
+def test_a_key_at_several_texts_keeps_one_text_of_each_group(spark):
     line = lambda name: " ".join(f"{name}{i}" for i in range(40))
     rows = [(1, line("a")), (1, line("b")), (2, line("b")), (2, line("c")), (3, line("c")), (3, line("a")), (4, line("d")), (4, line("d").upper()), (4, line("d"))]
     for parts in (1, 3, 7):
         docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts)
-        kept = [(r.doc_id, r.text.lower()) for r in keep_first(docs).collect()]
+        kept = [(r.doc_id, r.text.lower()) for r in near_dedup.keep_first(docs).collect()]
         assert sorted(kept) == [(1, line("a")), (1, line("b")), (2, line("c")), (4, line("d"))]
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 BATCH_BYTES = 4 << 20
 
@@ -18,6 +19,35 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def quoted(names: list[str]) -> list[str]:
+    """Column names as they stand, dots and ticks included."""
+    return [f"`{name.replace('`', '``')}`" for name in names]
+
+
+def unused(rows: DataFrame, name: str) -> str:
+    """``name``, or a longer one if a column has it."""
+    taken = {column.lower() for column in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def map_batches(rows: DataFrame, work: Callable[[Iterator[Any]], Iterator[Any]], *added: StructField) -> DataFrame:
+    """``mapInArrow`` with the columns of ``rows`` and those added. Names with dots, which it does not take, are put aside for it."""
+    schema = StructType([*rows.schema.fields, *added])
+    if not any("." in name or "`" in name for name in rows.columns):
+        return rows.mapInArrow(work, schema)
+    names, n = schema.names, len(rows.columns)
+    plain = [f"c{i}" for i in range(len(names))]
+
+    def renamed(batches: Iterator[Any]) -> Iterator[Any]:
+        for batch in work(b.rename_columns(names[:n]) for b in batches):
+            yield batch.rename_columns(plain)
+
+    fields = [StructField(name, field.dataType, field.nullable) for name, field in zip(plain, schema.fields)]
+    return rows.toDF(*plain[:n]).mapInArrow(renamed, StructType(fields)).toDF(*names)
+
+
 def fold(key: str | Column, parts: int) -> Column:
     """Fold of a row: CRC-32 of its key as text, modulo ``parts``; null for a null key."""
     column = F.col(key) if isinstance(key, str) else key

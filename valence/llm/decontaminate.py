@@ -27,6 +27,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import map_batches
+
 SHINGLE, SIMILARITY = 5, 0.8
 BLOCKS, BLOCK_BITS = 4, 16
 #: Differing bits of 64; similarity 0.8 differs in ten on average.
@@ -265,7 +267,12 @@ def leaks(
 
 
 def without_leaks(documents: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text") -> DataFrame:
-    """The documents that hold no benchmark passage, with all their columns; rows are judged where they are read."""
+    """The documents that hold no benchmark passage, with all their columns; rows are judged where they are read.
+
+    Passages are those of ``leaks``: null and empty texts hold none and stay, as do all
+    documents where there are no items; repeated rows go or stay together; texts of any
+    length are read whole. An empty table gives no rows. Columns keep their names and values.
+    """
 
     def clean(index: Index):
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,5 +285,5 @@ def without_leaks(documents: DataFrame, items: DataFrame, text: str = "text", it
         return work
 
     for index in indexes(items, item_text, item_text):
-        documents = documents.mapInArrow(clean(index), documents.schema)
+        documents = map_batches(documents, clean(index))
     return documents

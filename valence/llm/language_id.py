@@ -18,6 +18,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import map_batches
+
 #: Hash buckets of the two- and three-byte n-grams of a text, each.
 BUCKETS = 4096
 MAX_LANGUAGES = 256
@@ -168,7 +170,12 @@ def identify(documents: DataFrame, model: Model, key: str = "doc_id", text: str
 
 
 def with_language(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The documents whose language can be told, with all their columns; rows are judged where they are read."""
+    """The documents whose language can be told, with all their columns; rows are judged where they are read.
+
+    Null texts and texts without a letter go, and all texts where no language was learned;
+    texts of any length are read whole, repeated rows and null keys stay like any other. An
+    empty table gives no rows. Columns keep their names and values.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,4 +184,4 @@ def with_language(documents: DataFrame, model: Model, text: str = "text") -> Dat
                 keep.append(model.judge(texts[at : at + AT_A_TIME])[0] != UNDETERMINED)
             yield batch.filter(pa.array(np.concatenate([np.zeros(0, bool), *keep]).astype(bool)))
 
-    return documents.mapInArrow(work, documents.schema)
+    return map_batches(documents, work)

@@ -144,12 +144,16 @@ def _up(nodes: DataFrame, bits: int) -> tuple[list[DataFrame], DataFrame]:
         found.append(above)
 
 
+def _no_rows(*names: str) -> pd.DataFrame:
+    return pd.DataFrame({name: pd.Series([], dtype=object) for name in names})
+
+
 def _down(found: list[DataFrame], outer: DataFrame, bits: int) -> DataFrame:
     """Siblings outside each superblock of the lowest level, from those outside whole trees."""
 
     def work(key: tuple, block: pd.DataFrame, around: pd.DataFrame) -> pd.DataFrame:
         if block.empty:
-            return pd.DataFrame({"tree": [], "block": [], "path": [], "subroot": []})
+            return _no_rows("tree", "block", "path", "subroot")
         block = block.sort_values("pos")
         local = levels(block["node"].tolist(), int(block["size"].iloc[0]), bits)
         rest, subroot = list(around["path"].iloc[0]), around["subroot"].iloc[0]
@@ -164,7 +168,7 @@ def _down(found: list[DataFrame], outer: DataFrame, bits: int) -> DataFrame:
 def _proved(nodes: DataFrame, outer: DataFrame, root: str, bits: int) -> DataFrame:
     def work(key: tuple, block: pd.DataFrame, around: pd.DataFrame) -> pd.DataFrame:
         if block.empty:
-            return pd.DataFrame({name: [] for name in ("key", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")})
+            return _no_rows("key", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
         block = block.sort_values("pos")
         found = levels(block["node"].tolist(), int(block["size"].iloc[0]), bits)
         rest, subroot = list(around["path"].iloc[0]), around["subroot"].iloc[0]
@@ -215,7 +219,7 @@ def manifest(documents: DataFrame, bits: int = BITS) -> DataFrame:
 
     def of_trees(key: tuple, block: pd.DataFrame, around: pd.DataFrame) -> pd.DataFrame:
         if block.empty:
-            return pd.DataFrame({"tree": [], "block": [], "path": [], "subroot": []})
+            return _no_rows("tree", "block", "path", "subroot")
         block = block.sort_values("pos")
         local = levels(block["node"].tolist(), int(block["size"].iloc[0]), bits)
         rest = list(around["path"].iloc[0])

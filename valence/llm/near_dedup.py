@@ -19,9 +19,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField
 
 from ..sinks.writers import stage
+from .common import map_batches, quoted, unused
 from .components import components
 
 # Fixed value: generator polynomial of the Golay code, x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
@@ -307,17 +308,22 @@ def hex_of(fp: str = "fp"):
 def keep_first(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without near copies: of each group the one with the smallest key stays, once; null keys stay.
 
-    A key may stand at several texts: one text of each group stays.
+    Groups are those of ``near_duplicates``. A key may stand at several texts: one text of
+    each group stays. Null and empty texts, and texts of white space, are fingerprint zero
+    and one group. Repeated rows stay once. Texts of any length are read whole, some
+    megabytes at a time. An empty table gives no rows. Columns keep their names and values,
+    whatever they are called.
     """
+    fp = unused(documents, "fp")
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = pa.array([simhash(t) for t in batch.column(text).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, fps], names=[*batch.schema.names, "__fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, fps], names=[*batch.schema.names, fp])
 
     _, rooted = _rooted(documents.where(F.col(key).isNotNull()), key, text, 4)
     firsts = rooted.groupBy("root").agg(F.min(F.struct("least", "fp")).alias("first"))
-    firsts = firsts.select(F.col("first.least").alias(key), F.col("first.fp").alias("__fp"))
-    marked = documents.mapInArrow(mark, StructType([*documents.schema.fields, StructField("__fp", LongType())]))
-    kept = marked.join(firsts, [key, "__fp"], "left_semi").dropDuplicates([key, "__fp"])
-    return kept.select(documents.columns).union(documents.where(F.col(key).isNull()))
+    firsts = firsts.select(F.col("first.least").alias(key), F.col("first.fp").alias(fp))
+    marked = map_batches(documents, mark, StructField(fp, LongType()))
+    kept = marked.join(firsts, [key, fp], "left_semi").dropDuplicates([key, fp])
+    return kept.select(quoted(documents.columns)).union(documents.where(F.col(key).isNull()))

@@ -64,22 +64,81 @@ SELECT rid, shard FROM r JOIN (SELECT region, rack, shard, CAST(weight AS DOUBLE
   QUALIFY row_number() OVER (PARTITION BY rid ORDER BY {draw("concat_ws('/', region, rack)", 'shard')}, shard) = 1"""
 
 
+def _crc_sql(rows: str, value: str) -> str:
+    """CTEs that end in ``crc(rid, crc32)``: CRC-32 of the UTF-8 bytes of ``value``, bit by bit, for each ``rid`` of ``rows``."""
+    return f"""bits AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+  lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) r(i))),
+bytes AS (SELECT rid, list_transform(regexp_extract_all(hex(encode({value})), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS b FROM {rows}),
+crc AS (SELECT rid, xor(list_reduce(list_prepend(4294967295, b),
+  lambda a, x: xor(a >> 8, t[CAST(xor(a, x) & 255 AS INTEGER) + 1])), 4294967295) AS crc32 FROM bytes, bits)"""
+
+
 # Slots as Spark numbers them where one input split holds all rows, as in a file of one row group.
 ORACLES["op7_sharding"] = f"""
 WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS k, coalesce(text, '') AS text
   FROM documents),
-bits AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
-  lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) r(i))),
-bytes AS (SELECT rid, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS b FROM doc),
-crc AS (SELECT rid, xor(list_reduce(list_prepend(4294967295, b),
-  lambda a, x: xor(a >> 8, t[CAST(xor(a, x) & 255 AS INTEGER) + 1])), 4294967295) AS text_crc32 FROM bytes, bits),
+{_crc_sql("doc", "text")},
 own AS ({_shard_sql(40)}), grown AS ({_shard_sql(41)}),
-rows AS (SELECT doc_id, CAST(octet_length(encode(text)) + 16 AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law,
+rows AS (SELECT doc_id, CAST(octet_length(encode(text)) + 16 AS BIGINT) AS size, CAST(crc32 AS BIGINT) AS text_crc32, 'key' AS law,
   own.shard AS shard, grown.shard AS grown_shard FROM doc JOIN crc USING (rid) JOIN own USING (rid) JOIN grown USING (rid))
 SELECT doc_id, size, text_crc32, law, shard,
   row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, grown_shard FROM rows"""
 
 
+# Each window as a row; removed windows that touch or overlap are one span.
+ORACLES["op12_suffix_dedup"] = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT rid, doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT *, unnest(range(length(h) // 2 - 49)) AS i FROM d)),
+again AS (SELECT rid, i FROM windows JOIN (SELECT s, min(doc_id) AS least FROM windows GROUP BY s) USING (s) WHERE doc_id > least),
+marked AS (SELECT rid, i, CASE WHEN i <= lag(i) OVER o + 50 THEN 0 ELSE 1 END AS fresh FROM again WINDOW o AS (PARTITION BY rid ORDER BY i)),
+numbered AS (SELECT rid, i, sum(fresh) OVER (PARTITION BY rid ORDER BY i) AS span FROM marked),
+spans AS (SELECT rid, span, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY ALL),
+edges AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS before FROM spans),
+cut AS (SELECT rid, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+  string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM edges JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN cut USING (rid)"""
+
+
+def _leaf_sql(n_chars: str) -> str:
+    fields = ("CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text")
+    return "sha256(concat(" + ", ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + "))"
+
+
+def _levels_sql(name: str, leaves: str) -> str:
+    """CTE ``name(tree, level, pos, n, h)``: all nodes of the trees over ``leaves(tree, pos, n, h)``."""
+    return f"""{name} AS (SELECT tree, 0 AS level, pos, n, h FROM {leaves} UNION ALL
+  SELECT tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM {name} WHERE n > 1
+  GROUP BY tree, level, pos // 2, n)"""
+
+
+# Trees level by level; a row's way to the root as rows, folded one after the other.
+ORACLES["op13_merkle_manifest"] = f"""
+WITH RECURSIVE doc AS (SELECT row_number() OVER () AS rid, * FROM documents),
+{_crc_sql("doc", "coalesce(CAST(doc_id AS VARCHAR), '')")},
+leaf AS (SELECT rid, doc_id, coalesce('=' || lang, '') AS tree, {_leaf_sql("n_chars")} AS h,
+  CASE WHEN doc_id IS NOT NULL AND n_chars IS NOT NULL AND crc32 % 7 = 0 THEN {_leaf_sql("(n_chars + 1)")} END AS tampered
+  FROM doc JOIN crc USING (rid)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h, rid) - 1 AS pos,
+  count(*) OVER (PARTITION BY tree) AS n FROM leaf),
+{_levels_sql("node", "placed")},
+sub AS (SELECT tree AS name, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n, '' AS tree FROM node WHERE n = 1),
+{_levels_sql("upper", "sub")},
+way AS (SELECT p.rid, a.level AS step, a.pos AS at, b.h AS sibling FROM placed p
+    JOIN node a ON a.tree = p.tree AND a.n > 1 AND a.pos = p.pos >> a.level
+    LEFT JOIN node b ON b.tree = a.tree AND b.level = a.level AND b.pos = xor(a.pos, 1)
+  UNION ALL SELECT p.rid, 100 + a.level, a.pos, b.h FROM placed p JOIN sub s ON s.name = p.tree
+    JOIN upper a ON a.n > 1 AND a.pos = s.pos >> a.level LEFT JOIN upper b ON b.level = a.level AND b.pos = xor(a.pos, 1)),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY step) AS k FROM way),
+folded AS (SELECT rid, 0::BIGINT AS k, coalesce(tampered, h) AS h FROM placed UNION ALL
+  SELECT f.rid, o.k, sha256(CASE WHEN o.at % 2 = 1 THEN concat(sibling, f.h) ELSE concat(f.h, sibling) END)
+  FROM folded f JOIN ordered o ON o.rid = f.rid AND o.k = f.k + 1),
+ends AS (SELECT rid, arg_max(h, k) AS folded_root FROM folded GROUP BY rid),
+proofs AS (SELECT rid, sha256(coalesce(string_agg(sibling, '' ORDER BY k), '')) AS proof_sha256 FROM placed LEFT JOIN ordered USING (rid) GROUP BY rid)
+SELECT doc_id, placed.h AS leaf, sub.h AS subroot, upper.h AS root, proof_sha256, folded_root, folded_root = upper.h AS verified
+FROM placed JOIN ends USING (rid) JOIN proofs USING (rid) JOIN sub ON sub.name = placed.tree JOIN upper ON upper.n = 1"""
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", "text")
 

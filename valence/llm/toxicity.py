@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..sinks.writers import stage
-from .common import Isotonic, fold, held_out
+from .common import Isotonic, fold, held_out, map_batches
 
 FOLDS, HELD_OUT = 5, 0
 EXAMPLES, CALIBRATION = 2000, 1000
@@ -297,7 +297,13 @@ def score(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
-    """The documents that score below one half, with all their columns; rows are judged where they are read."""
+    """The documents that score below one half, with all their columns; rows are judged where they are read.
+
+    Scores are those of ``score``: null, empty and uncharacteristic texts get the share of
+    toxic ones among such examples, texts of any length are judged whole, repeated rows and
+    null keys like any other. Without labels of both classes all stay or all go by the one
+    score. An empty table gives no rows. Columns keep their names and values.
+    """
     model, _ = learn(documents, labels, key, text, label)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,4 +312,4 @@ def without_toxic(documents: DataFrame, labels: DataFrame, key: str = "doc_id",
             found, _ = model.judge([model.vocabulary.counts(t, find) for t in batch.column(text).to_pylist()])
             yield batch.filter(pa.array(found < 0.5))
 
-    return documents.mapInArrow(work, documents.schema)
+    return map_batches(documents, work)
