@@ -9,9 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from valence.functions.text import escape_html, event_time, iso_utc, pointer_percent, polarity_band, signed_text
-from valence.operators import classifier, keywords, latest, messages, metrics, sampling, terms
+from valence.operators import classifier, keywords, latest, messages, metrics, prefix, sampling, terms
 from valence.operators.analyze import analyze, encode_analyzed, score_texts, server_view
-from valence.operators.throughput import rate_columns
 from valence.schemas import ANALYZED, MESSAGE
 from valence.sinks import envelopes
 from valence.sources import files
@@ -100,18 +99,39 @@ def test_latest_keeps_rows_without_a_time(spark):
     assert latest.latest(rows, 2, "ts", "id").count() == 2
 
 
-def test_envelopes_for_more_events_than_the_history_and_for_those_without_a_time(spark):
-    texts = ["good", "bad", "chair"] * 50
-    rows = [(f"m{i:03d}", t, "s", "u", f"2024-01-01T00:{i // 60:02d}:{i % 60:02d}Z" if i % 50 else None) for i, t in enumerate(texts)]
-    scored = analyze(spark.createDataFrame(rows, MESSAGE).withColumn("event_ts", F.expr(event_time("timestamp"))), keep=("event_ts",))
-    events = envelopes.event_json(scored, F.lit("x"), "event_ts").withColumn("minute", F.expr(metrics.minute_of()))
-    after = metrics.metrics_by_minute(scored, rate_columns("total")[0])
-    got = {r.id: json.loads(r.envelope)["metrics"] for r in envelopes.new_events(events, after).collect()}
-    assert len(got) == 150
-    assert got["m000"]["total"] == 3 and got["m001"]["total"] == 3 + 58 and got["m149"]["total"] == 150
-    assert got["m149"]["positive"] == got["m149"]["negative"] == 50 and got["m149"]["positive_pct"] == 33.3
-    assert got["m001"]["throughput_eps"] == 0.97
-    assert got["m001"]["top_keywords"] == [["bad", 21], ["good", 20]] and got["m149"]["top_keywords"] == [["bad", 50], ["good", 50]]
+def _plain_metrics(rows):
+    """The server's loop: counts, the last minute and the ten most frequent keywords after each event."""
+    counts, keywords, times, total = {}, {}, [], 0
+    for r in sorted(rows, key=lambda r: (r.event_ts is not None, r.event_ts or dt.datetime.min, r.number)):
+        total += round(r.polarity * 1000)
+        counts[r.sentiment] = counts.get(r.sentiment, 0) + 1
+        for word in r.keywords:
+            keywords[word] = keywords.get(word, 0) + 1
+        if r.event_ts is not None:
+            times.append(r.event_ts)
+        recent = sum(t >= r.event_ts - dt.timedelta(seconds=60) for t in times) if r.event_ts else 0
+        top = [[k, n] for k, n in sorted(keywords.items(), key=lambda e: e[1], reverse=True)[:10]]
+        yield r.id, {**counts}, total, recent, top
+
+
+@pytest.mark.parametrize("bits", [1, 3, 13])
+def test_envelopes_carry_the_metrics_after_their_event(spark, monkeypatch, bits):
+    """Ties in time, bursts, events without a time, and blocks of a few events."""
+    monkeypatch.setattr(prefix, "BLOCK_BITS", bits)
+    texts = ["good", "bad", "chair", "not good and great", "awful terrible boring", "love love hate", "superb nice happy sad worst best"] * 30
+    second = lambda i: i // 3 * 7 % 400
+    rows = [(f"m{i:03d}", t, "s", "u", f"2024-01-01T00:{second(i) // 60:02d}:{second(i) % 60:02d}Z" if i % 50 else None) for i, t in enumerate(texts)]
+    scored = analyze(spark.createDataFrame(rows, MESSAGE).repartition(5).withColumn("event_ts", F.expr(event_time("timestamp"))), keep=("event_ts",))
+    scored = scored.withColumn("number", F.expr("CAST(substr(id, 2) AS BIGINT)"))
+    events = envelopes.event_json(scored, F.lit("x"), "event_ts", "number", "sentiment", "polarity", "keywords")
+    after = metrics.metrics_at_events(events, number="number", keep=("id", "event"))
+    got = {r.id: json.loads(r.envelope)["metrics"] for r in envelopes.new_events(after).collect()}
+    assert len(got) == len(rows)
+    for id, counts, milli, recent, top in _plain_metrics(scored.collect()):
+        m, total = got[id], sum(counts.values())
+        assert (m["total"], m["positive"], m["negative"], m["neutral"]) == (total, *(counts.get(c, 0) for c in metrics.CLASSES))
+        assert m["top_keywords"] == top and abs(m["throughput_eps"] - recent / 60) <= 0.005 + 1e-9 and abs(m["avg_polarity"] - milli / total / 1000) < 0.00051
+    assert after.limit(0).count() == metrics.metrics_at_events(events.limit(0), number="number", keep=("id",)).count() == 0
 
 
 def test_numbers_without_gaps(spark):

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import functools
+import json
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.arithmetic import literal, literals, mean_milli, percent, to_milli
 from ..functions.lexicon import KEYWORDS
 from ..functions.text import pointer_percent, polarity_band, signed_text
+from ..sinks.writers import stage
 from .keywords import first_place
+from .prefix import before_blocks, block_of, numbered
+from .throughput import SPAN, rate_columns
 
 CLASSES = ("Positive", "Negative", "Neutral")
 
@@ -85,50 +93,76 @@ def snapshot(scored: DataFrame, throughput_eps: Column, ts: str = "event_ts", nu
     return numbers.selectExpr(*fields, f"{_payload(fields)} AS metrics")
 
 
-# Stands for the minute of events without a time; they come first.
-NO_MINUTE = "TIMESTAMP '0001-01-01 00:00:00'"
-
-
-def minute_of(ts: str = "event_ts") -> str:
-    return f"coalesce(date_trunc('minute', CAST({ts} AS TIMESTAMP)), {NO_MINUTE})"
-
+def metrics_at_events(scored: DataFrame, ts: str = "event_ts", number: str = "event_id", keep: tuple[str, ...] = (), k: int = 10) -> DataFrame:
+    """``keep, metrics``: for each event the metrics and top keywords after it, as JSON.
 
-def metrics_by_minute(scored: DataFrame, rate: str, ts: str = "event_ts", number: str | None = None, k: int = 10) -> DataFrame:
-    """``minute, metrics``: the metrics and top keywords after each minute with events, as JSON.
-
-    One pass counts rows per minute and keyword before any shuffle, totals under
-    the null keyword as in ``snapshot``. What follows depends on the time that the
-    events span, not on their number: running totals go over the minutes of a day
-    and then over days, those of the 148 keywords over minutes. ``rate`` is the
-    rate column of a minute's ``total``.
+    Events are ordered by time, those without a time first, then by ``number``. Each event
+    stands in that order twice: at its time, and where it leaves the trailing window. The
+    rate at an event is then a difference of two running counts. A task works through a
+    block of the order from what it begins with: the sums, and at most 148 keyword counts.
     """
-    columns = ["sentiment", "polarity", *([ts, number] if number else [ts])]
-    tagged = scored.selectExpr(
-        *columns, f"{minute_of(ts)} AS minute", "explode_outer(concat(array(CAST(NULL AS STRING)), keywords)) AS keyword"
-    )
-    groups = tagged.groupBy("minute", "keyword").agg(*count_columns(), first_place(ts, number).alias("place"))
-    minutes = groups.where("keyword IS NULL").withColumn("day", F.to_date("minute"))
-    names = ["total", *[name.lower() for name in CLASSES], "polarity_milli"]
-    in_day = Window.partitionBy("day").orderBy("minute").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    days = minutes.groupBy("day").agg(*[F.sum(n).alias(n) for n in names])
-    before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select("day", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before") for n in names])
-    running = minutes.selectExpr("minute", "day", *names, rate)
-    running = running.select("minute", "day", "throughput_eps", *[F.sum(n).over(in_day).alias(n) for n in names])
-    summed = running.join(days, "day").select(
-        "minute", "throughput_eps", *[(F.col(n) + F.col(f"{n}_before")).alias(n) for n in names]
-    )
-    numbers = finish_counts(summed, "minute", "throughput_eps")
-
-    every = f"explode(array({literals(KEYWORDS)})) AS keyword"
-    seen = groups.where("keyword IS NOT NULL").select("minute", "keyword", "total", "place")
-    grid = minutes.selectExpr("minute", every).join(seen, ["minute", "keyword"], "left")
-    upto = Window.partitionBy("keyword").orderBy("minute").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = grid.select("minute", "keyword", F.sum("total").over(upto).alias("cnt"), F.min("place").over(upto).alias("place"))
-    entry = "struct(-cnt AS order, place, keyword, cnt)"
-    tops = filled.where("cnt > 0").groupBy("minute").agg(F.expr(f"slice(sort_array(collect_list({entry})), 1, {k}) AS top"))
-    fields = [c for c in numbers.columns if c not in ("minute", "throughput_eps")]
-    return numbers.join(tops, "minute", "left").selectExpr("minute", f"{_payload([*fields, 'throughput_eps'])} AS metrics")
+    columns = {"at": f"CAST({ts} AS TIMESTAMP)", "number": number, "sentiment": "sentiment", "milli": to_milli("polarity"), "keywords": "keywords"}
+    # Written once: texts are scored once, and what is kept of an event meets its metrics by the row's place.
+    rows = scored.selectExpr("monotonically_increasing_id() AS row", *[f"{e} AS {c}" for c, e in columns.items()], *quoted(keep))
+    rows = stage(rows, "scored")
+    enters = rows.select(F.lit(0).alias("kind"), "row", *columns)
+    # The end of the window counts as inside: of equal times, entries come before exits.
+    away = rows.where("at IS NOT NULL").selectExpr("1 AS kind", "-1L AS row", f"at + INTERVAL {SPAN} SECONDS AS at", "number")
+    placed = numbered(enters.unionByName(away, allowMissingColumns=True), F.col("at").asc_nulls_first(), F.col("kind"), F.col("number"))
+    placed = placed.withColumn("block", block_of())
+
+    names = ["total", "timed", "left", *[name.lower() for name in CLASSES], "polarity_milli"]
+    sums = placed.groupBy("block").agg(
+        F.expr("count_if(kind = 0) AS total"), F.expr("count_if(kind = 0 AND at IS NOT NULL) AS timed"), F.expr("count_if(kind = 1) AS left"),
+        *[F.expr(f"count_if(sentiment = {literal(name)}) AS {name.lower()}") for name in CLASSES], F.expr("coalesce(sum(milli), 0L) AS polarity_milli"),
+    )
+    begins = before_blocks(sums, names)
+    hits = placed.where("kind = 0").select("block", "pos", F.explode_outer("keywords").alias("keyword")).where("keyword IS NOT NULL")
+    hits = hits.groupBy("block", "keyword").agg(F.count("*").alias("cnt"), F.min("pos").alias("first"))
+    grid = sums.selectExpr("block", f"explode(array({literals(KEYWORDS)})) AS keyword").join(hits, ["block", "keyword"], "left")
+    grid = grid.withColumn("cnt", F.coalesce("cnt", F.lit(0)))
+    known = before_blocks(grid, ["cnt"], "keyword", least=("first",)).where("cnt > 0")
+    known = known.groupBy("block").agg(F.collect_list(F.struct("keyword", "cnt", "first")).alias("known"))
+    begins = begins.join(known, "block", "left").withColumnRenamed("block", "of")
+
+    slim = placed.select("block", "pos", "row", "kind", F.col("at").isNotNull().alias("has_time"), "sentiment", "milli", "keywords")
+    out = f"row bigint, {', '.join(f'{n} bigint' for n in names)}, pairs string"
+    ran = slim.groupBy("block").cogroup(begins.groupBy("of")).applyInPandas(_run_block(names, k), out)
+    ran = ran.selectExpr("row", *[n for n in names if n not in ("timed", "left")], rate_columns("(timed - left)")[0], "pairs")
+    numbers = finish_counts(ran, "row", "throughput_eps", "pairs")
+    fields = [c for c in numbers.columns if c not in ("row", "throughput_eps", "pairs")]
+    body = f"to_json(struct({', '.join([*fields, 'throughput_eps'])}))"
+    metrics = numbers.selectExpr("row", f"concat(rtrim('}}', {body}), ',\"top_keywords\":[', pairs, ']}}') AS metrics")
+    return rows.select("row", *quoted(keep)).join(metrics, "row").drop("row")
+
+
+def quoted(names: tuple[str, ...]) -> list[str]:
+    return [f"`{name}`" for name in names]
+
+
+def _run_block(names: list[str], k: int):
+    def work(key: tuple, rows: pd.DataFrame, begins: pd.DataFrame) -> pd.DataFrame:
+        rows, start = rows.sort_values("pos"), begins.iloc[0]
+        enters = (rows["kind"] == 0).to_numpy()
+        steps = {"total": enters, "timed": enters & rows["has_time"].to_numpy(), "left": ~enters, "polarity_milli": rows["milli"].fillna(0).to_numpy()}
+        steps |= {name.lower(): (rows["sentiment"] == name).to_numpy() for name in CLASSES}
+        out = {"row": rows["row"].to_numpy()} | {n: int(start[n]) + np.cumsum(steps[n].astype(np.int64)) for n in names}
+        known = {} if start["known"] is None else {e["keyword"]: [-int(e["cnt"]), int(e["first"]), e["keyword"]] for e in start["known"]}
+        top = sorted(known.values())[:k]
+        named = functools.cache(lambda word: json.dumps(word, ensure_ascii=False))
+        text = lambda: ",".join([f"[{named(word)},{-count}]" for count, _, word in top])
+        pairs, said = [], text()
+        for pos, words in zip(rows["pos"].tolist(), rows["keywords"]):
+            if words is not None and len(words):
+                for word in words:
+                    known.setdefault(word, [0, pos, word])[0] -= 1
+                # Only these counts rose: the new top lies in the old one and them.
+                top = sorted({entry[2]: entry for entry in [*top, *(known[word] for word in words)]}.values())[:k]
+                said = text()
+            pairs.append(said)
+        return pd.DataFrame(out | {"pairs": pairs})[enters]
+
+    return work
 
 
 def _payload(fields: list[str]) -> str:

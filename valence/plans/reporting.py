@@ -195,39 +195,38 @@ def metrics_payload(spark: SparkSession, folder: str) -> DataFrame:
     return feed_snapshot(spark, folder).select("metrics")
 
 
-# Each event's envelope carries the metrics after its minute, as a stream sends them after a batch.
-_MINUTES = f"""WITH {sql.SCORED_FEED}, e AS (SELECT *, date_trunc('minute', event_ts) AS minute FROM scored),
-per AS (SELECT minute, count(*) AS n, count(*) FILTER (sentiment = 'Positive') AS p, count(*) FILTER (sentiment = 'Negative') AS q,
-  count(*) FILTER (sentiment = 'Neutral') AS z, CAST(sum(milli) AS BIGINT) AS m FROM e GROUP BY minute),
-upto AS (SELECT minute, n, sum(n) OVER w AS total, sum(p) OVER w AS positive, sum(q) OVER w AS negative,
-  sum(z) OVER w AS neutral, sum(m) OVER w AS milli_sum FROM per WINDOW w AS (ORDER BY minute)),
-kw AS (SELECT minute, unnest(keywords) AS keyword, event_ts, event_id FROM e),
-seen AS (SELECT keyword, min(minute) AS first_minute, min((event_ts, event_id)) AS place FROM kw GROUP BY keyword),
-kwm AS (SELECT minute, keyword, count(*) AS n FROM kw GROUP BY ALL),
-grid AS (SELECT per.minute, keyword, place, coalesce(kwm.n, 0) AS n FROM per JOIN seen ON first_minute <= per.minute
-  LEFT JOIN kwm USING (minute, keyword)),
-kwc AS (SELECT minute, keyword, place, sum(n) OVER (PARTITION BY keyword ORDER BY minute) AS cnt FROM grid),
-best AS (SELECT *, row_number() OVER (PARTITION BY minute ORDER BY cnt DESC, place, keyword) AS r FROM kwc),
-top AS (SELECT minute, string_agg('["' || keyword || '",' || cnt || ']', ',' ORDER BY r) AS pairs FROM best WHERE r <= 10 GROUP BY minute),
-metrics AS (SELECT minute, '{{"total":' || total || ',"positive":' || positive || ',"negative":' || negative
+# Each event's envelope carries the metrics after it: one window over all events, and all keywords seen at each event.
+_AT_EVENTS = f"""WITH {sql.SCORED_FEED}, e AS (SELECT *, row_number() OVER (ORDER BY event_ts NULLS FIRST, event_id) AS rn FROM scored),
+upto AS (SELECT rn, count(*) OVER w AS total, count(*) FILTER (sentiment = 'Positive') OVER w AS positive,
+  count(*) FILTER (sentiment = 'Negative') OVER w AS negative, count(*) FILTER (sentiment = 'Neutral') OVER w AS neutral,
+  CAST(sum(milli) OVER w AS BIGINT) AS milli_sum, count(event_ts) OVER w - CASE WHEN event_ts IS NULL THEN 0 ELSE count(event_ts) OVER
+    (ORDER BY event_ts NULLS FIRST RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 60000001 MICROSECOND PRECEDING) END AS n
+  FROM e WINDOW w AS (ORDER BY rn)),
+kw AS (SELECT rn, unnest(keywords) AS keyword FROM e),
+seen AS (SELECT keyword, min(rn) AS place FROM kw GROUP BY keyword),
+grid AS (SELECT e.rn, seen.keyword, place, CASE WHEN kw.rn IS NULL THEN 0 ELSE 1 END AS n FROM e JOIN seen ON place <= e.rn
+  LEFT JOIN kw ON kw.rn = e.rn AND kw.keyword = seen.keyword),
+kwc AS (SELECT rn, keyword, place, sum(n) OVER (PARTITION BY keyword ORDER BY rn) AS cnt FROM grid),
+best AS (SELECT *, row_number() OVER (PARTITION BY rn ORDER BY cnt DESC, place, keyword) AS r FROM kwc),
+top AS (SELECT rn, string_agg('["' || keyword || '",' || cnt || ']', ',' ORDER BY r) AS pairs FROM best WHERE r <= 10 GROUP BY rn),
+metrics AS (SELECT rn, '{{"total":' || total || ',"positive":' || positive || ',"negative":' || negative
   || ',"neutral":' || neutral || ',"positive_pct":' || {sql.percent('positive', 'total')}
   || ',"negative_pct":' || {sql.percent('negative', 'total')} || ',"neutral_pct":' || {sql.percent('neutral', 'total')}
   || ',"avg_polarity":' || {sql.mean('milli_sum', 'total')} || ',"throughput_eps":' || {_RATE('n')}
-  || ',"top_keywords":[' || coalesce(pairs, '') || ']}}' AS metrics FROM upto LEFT JOIN top USING (minute))"""
+  || ',"top_keywords":[' || coalesce(pairs, '') || ']}}' AS metrics FROM upto LEFT JOIN top USING (rn))"""
 
 
 def _json_rows(rows: DataFrame) -> DataFrame:
     return event_json(rows, F.expr(time_of_day("event_ts")), "event_ts", "event_id")
 
 
-@query(f"""{_MINUTES}
-SELECT id, '{{"type":"NEW_EVENT","data":' || {_EVENT} || ',"metrics":' || metrics || '}}' AS envelope
-FROM e JOIN metrics ON e.minute IS NOT DISTINCT FROM metrics.minute""")
+@query(f"""{_AT_EVENTS}
+SELECT id, '{{"type":"NEW_EVENT","data":' || {_EVENT} || ',"metrics":' || metrics || '}}' AS envelope FROM e JOIN metrics USING (rn)""")
 def event_envelopes(spark: SparkSession, folder: str) -> DataFrame:
-    """One envelope for every event."""
+    """One envelope for every event, with the metrics as they stand after it."""
     rows = analyzed_feed(spark, folder)
-    after = m.metrics_by_minute(rows, tp.rate_columns("total")[0], number="event_id")
-    return new_events(_json_rows(rows).withColumn("minute", F.expr(m.minute_of())), after)
+    event = event_json(rows, F.expr(time_of_day("event_ts")), "event_ts", "event_id", "sentiment", "polarity", "keywords")
+    return new_events(m.metrics_at_events(event, keep=("id", "event")))
 
 
 @query(f"""{_METRICS}, {_NEWEST(newest.HISTORY_SIZE)},

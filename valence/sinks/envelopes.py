@@ -20,16 +20,12 @@ def event_json(analyzed: DataFrame, time: Column, *keep: str) -> DataFrame:
     return events.select(*keep, "id", F.to_json(F.struct(*EVENT_FIELDS), _JSON).alias("event"))
 
 
-def new_events(events: DataFrame, metrics: DataFrame) -> DataFrame:
-    """One ``NEW_EVENT`` envelope per event, with the metrics (``minute, metrics``) after its minute.
-
-    There is one row of metrics a minute: the events of a busy minute are split by
-    adaptive execution, or not shuffled at all while the minutes are few.
-    """
+def new_events(events: DataFrame) -> DataFrame:
+    """One ``NEW_EVENT`` envelope per event (``id, event, metrics``), with the metrics after it."""
     body = F.concat(
         F.lit('{"type":"NEW_EVENT","data":'), F.col("event"), F.lit(',"metrics":'), F.col("metrics"), F.lit("}")
     )
-    return events.join(metrics, "minute").select("id", body.alias("envelope"))
+    return events.select("id", body.alias("envelope"))
 
 
 def initial_state(events: DataFrame, metrics: Column, *order: str) -> DataFrame:
