@@ -53,6 +53,37 @@ def fill_defaults(messages: DataFrame, channel: str) -> DataFrame:
     return messages.selectExpr(*[f"{filled[c]} AS `{c}`" if c in filled else f"`{c}`" for c in messages.columns])
 
 
+def decode_with_defaults(records: DataFrame, channel: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Message columns of JSON values, filled as ``fill_defaults`` does, but only where a *key is missing*.
+
+    A JSON null or an empty text that the sender wrote stays (the display alone takes both
+    for missing). The value is read as a variant, which knows a missing key from a null, as
+    ``from_json`` does not; what stands behind the object is not read. Numbers and objects in place of a text are kept as text. A value
+    that is no JSON object gives nulls and stays a row. ``channel`` is an SQL expression.
+    """
+    parsed = records.selectExpr(*[f"`{c}`" for c in records.columns], "try_parse_json(CAST(value AS STRING)) AS __v")
+    parsed = parsed.withColumn("__v", F.expr("CASE WHEN schema_of_variant(__v) LIKE 'OBJECT%' THEN __v END"))
+    piece = lambda name: f"variant_get(__v, '$.{name}')"
+    text = lambda name: (
+        f"CASE WHEN NOT is_variant_null({piece(name)}) THEN CASE WHEN schema_of_variant({piece(name)}) RLIKE '^(OBJECT|ARRAY)'"
+        f" THEN to_json({piece(name)}) ELSE CAST({piece(name)} AS STRING) END END"
+    )
+    given = lambda name: f"CASE WHEN {channel} <> 'display' OR ({text(name)}) <> '' THEN {text(name)} END"
+    missing = lambda name: f"(__v IS NOT NULL AND ({piece(name)} IS NULL OR ({channel} = 'display' AND ({given(name)}) IS NULL)))"
+    fallback = {
+        "text": f"CASE WHEN {channel} = 'socket' THEN '' END",
+        "source": lookup(CHANNEL_SOURCE, channel),
+        "user": f"coalesce({lookup(CHANNEL_USER, channel)}, {stand_in_user(f'({text('id')})')})",
+        "timestamp": f"CASE WHEN {channel} = 'display' THEN {literal(DISPLAY_TIME)} END",
+    }
+    value = {name: text(name) for name in MESSAGE.names} | {
+        name: f"CASE WHEN {missing(name)} THEN {default} ELSE {given(name)} END" for name, default in fallback.items()
+    }
+    # The socket sets its user on every message.
+    value["user"] = f"CASE WHEN {channel} = 'socket' AND __v IS NOT NULL THEN {literal(CHANNEL_USER['socket'])} ELSE {value['user']} END"
+    return parsed.selectExpr(*[f"`{c}`" for c in keep], *[f"{value[name]} AS `{name}`" for name in MESSAGE.names])
+
+
 def nonblank(messages: DataFrame) -> DataFrame:
     """Drop blank texts and trim the others, as a browser does before it sends a text."""
     kept = messages.where(f"NOT {is_blank('text', BROWSER_SPACE)}")

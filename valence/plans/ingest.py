@@ -92,6 +92,38 @@ def defaults_fill(spark: SparkSession, folder: str) -> DataFrame:
     return msg.fill_defaults(gaps, "channel")
 
 
+# Fields of a message as JSON: there, empty, null or missing by the event's number; some values are no object.
+_ODD = "event_id % 89 = 7"
+
+
+@query(f"""WITH {sql.FEED}, c AS (SELECT * FROM {sql.values(_CHANNELS.items())} AS v(event_type, channel)),
+g AS (SELECT feed.*, channel, {_ODD} AS odd, event_id % 4 AS s, event_id % 3 AS u, event_id % 5 AS t FROM feed JOIN c ON event_type = source)
+SELECT event_id, channel, CASE WHEN NOT odd THEN id END AS id,
+  CASE WHEN odd THEN NULL WHEN t < 4 THEN text WHEN channel = 'socket' THEN '' END AS text,
+  CASE WHEN odd THEN NULL WHEN s = 0 THEN source WHEN s = 1 AND channel <> 'display' THEN '' WHEN s = 2 AND channel <> 'display' THEN NULL
+    ELSE CASE channel WHEN 'display' THEN 'Stream' WHEN 'producer' THEN 'LiveStream' WHEN 'function' THEN 'LiveFeed'
+      WHEN 'request' THEN 'ManualInput' ELSE 'WebClient' END END AS source,
+  CASE WHEN odd THEN NULL WHEN channel = 'socket' THEN 'dashboard_user' WHEN u = 0 THEN "user" WHEN u = 1 AND channel <> 'display' THEN NULL
+    ELSE CASE channel WHEN 'display' THEN 'anon' WHEN 'producer' THEN {_STAND_IN('id')} WHEN 'function' THEN 'user_live' ELSE 'LiveTester' END
+    END AS "user",
+  CASE WHEN odd THEN NULL WHEN t > 0 THEN "timestamp" WHEN channel = 'display' THEN '00:00:00' END AS "timestamp" FROM g""")
+def defaults_variant(spark: SparkSession, folder: str) -> DataFrame:
+    """All events as JSON with missing, null and empty fields; defaults stand only where a key is missing."""
+    field = lambda name: f"concat(',\"{name}\":', substr(to_json(array({name})), 2, length(to_json(array({name}))) - 2))"
+    parts = [
+        f"CASE WHEN event_id % 5 < 4 THEN {field('text')} ELSE '' END",
+        f"CASE event_id % 4 WHEN 0 THEN {field('source')} WHEN 1 THEN ',\"source\":\"\"' WHEN 2 THEN ',\"source\":null' ELSE '' END",
+        f"CASE event_id % 3 WHEN 0 THEN {field('user')} WHEN 1 THEN ',\"user\":null' ELSE '' END",
+        f"CASE WHEN event_id % 5 > 0 THEN {field('timestamp')} ELSE '' END",
+    ]
+    body = f"concat('{{\"id\":\"', id, '\"', {', '.join(parts)}, '}}')"
+    odd = f"CASE event_id % 3 WHEN 0 THEN '[1]' WHEN 1 THEN rtrim('}}', {body}) ELSE '17' END"
+    records = event_feed(spark, folder).selectExpr(
+        "event_id", f"{lookup(_CHANNELS, 'source')} AS channel", f"CASE WHEN {_ODD} THEN {odd} ELSE {body} END AS value"
+    )
+    return msg.decode_with_defaults(records, "channel", keep=("event_id", "channel"))
+
+
 @query(f"""WITH {sql.FEED} SELECT id, {sql.strip('text', sql.BROWSER_SPACE)} AS text, source, "user", "timestamp"
 FROM feed WHERE NOT {sql.blank('text', sql.BROWSER_SPACE)}""")
 def nonblank_filter(spark: SparkSession, folder: str) -> DataFrame:

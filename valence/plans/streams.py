@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import classifier, metrics as m
 from ..operators.analyze import analyze
+from ..operators.latest import HISTORY_SIZE
 from ..session import prepare_streaming, work_dir
 from ..sources.messages import decode, file_stream
 from ..sources.tables import feed_of, table
-from ..streaming import jobs
+from ..streaming import jobs, state
 from . import sql
 from .learning import _fit
-from .registry import query
-from .reporting import _KEYWORDS, _MARKER, IS_RESET
+from .registry import ORACLES, query
+from .reporting import _KEYWORDS, _MARKER, _RATE, IS_RESET
 
 _NTZ = "timestamp_ntz"
 
@@ -133,6 +134,46 @@ def reset_stream(spark: SparkSession, folder: str) -> DataFrame:
     return m.finish_counts(jobs.read_since_reset(spark, out), "source")
 
 
+@query(ORACLES["history_latest"])
+def history_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest events, kept as a list in the state of a stream that is stopped and started again halfway."""
+    out = work_dir(spark, "history-stream")
+    own = jobs.own_session(spark, 1)
+    # Several files, so that there are several batches, and rows that the state has to give up.
+    table(spark, folder, "events").withColumn("slice", F.col("event_id") % 4).write.partitionBy("slice").parquet(f"{out}/events")
+    for part in ("[01]", "*"):
+        events = file_stream(own, f"{out}/events/slice={part}", table(spark, folder, "events").schema, "parquet", maxFilesPerTrigger="1")
+        feed = feed_of(events).select("id", "text", "source", "user", "timestamp", "event_ts", "event_id")
+        newest = state.history_stream(feed, HISTORY_SIZE, "event_ts", "event_id")
+        write = jobs.snapshot_folder(f"{out}/rows")
+        jobs.start_batches(newest, write, f"{out}/checkpoint", mode="update", once=True).awaitTermination()
+    kept = jobs.read_snapshot(spark, f"{out}/rows").where(F.col("place") < HISTORY_SIZE)
+    rows = analyze(kept, processed_at=F.col("event_ts"), keep=("event_ts",))
+    return rows.withColumn("keywords", F.array_join("keywords", ",")).select(
+        "id", "text", "source", "user", F.col("event_ts").cast(_NTZ).alias("event_ts"), "sentiment", "emoji", "label",
+        "polarity", "confidence", "pos_score", "neg_score", "keywords",
+    )
+
+
+@query(f"""WITH newest AS (SELECT event_type AS source, max(ts) AS event_ts FROM events GROUP BY ALL),
+n AS (SELECT source, event_ts, count(*) AS events_60s FROM newest JOIN events ON event_type = source AND ts >= event_ts - INTERVAL 60 SECOND
+  GROUP BY ALL)
+SELECT source, event_ts, events_60s, {_RATE('events_60s')} AS throughput_eps, {_RATE('least(events_60s, 60)')} AS throughput_eps_saturated FROM n""")
+def throughput_now_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Rate of the last minute of each source, as the stream's state holds it after the last batch."""
+    out = work_dir(spark, "throughput-now")
+    # Later days first: what comes in the second and third batch is older than what the state holds, or interleaved with it.
+    events = table(spark, folder, "events").withColumn("slice", F.expr("CASE WHEN event_id % 3 = 0 THEN 0 ELSE day(ts) % 2 + 1 END"))
+    own = jobs.own_session(spark, 2)
+    events.write.partitionBy("slice").parquet(f"{out}/events")
+    stream = file_stream(own, f"{out}/events/slice=*", table(spark, folder, "events").schema, "parquet", maxFilesPerTrigger="1")
+    now = state.throughput_now(feed_of(stream), delay="90 days")
+    write = jobs.batch_folder(f"{out}/rows")
+    jobs.start_batches(now, write, f"{out}/checkpoint", mode="update", once=True).awaitTermination()
+    rows = jobs.read_newest(spark, f"{out}/rows", "source")
+    return rows.withColumn("event_ts", F.col("event_ts").cast(_NTZ))
+
+
 @query()
 def classify_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The trained classifier on a stream of all documents."""
