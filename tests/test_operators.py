@@ -328,3 +328,21 @@ def test_kafka_options(monkeypatch, spark):
     assert kafka_options("t", "c:3")["kafka.bootstrap.servers"] == "c:3"
     with pytest.raises(ValueError):
         message_stream(spark, "json")
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 5, 17, 100, 1009, 4097])
+def test_shuffle_is_a_bijection_that_depends_on_the_seed(spark, n):
+    place = lambda seed: [r.p for r in spark.range(n).coalesce(1).selectExpr(f"{sampling.shuffled_place('id', n, seed)} AS p").collect()]
+    first = place(1)
+    assert sorted(first) == list(range(n))
+    if n > 99:
+        moved = [abs(a - b) for a, b in zip(first, range(n))]
+        assert first != place(2) and n / 4 < sum(moved) / n < n / 2.2  # a third of n on average
+        ups = sum(b > a for a, b in zip(first, first[1:]))
+        assert 0.4 * n < ups < 0.6 * n
+
+
+def test_shuffled_rows_keep_null_and_repeated_keys(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 2), (3, 3), (3, 3), (1, 4)], "id int, x int").repartition(3)
+    assert sorted(r.place for r in sampling.shuffle_order(rows, "id").collect()) == [0, 1, 2, 3, 4]
+    assert sampling.shuffle_order(rows.limit(0), "id").count() == 0

@@ -58,3 +58,22 @@ def test_rate_counts_late_events_and_both_ends(spark, tmp_path):
     jobs.start_batches(state.throughput_now(rows, delay="1 hour"), write, str(tmp_path / "checkpoint"), mode="update", once=True).awaitTermination()
     got = {r.source: (r.event_ts, r.events_60s) for r in jobs.read_newest(spark, str(tmp_path / "rows"), "source").collect()}
     assert got == {"a": (at(60), 5), "b": (at(65.5), 2)}
+
+
+def test_counts_since_the_last_reset_do_not_depend_on_the_order(spark, tmp_path):
+    """Late resets, resets beside events of the same time, resets older than the last, and times that the watermark has settled."""
+    at = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    event = lambda key, s, name="Positive": (key, at(s), False, name, 0.5)
+    reset = lambda key, s: (key, at(s), True, "Neutral", 0.0)
+    parts = [
+        [event("a", 10), event("a", 20, "Negative"), event("a", 20), event("b", 1), reset("c", 5), event("d", 3), ("b", None, False, "Positive", 0.5)],
+        [reset("a", 20), event("a", 21), reset("a", 15), event("b", 4000), event("c", 5), event("c", 6, "Neutral"), event("d", 4000)],
+        [event("a", 4001), event("b", 4002), reset("d", 4000), event("d", 4000.5), event("c", 4003)],
+        [event("b", 4004), reset("b", 2), event("d", 4000.2), event("a", 4005)],
+    ]
+    rows = _batches(spark, tmp_path, parts, "source string, event_ts timestamp, is_reset boolean, sentiment string, polarity double")
+    write = jobs.batch_folder(str(tmp_path / "rows"))
+    jobs.start_batches(state.since_reset(rows, delay="10 minutes"), write, str(tmp_path / "checkpoint"), mode="update", once=True).awaitTermination()
+    got = {r.source: (r.total, r.positive, r.negative, r.neutral, r.polarity_milli) for r in jobs.read_newest(spark, str(tmp_path / "rows"), "source").collect()}
+    # The reset of b at 2 comes more than the delay late, so it does not count.
+    assert got == {"a": (3, 3, 0, 0, 1500), "b": (4, 4, 0, 0, 2000), "c": (2, 1, 0, 1, 1000), "d": (2, 2, 0, 0, 1000)}

@@ -130,10 +130,7 @@ def nonblank_filter(spark: SparkSession, folder: str) -> DataFrame:
     return msg.nonblank(event_feed(spark, folder).select(*MESSAGE.names))
 
 
-@query("""SELECT conv_id, turn, CASE WHEN turn % 4 = 2 THEN '' ELSE text END AS text,
-  CASE WHEN turn = 0 THEN 'WebClient' ELSE 'turn_' || turn END AS source, 'dashboard_user' AS "user"
-FROM conversations WHERE role = 'user'""")
-def command_stream(spark: SparkSession, folder: str) -> DataFrame:
+def socket_records(conversations: DataFrame) -> DataFrame:
     """Turns as socket messages: of users a command, of assistants another action, of the system no JSON."""
     turn = F.col("turn")
     send = F.struct(
@@ -146,7 +143,15 @@ def command_stream(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("role") == "assistant", F.to_json(F.struct(F.lit("PING").alias("action"), "text")))
         .otherwise(F.col("text"))
     )
-    records = table(spark, folder, "conversations").select("conv_id", "turn", value.alias("value"))
+    return conversations.select("conv_id", "turn", value.alias("value"))
+
+
+@query("""SELECT conv_id, turn, CASE WHEN turn % 4 = 2 THEN '' ELSE text END AS text,
+  CASE WHEN turn = 0 THEN 'WebClient' ELSE 'turn_' || turn END AS source, 'dashboard_user' AS "user"
+FROM conversations WHERE role = 'user'""")
+def command_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The texts of users among the turns sent to the socket."""
+    records = socket_records(table(spark, folder, "conversations"))
     return msg.commands(records, keep=("conv_id", "turn"))
 
 

@@ -33,6 +33,34 @@ def hash_sample_exact(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.exact_sample(events, "event_id", SAMPLE_ROWS)
 
 
+def _walk_sql() -> str:
+    """The permutation by half rounds as nested selects, and rows that fall beyond the count again."""
+    mod, (m1, m2), n = sampling._MODULUS, sampling._MIX, "(SELECT n FROM size)"
+    shift = lambda v, bits: f"xor({v}, ({v}) >> {bits})"
+
+    def mixed(v: str, key: int) -> str:
+        return shift(f"({shift(f'(({v} + {key}) % {mod} * {m1} % {mod})', 15)} * {m2} % {mod})", 13)
+
+    def once(source: str) -> str:
+        out = f"SELECT id, place // b AS l, place % b AS r, a, b FROM {source}"
+        for i, key in enumerate(sampling.round_keys(42)):
+            side = f"(l + {mixed('r', key)}) % a AS l, r" if i % 2 == 0 else f"l, (r + {mixed('l', key)}) % b AS r"
+            out = f"SELECT id, {side}, a, b FROM ({out})"
+        return f"SELECT id, l * b + r AS place, a, b FROM ({out})"
+
+    return f"""WITH RECURSIVE size AS (SELECT count(*) AS n FROM events), sides AS (SELECT n, CAST(ceil(sqrt(n)) AS BIGINT) AS a FROM size),
+grid AS (SELECT a, CAST(ceil(n / a) AS BIGINT) AS b FROM sides),
+start AS (SELECT event_id AS id, row_number() OVER (ORDER BY event_id) - 1 AS place, a, b FROM events, grid),
+walk AS ({once("start")} UNION ALL {once(f"(SELECT * FROM walk WHERE place >= {n})")})
+SELECT id AS event_id, place FROM walk WHERE place < {n}"""
+
+
+@query(_walk_sql())
+def shuffle_order(spark: SparkSession, folder: str) -> DataFrame:
+    """A random order of all events."""
+    return sampling.shuffle_order(table(spark, folder, "events").select("event_id"), "event_id")
+
+
 _SIDE = f"CASE WHEN {sql.bucket('doc_id')} % 100 < 80 THEN 'train' ELSE 'test' END"
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import classifier, metrics as m
+from ..operators import classifier, messages, metrics as m
 from ..operators.analyze import analyze
 from ..operators.latest import HISTORY_SIZE
 from ..session import prepare_streaming, work_dir
@@ -12,9 +12,10 @@ from ..sources.messages import decode, file_stream
 from ..sources.tables import feed_of, table
 from ..streaming import jobs, state
 from . import sql
+from .ingest import socket_records
 from .learning import _fit
 from .registry import ORACLES, query
-from .reporting import _KEYWORDS, _MARKER, _RATE, IS_RESET
+from .reporting import _KEYWORDS, _MARKER, _RATE, IS_RESET, analyzed_feed
 
 _NTZ = "timestamp_ntz"
 
@@ -174,6 +175,87 @@ def throughput_now_stream(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("event_ts", F.col("event_ts").cast(_NTZ))
 
 
+@query(ORACLES["reset_stream"])
+def reset_state_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with the reset applied in the stream's state, and messages that come out of order over three batches."""
+    out = work_dir(spark, "reset-state")
+    own = jobs.own_session(spark, 2)
+    given = table(spark, folder, "events")
+    given.withColumn("slice", F.expr("event_id * 7 % 3")).write.partitionBy("slice").parquet(f"{out}/events")
+    events = file_stream(own, f"{out}/events/slice=*", given.schema, "parquet", maxFilesPerTrigger="1")
+    scored = analyze(feed_of(events, keep=(f"{IS_RESET} AS is_reset",)), keep=("event_ts", "is_reset"))
+    counts = state.since_reset(scored.select("source", "event_ts", "is_reset", "sentiment", "polarity"), delay="90 days")
+    write = jobs.batch_folder(f"{out}/rows")
+    jobs.start_batches(counts, write, f"{out}/checkpoint", mode="update", once=True).awaitTermination()
+    return m.finish_counts(jobs.read_newest(spark, f"{out}/rows", "source"), "source")
+
+
+@query(ORACLES["metrics_stream"])
+def metrics_from_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The metrics as the running query's checkpoint holds them; its sink keeps nothing."""
+    out = work_dir(spark, "metrics-state")
+    own = jobs.own_session(spark, 1)
+    jobs.start(jobs.metrics_stream(analyzed_stream(own, folder)), "noop", f"{out}/checkpoint", mode="complete", once=True).awaitTermination()
+    counts = "total bigint, positive bigint, negative bigint, neutral bigint, polarity_milli bigint"
+    return m.finish_counts(jobs.read_state(own, f"{out}/checkpoint", counts))
+
+
+@query(f"{_KEYWORDS} SELECT keyword, cnt, first_seen FROM counts")
+def keywords_from_state(spark: SparkSession, folder: str) -> DataFrame:
+    out = work_dir(spark, "keywords-state")
+    own = jobs.own_session(spark, jobs.KEYWORD_PARTITIONS)
+    jobs.start(jobs.keyword_stream(analyzed_stream(own, folder)), "noop", f"{out}/checkpoint", mode="complete", once=True).awaitTermination()
+    rows = jobs.read_state(own, f"{out}/checkpoint", "cnt bigint, first_seen timestamp, place decimal(38,0)", key="keyword string")
+    return rows.select("keyword", "cnt", F.col("first_seen").cast(_NTZ).alias("first_seen"))
+
+
+@query(ORACLES["kpi_by_source"])
+def replayed_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Scored records of a sink that wrote a part of them twice; each counts once."""
+    out = work_dir(spark, "replayed")
+    scored = analyzed_feed(spark, folder).select("event_id", "source", "event_ts", "sentiment", "polarity")
+    scored.write.parquet(f"{out}/records/batch=0")
+    again = spark.read.parquet(f"{out}/records/batch=0")
+    again.where("event_id % 3 = 0").write.parquet(f"{out}/records/batch=1")
+    own = jobs.own_session(spark, 4)
+    records = file_stream(own, f"{out}/records/batch=*", again.schema, "parquet", maxFilesPerTrigger="1")
+    once = jobs.once_only(records, "event_ts", "event_id", delay="90 days")
+
+    def counts(batch: DataFrame, batch_id: int) -> None:
+        jobs.batch_folder(f"{out}/counts")(batch.groupBy("source").agg(*m.count_columns()), batch_id)
+
+    jobs.start_batches(once, counts, f"{out}/checkpoint", once=True).awaitTermination()
+    names = ["total", "positive", "negative", "neutral", "polarity_milli"]
+    summed = jobs.read_batches(spark, f"{out}/counts").groupBy("source").agg(*[F.sum(n).alias(n) for n in names])
+    return m.finish_counts(summed, "source")
+
+
+@query(f"""WITH {sql.FEED}, {sql.score("""(SELECT id, text FROM feed UNION ALL
+  SELECT 'cmd_' || conv_id || '_' || turn, CASE WHEN turn % 4 = 2 THEN '' ELSE text END FROM conversations WHERE role = 'user')""", "id")},
+u AS (SELECT 'feed' AS kind, id, text, source, "user" FROM feed UNION ALL
+  SELECT 'command', 'cmd_' || conv_id || '_' || turn, CASE WHEN turn % 4 = 2 THEN '' ELSE text END,
+    CASE WHEN turn = 0 THEN 'WebClient' ELSE 'turn_' || turn END, 'dashboard_user' FROM conversations WHERE role = 'user')
+SELECT kind, id, text, source, "user", {sql.SCORE_COLUMNS} FROM u JOIN score ON k = id""")
+def routed_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The feed and the socket's commands in one query: scored together, each once, and written apart by kind."""
+    out = work_dir(spark, "routed")
+    own = jobs.own_session(spark, 4)
+    feed = feed_stream(own, folder).select("id", "text", "source", "user", "timestamp", "event_ts").withWatermark("event_ts", "90 days")
+    sent = socket_records(table_stream(own, folder, "conversations"))
+    sent = sent.withColumn("event_ts", F.expr("timestamp_seconds(1704067200 + turn)"))
+    texts = messages.commands(sent, keep=("conv_id", "turn", "event_ts")).withWatermark("event_ts", "1 hour")
+    texts = texts.selectExpr(
+        "concat('cmd_', conv_id, '_', turn) AS id", "text", "source", "user", "CAST(NULL AS STRING) AS timestamp", "event_ts"
+    )
+    both = jobs.routed(feed=feed, command=texts).dropDuplicatesWithinWatermark(["kind", "id"])
+    scored = jobs.score_stream(both, processed_at=F.col("event_ts"), keep=("kind",))
+    jobs.start_batches(scored, jobs.batch_folder(f"{out}/rows", "kind"), f"{out}/checkpoint", once=True).awaitTermination()
+    rows = jobs.read_batches(spark, f"{out}/rows")
+    return rows.withColumn("keywords", F.array_join("keywords", ",")).select(
+        "kind", "id", "text", "source", "user", "sentiment", "emoji", "label", "polarity", "confidence", "pos_score", "neg_score", "keywords"
+    )
+
+
 @query()
 def classify_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The trained classifier on a stream of all documents."""

@@ -142,6 +142,21 @@ def read_newest(spark: SparkSession, path: str, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(last).select(*keys, "last.*")
 
 
+def read_state(spark: SparkSession, checkpoint: str, value: str, key: str = "") -> DataFrame:
+    """Rows of the state that a query with one stateful step has in its checkpoint after its last batch; no sink is needed.
+
+    ``key`` and ``value`` list the columns with their types, in the order of the
+    aggregation: what state calls them says nothing.
+    """
+    rows = spark.read.format("statestore").load(checkpoint)
+    named = lambda column, fields: [f"inline(array(CAST({column} AS STRUCT<{', '.join(fields)}>)))"]
+    typed = lambda text: [f"{name}: {kind}" for name, kind in (part.split() for part in text.split(", "))] if text else []
+    if not key:
+        return rows.selectExpr(*named("value", typed(value)))
+    both = rows.selectExpr("value", *named("key", typed(key)))
+    return both.selectExpr(*[part.split()[0] for part in key.split(", ")], *named("value", typed(value)))
+
+
 # Transformations of streams
 
 def score_stream(messages: DataFrame, **kwargs) -> DataFrame:
@@ -166,6 +181,30 @@ def throughput_stream(messages: DataFrame, ts: str = "event_ts", delay: str = "1
     )
 
 
+def once_only(records: DataFrame, ts: str, *keys: str, delay: str = "10 minutes") -> DataFrame:
+    """Each record once, also where an at-least-once sink has written a batch again.
+
+    ``keys`` tell what was written apart: a record's place in its source, not a message's id,
+    which may repeat. They are remembered for ``delay`` of event time. A record without a
+    time can never leave the state, so it counts by the beginning of time and is passed on
+    only while the watermark has not risen.
+    """
+    return records.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def routed(**channels: DataFrame) -> DataFrame:
+    """Streams of messages as one, with the name of each as ``kind``; each keeps the watermark it has.
+
+    The watermark of the whole is that of the slowest, so a busy feed does not make the
+    commands late.
+    """
+    parts = [rows.withColumn("kind", F.lit(kind)) for kind, rows in channels.items()]
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 # Metrics since the last reset of a source
 
 def reset_sinks(path: str) -> Sink:

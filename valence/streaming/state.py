@@ -1,4 +1,4 @@
-"""Keyed state of running streams: the newest rows, and the rate of the last minute.
+"""Keyed state of running streams: the newest rows, the rate of the last minute, and counts since a reset.
 
 State gets no rows of a batch as they come. Each task hands on a bounded part of its
 own (its newest rows, or its counts by time), so that a key which all rows share does
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType, TimestampType
 
+from ..functions.arithmetic import to_milli
 from ..operators.throughput import SPAN, rate_columns
 
 _MICROS = 1_000_000
@@ -141,3 +142,89 @@ def throughput_now(messages: DataFrame, ts: str = "event_ts", key: str = "source
     out = StructType([messages.schema[key], StructField("event_ts", TimestampType()), StructField("events_60s", LongType())])
     now = sums.groupBy(key).transformWithStateInPandas(_Rate(key), out, "Update", "EventTime")
     return now.selectExpr(f"`{key}`", "event_ts", "events_60s", *rate_columns("events_60s"))
+
+
+# --- counts since the last reset ------------------------------------------------------------------------------------
+
+_COUNTS = ["total", "positive", "negative", "neutral", "polarity_milli"]
+
+
+class _SinceReset(StatefulProcessor):
+    """A key's last reset, its counts by time where a reset may still come, and one sum of what is older."""
+
+    def __init__(self, key: str):
+        self.key = key
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        numbers = StructType([StructField(name, LongType()) for name in _COUNTS])
+        at = StructType([StructField("at", LongType())])
+        self.times = handle.getMapState("times", at, numbers)
+        self.settled = handle.getValueState("settled", numbers)
+        self.marks = handle.getValueState("marks", StructType([StructField("reset", LongType()), StructField("upto", LongType())]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+        reset, upto = self.marks.get() if self.marks.exists() else (None, None)
+        found: dict[int, list[int]] = {}
+        latest = reset
+        for part in rows:
+            times = [_micros(t) for t in part["event_ts"]]
+            for at, is_reset, *counts in zip(times, part["is_reset"], *[part[name] for name in _COUNTS]):
+                if is_reset:
+                    latest = at if latest is None else max(latest, at)
+                else:
+                    found[at] = [a + int(b) for a, b in zip(found.get(at, [0] * len(_COUNTS)), counts)]
+        known = {at[0]: list(counts) for at, counts in self.times.iterator()} if self.times.exists() else {}
+        settled = list(self.settled.get()) if self.settled.exists() else [0] * len(_COUNTS)
+        if latest is not None and latest != reset and (upto is None or latest >= upto):
+            settled = [0] * len(_COUNTS)  # all that was settled is older than this reset
+        for at, counts in found.items():
+            known[at] = [a + b for a, b in zip(known.get(at, [0] * len(_COUNTS)), counts)]
+        # Times that no reset can reach any more become part of the sum; those before the reset go.
+        watermark = timers.getCurrentWatermarkInMs() * 1000
+        upto = max(upto or watermark, watermark)
+        for at in list(known):
+            if latest is not None and at <= latest:
+                del known[at]
+            elif at < upto:
+                settled = [a + b for a, b in zip(settled, known.pop(at))]
+        before = {at[0] for at, _ in self.times.iterator()} if self.times.exists() else set()
+        for at in before - set(known):
+            self.times.removeKey((at,))
+        for at in known:
+            if at in found or at not in before:
+                self.times.updateValue((at,), tuple(known[at]))
+        self.settled.update(tuple(settled))
+        self.marks.update((latest, upto))
+        sums = [sum(column) for column in zip(settled, *known.values())]
+        yield pd.DataFrame({self.key: [key[0]]} | {name: [n] for name, n in zip(_COUNTS, sums)})
+
+    def close(self) -> None:
+        pass
+
+
+def since_reset(scored: DataFrame, key: str = "source", ts: str = "event_ts", delay: str = "10 minutes") -> DataFrame:
+    """Counts per key since its last reset (rows with ``is_reset``), after each batch that has some of it; update mode.
+
+    The result does not depend on the order of arrival, as long as nothing is later than
+    ``delay``; later rows do not count. A reset counts events after its time only; one that
+    is older than the last changes nothing. Rows without a time do not count. A task hands
+    on one row for each key and time of its part of a batch, so no task gets a batch.
+    """
+    kind = scored.schema[key].dataType.simpleString()
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts: list[pd.DataFrame] = []
+        for batch in batches:
+            parts = [pd.concat([*parts, batch]).groupby([key, "event_ts", "is_reset"], dropna=False, as_index=False)[_COUNTS].sum()]
+        yield from parts
+
+    event = "CASE WHEN NOT is_reset THEN 1L ELSE 0L END"
+    one = lambda name: f"CASE WHEN NOT is_reset AND sentiment = '{name}' THEN 1L ELSE 0L END AS {name.lower()}"
+    rows = scored.where(F.col(ts).isNotNull()).selectExpr(
+        f"`{key}`", f"{ts} AS event_ts", "coalesce(is_reset, false) AS is_reset", f"{event} AS total", one("Positive"), one("Negative"), one("Neutral"),
+        f"CASE WHEN NOT is_reset THEN {to_milli('polarity')} ELSE 0L END AS polarity_milli",
+    )
+    numbers = ", ".join(f"{name} bigint" for name in _COUNTS)
+    sums = rows.mapInPandas(counted, f"`{key}` {kind}, event_ts timestamp, is_reset boolean, {numbers}").withWatermark("event_ts", delay)
+    out = StructType([scored.schema[key], *[StructField(name, LongType()) for name in _COUNTS]])
+    return sums.groupBy(key).transformWithStateInPandas(_SinceReset(key), out, "Update", "EventTime")
