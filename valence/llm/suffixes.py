@@ -421,12 +421,17 @@ def _meet_stretches(key: tuple, sent: pd.DataFrame) -> pd.DataFrame:
     rows = np.concatenate([np.frombuffer(unpack(b), np.uint8).reshape(-1, _RECORD) for b in sent["body"]])
     least = np.concatenate([np.frombuffer(unpack(b), np.int64) for b in sent["more"]])
     found, first, number = _distinct_rows(rows, least)
-    by_window = np.full((len(found), REACH), np.iinfo(np.int64).max)
-    for at, end in _blocks(_anchors_of(found)):
-        row, place, kind = equal_windows(found[at:end, 10:], found[at:end, 8].astype(np.int64))
+    # A stretch that is its anchor's only one has its windows to itself; where there are several, they are sorted.
+    by_window = np.repeat(first[:, None], REACH, axis=1)
+    anchors = _anchors_of(found)
+    near = anchors[1:] == anchors[:-1]
+    several = np.flatnonzero(np.concatenate((near, [False])) | np.concatenate(([False], near)))
+    for at, end in _blocks(anchors[several]):
+        part = several[at:end]
+        row, place, kind = equal_windows(found[part, 10:], found[part, 8].astype(np.int64))
         smallest = np.full(int(kind.max(initial=-1)) + 1, np.iinfo(np.int64).max)
-        np.minimum.at(smallest, kind, first[at + row])
-        by_window[at + row, place] = smallest[kind]
+        np.minimum.at(smallest, kind, first[part[row]])
+        by_window[part[row], place] = smallest[kind]
     weights = np.int64(1) << np.arange(REACH, dtype=np.int64)
     masks = np.concatenate(
         [((by_window[number[at : at + 65536]] < least[at : at + 65536, None]) * weights).sum(axis=1) for at in range(0, len(number), 65536)]
@@ -445,15 +450,15 @@ def _cut(portion: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         p, chosen, (_, least, number, entry, bit) = _chosen(row, answers)
         parts = answers[answers["kind"] == 1].sort_values("bucket")["bits"]
         masks = np.concatenate([np.zeros(0, np.uint32), *[np.frombuffer(unpack(b), np.uint32) for b in parts]])
-        step = np.zeros(len(p.body) + 1, np.int32)
         start, width, key = p.start[chosen], p.width[chosen], p.key[chosen]
+        hits = [np.zeros(0, np.int64)]
         for k in range(REACH if len(chosen) else 0):
             at = entry[number, k]
             # Behind the smallest document here a window repeats; of that one, if the answer says so.
             repeats = (key > least[at]) | ((masks[at] >> bit[number, k]) & np.uint32(1) > 0)
-            hit = start[repeats & (k < width)] + k
-            np.add.at(step, hit, 1)
-            np.add.at(step, hit + LENGTH, -1)
+            hits.append(start[repeats & (k < width)] + k)
+        hit, n = np.concatenate(hits), len(p.body) + 1
+        step = np.bincount(hit, minlength=n) - np.bincount(hit + LENGTH, minlength=n)
         gone = np.cumsum(step[:-1]) > 0
         total = np.concatenate(([0], np.cumsum(gone)))
         for name, a, b in zip(p.names, p.starts.tolist(), p.ends.tolist()):
