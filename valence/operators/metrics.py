@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-import functools
-import json
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.arithmetic import literal, literals, mean_milli, percent, to_milli
 from ..functions.lexicon import KEYWORDS
@@ -98,8 +93,8 @@ def metrics_at_events(scored: DataFrame, ts: str = "event_ts", number: str = "ev
 
     Events are ordered by time, those without a time first, then by ``number``. Each event
     stands in that order twice: at its time, and where it leaves the trailing window. The
-    rate at an event is then a difference of two running counts. A task works through a
-    block of the order from what it begins with: the sums, and at most 148 keyword counts.
+    rate at an event is then a difference of two running counts. A window holds a block of
+    the order, and adds to what the block begins with: the sums, and 148 keyword counts.
     """
     columns = {"at": f"CAST({ts} AS TIMESTAMP)", "number": number, "sentiment": "sentiment", "milli": to_milli("polarity"), "keywords": "keywords"}
     # Written once: texts are scored once, and what is kept of an event meets its metrics by the row's place.
@@ -116,19 +111,28 @@ def metrics_at_events(scored: DataFrame, ts: str = "event_ts", number: str = "ev
         F.expr("count_if(kind = 0) AS total"), F.expr("count_if(kind = 0 AND at IS NOT NULL) AS timed"), F.expr("count_if(kind = 1) AS left"),
         *[F.expr(f"count_if(sentiment = {literal(name)}) AS {name.lower()}") for name in CLASSES], F.expr("coalesce(sum(milli), 0L) AS polarity_milli"),
     )
-    begins = before_blocks(sums, names)
+    begins = before_blocks(sums, names).select("block", *[F.col(n).alias(f"{n}_before") for n in names])
     hits = placed.where("kind = 0").select("block", "pos", F.explode_outer("keywords").alias("keyword")).where("keyword IS NOT NULL")
     hits = hits.groupBy("block", "keyword").agg(F.count("*").alias("cnt"), F.min("pos").alias("first"))
-    grid = sums.selectExpr("block", f"explode(array({literals(KEYWORDS)})) AS keyword").join(hits, ["block", "keyword"], "left")
+    grid = sums.selectExpr("block", f"posexplode(array({literals(KEYWORDS)})) AS (i, keyword)").join(hits, ["block", "keyword"], "left")
     grid = grid.withColumn("cnt", F.coalesce("cnt", F.lit(0)))
-    known = before_blocks(grid, ["cnt"], "keyword", least=("first",)).where("cnt > 0")
-    known = known.groupBy("block").agg(F.collect_list(F.struct("keyword", "cnt", "first")).alias("known"))
-    begins = begins.join(known, "block", "left").withColumnRenamed("block", "of")
-
-    slim = placed.select("block", "pos", "row", "kind", F.col("at").isNotNull().alias("has_time"), "sentiment", "milli", "keywords")
-    out = f"row bigint, {', '.join(f'{n} bigint' for n in names)}, pairs string"
-    ran = slim.groupBy("block").cogroup(begins.groupBy("of")).applyInPandas(_run_block(names, k), out)
-    ran = ran.selectExpr("row", *[n for n in names if n not in ("timed", "left")], rate_columns("(timed - left)")[0], "pairs")
+    known = before_blocks(grid, ["cnt"], "keyword", least=("first",)).withColumnsRenamed({"cnt": "before", "first": "earlier"})
+    known = grid.join(known, ["block", "keyword"]).selectExpr("block", "struct(i, before, least(first, earlier) AS first, keyword) AS entry")
+    known = known.groupBy("block").agg(F.sort_array(F.collect_list("entry")).alias("known"))
+
+    # Within a block: running sums, one for each keyword too, and of these the k largest at each event.
+    upto = Window.partitionBy("block").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steps = {"total": "kind = 0", "timed": "kind = 0 AND at IS NOT NULL", "left": "kind = 1"} | {n.lower(): f"sentiment = {literal(n)}" for n in CLASSES}
+    sums_here = [F.sum(F.expr(f"CASE WHEN {test} THEN 1L ELSE 0L END")).over(upto).alias(n) for n, test in steps.items()]
+    sums_here.append(F.sum(F.coalesce("milli", F.lit(0))).over(upto).alias("polarity_milli"))
+    words = [F.sum(F.expr(f"CASE WHEN array_contains(keywords, {literal(w)}) THEN 1L ELSE 0L END")).over(upto).alias(f"k{i}") for i, w in enumerate(KEYWORDS)]
+    ran = placed.select("block", "row", "kind", *sums_here, *words).where("kind = 0")
+    ran = ran.select("block", "row", *names, F.array(*[f"k{i}" for i in range(len(KEYWORDS))]).alias("here"))
+    ran = ran.join(begins, "block").join(known, "block")
+    entries = "zip_with(known, here, (e, n) -> struct(-(e.before + n) AS order, e.first AS first, e.keyword AS keyword))"
+    top = f"slice(sort_array(filter({entries}, e -> e.order < 0)), 1, {k})"
+    ran = ran.selectExpr("row", *[f"{n} + {n}_before AS {n}" for n in names], f"{top} AS top")
+    ran = ran.selectExpr("row", *[n for n in names if n not in ("timed", "left")], rate_columns("(timed - left)")[0], f"{_PAIRS} AS pairs")
     numbers = finish_counts(ran, "row", "throughput_eps", "pairs")
     fields = [c for c in numbers.columns if c not in ("row", "throughput_eps", "pairs")]
     body = f"to_json(struct({', '.join([*fields, 'throughput_eps'])}))"
@@ -140,29 +144,8 @@ def quoted(names: tuple[str, ...]) -> list[str]:
     return [f"`{name}`" for name in names]
 
 
-def _run_block(names: list[str], k: int):
-    def work(key: tuple, rows: pd.DataFrame, begins: pd.DataFrame) -> pd.DataFrame:
-        rows, start = rows.sort_values("pos"), begins.iloc[0]
-        enters = (rows["kind"] == 0).to_numpy()
-        steps = {"total": enters, "timed": enters & rows["has_time"].to_numpy(), "left": ~enters, "polarity_milli": rows["milli"].fillna(0).to_numpy()}
-        steps |= {name.lower(): (rows["sentiment"] == name).to_numpy() for name in CLASSES}
-        out = {"row": rows["row"].to_numpy()} | {n: int(start[n]) + np.cumsum(steps[n].astype(np.int64)) for n in names}
-        known = {} if start["known"] is None else {e["keyword"]: [-int(e["cnt"]), int(e["first"]), e["keyword"]] for e in start["known"]}
-        top = sorted(known.values())[:k]
-        named = functools.cache(lambda word: json.dumps(word, ensure_ascii=False))
-        text = lambda: ",".join([f"[{named(word)},{-count}]" for count, _, word in top])
-        pairs, said = [], text()
-        for pos, words in zip(rows["pos"].tolist(), rows["keywords"]):
-            if words is not None and len(words):
-                for word in words:
-                    known.setdefault(word, [0, pos, word])[0] -= 1
-                # Only these counts rose: the new top lies in the old one and them.
-                top = sorted({entry[2]: entry for entry in [*top, *(known[word] for word in words)]}.values())[:k]
-                said = text()
-            pairs.append(said)
-        return pd.DataFrame(out | {"pairs": pairs})[enters]
-
-    return work
+# A pair holds a text and a number, which no array type does: the list of keywords is put together as text.
+_PAIRS = "array_join(transform(coalesce(top, array()), e -> concat(rtrim(']', to_json(array(e.keyword))), ',', -e.order, ']')), ',')"
 
 
 def _payload(fields: list[str]) -> str:
