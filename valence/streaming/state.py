@@ -7,9 +7,11 @@ not bring a batch into one task. A restart goes on from the checkpoint.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType, TimestampType
@@ -17,6 +19,9 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType, Ti
 from ..functions.arithmetic import to_milli
 from ..operators.throughput import SPAN, rate_columns
 
+# Sent to the workers by value: they need Spark and pandas only, not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _MICROS = 1_000_000
 
 
