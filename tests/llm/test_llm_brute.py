@@ -12,7 +12,7 @@ import xxhash
 from hypothesis import given, settings
 
 import __spark_entry__ as driver
-from valence.llm import decontaminate, language_id, licenses, near_dedup, packing, sharding, toxicity, warc
+from valence.llm import decontaminate, fingerprints, language_id, licenses, near_dedup, packing, sharding, toxicity, warc
 from valence.llm.common import Isotonic
 from valence.llm.queries import ORACLES
 
@@ -325,35 +325,83 @@ def test_fast_ids_are_the_ids_of_the_library(encoders, text):
 # --- fingerprints ---
 
 
-def plain_sketch(text):
+def plain_anchors(text):
+    """Hash, first word and words of each closed syncmer."""
     chain = lambda numbers: [seed := 42, *[seed := xxhash.xxh64_intdigest((n % 2**64).to_bytes(8, "little"), seed) for n in numbers]][-1]
     words = re.sub(r"([\u0E00-\u0E7F\u2E80-\u9FFF\uF900-\uFAFF\U00020000-\U0003FFFF])", r" \1 ", text)
     h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in re.split(r"[ \t\n\x0b\f\r]+", words) if w]
     signed = lambda n: n - 2**64 if n >> 63 else n
     if len(h) < 5:
-        found = [chain(h)] if h else []
-    else:
-        g = [signed(chain(h[i : i + 2])) for i in range(len(h) - 1)]
-        found = [chain(h[i : i + 5]) for i in range(len(h) - 4) if min(g[i], g[i + 3]) <= min(g[i + 1], g[i + 2])]
-    return sorted({(signed(n) >> 32) for n in found})[:64]
+        return [(chain(h) >> 32, 0, len(h))] if h else []
+    g = [signed(chain(h[i : i + 2])) for i in range(len(h) - 1)]
+    return [(chain(h[i : i + 5]) >> 32, i, 5) for i in range(len(h) - 4) if min(g[i], g[i + 3]) <= min(g[i + 1], g[i + 2])]
+
+
+def plain_fingerprint(anchors):
+    places = [0, *[place for _, place, _ in anchors]]
+    assert all(0 <= b - a <= 3 for a, b in zip(places, places[1:]))
+    return "".join(f"{b - a:x}{h:08x}" for a, b, (h, _, _) in zip(places, places[1:], anchors))
+
+
+def plain_comparison(own, other):
+    """Likeness, and the shared passages as place, other place and words."""
+    if not own and not other:
+        return 1.0, []
+    there = defaultdict(list)
+    for h, place, _ in reversed(other):
+        there[h].append(place)
+    met = [(place, there[h].pop(), n) for h, place, n in own if there[h]]
+    passages = []
+    for place, at, n in met:
+        if passages and place - at == passages[-1][0] - passages[-1][1] and place <= passages[-1][3] + 5:
+            passages[-1] = (*passages[-1][:2], place + n - passages[-1][0], place)
+        else:
+            passages.append((place, at, n, place))
+    return len(met) / (len(own) + len(other) - len(met)), [p[:3] for p in passages]
 
 
 def test_fingerprints_and_edits(spark, texts):
     import hashlib
 
-    ids, near = sorted(texts), lambda a, b: len(set(sorted(set(a) | set(b))[:64]) & set(a) & set(b)) / max(len(sorted(set(a) | set(b))[:64]), 1) if a or b else 1.0
+    ids = sorted(texts)
     rows = {r["doc_id"]: r for r in rows_of(spark, "op6_fingerprints")}
-    assert sorted(rows) == ids
-    show = lambda s: "".join(f"{n % 2**32:08x}" for n in s)
+    study = fingerprints.edit_study(spark.read.parquet(f"{FOLDER}/documents.parquet"))
+    shared = {r.doc_id: ([tuple(p) for p in r.shared_edited], [tuple(p) for p in r.shared_next]) for r in study.collect()}
+    assert sorted(rows) == sorted(shared) == ids
     for place, i in enumerate(ids):
         text, following = texts[i], texts[ids[(place + 1) % len(ids)]]
         half = len(text) // 2
         edited = text[: len(text) - half] + following[:half]
-        own, other, after = plain_sketch(text), plain_sketch(edited), plain_sketch(following)
-        assert rows[i] == {
-            "doc_id": i, "n_chars": len(text), "edited_sha256": hashlib.sha256(edited.encode()).hexdigest(), "fingerprint": show(own),
-            "edited_fingerprint": show(other), "near_edited": near(own, other), "near_next": near(own, after),
+        own, other, after = plain_anchors(text), plain_anchors(edited), plain_anchors(following)
+        (near_edited, in_edited), (near_next, in_next) = plain_comparison(own, other), plain_comparison(own, after)
+        assert shared[i] == (in_edited, in_next)
+        want = {
+            "doc_id": i, "n_chars": len(text), "edited_sha256": hashlib.sha256(edited.encode()).hexdigest(), "fingerprint": plain_fingerprint(own),
+            "edited_fingerprint": plain_fingerprint(other), "near_edited": near_edited, "near_next": near_next,
         }
+        for name, passages in (("edited", in_edited), ("next", in_next)):
+            at, there, n = min(passages, key=lambda p: (-p[2], p[0], -p[1]), default=(None, None, None))
+            want |= {f"passage_{name}": n, f"passage_{name}_at": at, f"passage_{name}_there": there}
+        assert rows[i] == want
+
+
+def test_a_passage_of_long_texts_is_found_with_its_places(spark):
+    draw, word = np.random.default_rng(11), lambda n: [f"w{x}" for x in draw.integers(0, 5000, n)]
+    rows, planted = [], {}
+    for pair in range(60):
+        passage = word(60)
+        for side in range(2):
+            at = int(draw.integers(0, 2900))
+            rows.append((f"{pair:03d}{side}", " ".join([*word(at), *passage, *word(3000 - at)])))
+            planted[pair, side] = at
+    # Keys are text here: each first text is followed by its partner.
+    study = fingerprints.edit_study(spark.createDataFrame(rows, "name string, body string"), "name", "body")
+    found = {r.name: [(p.pos, p.other, p.words) for p in r.shared_next] for r in study.collect()}
+    assert len(found) == 120
+    for pair in range(60):
+        a, b = planted[pair, 0], planted[pair, 1]
+        at, there, n = max(found[f"{pair:03d}0"], key=lambda p: p[2])
+        assert a - 8 <= at <= a + 3 and at - there == a - b and 54 <= n <= 68
 
 
 # --- shards, records, licences ---

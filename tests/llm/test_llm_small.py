@@ -168,6 +168,10 @@ def test_fingerprints(spark, docs, none):
     assert fingerprints.edit_study(none).count() == 0
     (one,) = collected(fingerprints.edit_study(docs.where("doc_id = 6")))
     assert one["near_next"] == 1.0 and one["near_edited"] > 0.3
+    assert [tuple(p) for p in one["shared_next"]] == [(0, 0, 60_000)] and one["shared_edited"][0]["words"] > 29_000
+    text_keys = collected(fingerprints.edit_study(docs.withColumn("doc_id", F.col("doc_id").cast("string"))))
+    plain = lambda rows: sorted(repr({**r, "doc_id": str(r["doc_id"])}) for r in rows)
+    assert plain(text_keys) == plain(study)
 
 
 def test_shards(spark, docs, none):

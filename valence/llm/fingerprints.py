@@ -3,20 +3,23 @@
 A text is a sequence of words (an ideograph is a word of its own). Of every run of
 ``K`` words the inner runs of ``S`` words are hashed; the run is an anchor if the
 smallest of these hashes lies at its first or last place. The choice looks at
-nothing outside the run, so a passage keeps its anchors wherever it stands, and
-anchors found in two texts tell by their positions how the passage moved. The
-fingerprint is the sketch of the ``SKETCH`` smallest anchor hashes.
+nothing outside the run, so a passage keeps its anchors wherever it stands. The fingerprint
+is all anchors with their places. Two fingerprints are compared by all of them: how
+many they have in common, and where neighbouring anchors moved by the same number of
+words, which makes them one shared passage.
 
-All steps are Spark SQL expressions.
+All steps are Spark SQL expressions; a text is compared within its row.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import NumericType
+
+from ..sinks.writers import stage
 
 K, S = 5, 2
-SKETCH = 64
 #: Letters of scripts without spaces between words; each is a word of its own.
 ALONE = r"[\u0E00-\u0E7F\u2E80-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}]"
 
@@ -29,7 +32,9 @@ def words(text: str) -> str:
 
 
 def with_anchors(rows: DataFrame, text: str, into: str = "anchors") -> DataFrame:
-    """Add ``into``: array of ``hash, pos`` of a text's closed syncmers, in order; ``pos`` counts words.
+    """Add ``into``: array of ``hash, pos, words`` of a text's closed syncmers, in order; ``pos`` counts words.
+
+    ``hash`` has 32 bits, ``words`` is the number of words of the run.
 
     A text of fewer than ``K`` words has one anchor, its whole word sequence; a
     null text or one without words has none.
@@ -46,43 +51,91 @@ def with_anchors(rows: DataFrame, text: str, into: str = "anchors") -> DataFrame
     closed = f"least(get(__g, i), get(__g, i + {last})) <= least({inner})"
     anchors = f"""CASE WHEN __g IS NOT NULL THEN
           transform(filter(sequence(0, size(__h) - {K}), i -> {closed}),
-                    i -> named_struct('hash', xxhash64({run}), 'pos', i))
-        WHEN size(__h) > 0 THEN array(named_struct('hash', xxhash64(__h), 'pos', 0))
-        ELSE CAST(array() AS ARRAY<STRUCT<hash: BIGINT, pos: INT>>) END"""
+                    i -> named_struct('hash', CAST(shiftright(xxhash64({run}), 32) AS INT), 'pos', i, 'words', {K}))
+        WHEN size(__h) > 0 THEN array(named_struct('hash', CAST(shiftright(xxhash64(__h), 32) AS INT), 'pos', 0, 'words', size(__h)))
+        ELSE CAST(array() AS ARRAY<STRUCT<hash: INT, pos: INT, words: INT>>) END"""
     return inners.select(*own, F.expr(anchors).alias(into))
 
 
-def sketch(anchors: str) -> Column:
-    """The smallest distinct anchor hashes, 32 bits of each."""
-    short = f"array_distinct(transform(`{anchors}`, a -> CAST(shiftright(a.hash, 32) AS INT)))"
-    return F.expr(f"slice(array_sort({short}), 1, {SKETCH})")
+def digest(anchors: str) -> Column:
+    """Anchors as text, in order: a hex digit for the words since the anchor before (three at most), eight for the hash.
+
+    Empty for a text without words.
+    """
+    gap = f"lower(hex(a.pos - IF(i = 0, 0, get(`{anchors}`, i - 1).pos)))"
+    return F.expr(f"array_join(transform(`{anchors}`, (a, i) -> concat({gap}, right(concat('0000000', lower(hex(a.hash))), 8))), '')")
+
+
+def with_ranked(rows: DataFrame, anchors: str, into: str) -> DataFrame:
+    """Add ``into``: the anchors by hash, numbered (``nth``) where one stands several times."""
+    own = [F.col(f"`{c}`") for c in rows.columns]
+    by_hash = rows.select(*own, F.sort_array(anchors).alias("__s"))
+    # Where a hash begins. What a lambda looks up is a column of the select before, or it would be made anew for each element.
+    fresh = "filter(sequence(0, size(__s) - 1), i -> i = 0 OR get(__s, i).hash <> get(__s, i - 1).hash)"
+    begun = by_hash.select(*own, "__s", F.expr(f"IF(size(__s) > 0, {fresh}, CAST(array() AS ARRAY<INT>))").alias("__b"))
+    one = "named_struct('hash', get(__s, i).hash, 'nth', i - b, 'pos', get(__s, i).pos, 'words', get(__s, i).words)"
+    ranked = f"flatten(transform(__b, (b, j) -> transform(sequence(b, coalesce(get(__b, j + 1), size(__s)) - 1), i -> {one})))"
+    return begun.select(*own, F.expr(ranked).alias(into))
+
 
+def with_matches(rows: DataFrame, a: str, b: str, into: str) -> DataFrame:
+    """Add ``into``: array of ``pos, other, words`` of the anchors that two texts have in common, in the order of the first.
 
-def digest(sketched: str) -> Column:
-    """A sketch as text, eight hex digits a hash; empty for a text without words."""
-    return F.expr(f"array_join(transform(`{sketched}`, h -> right(concat('0000000', lower(hex(h))), 8)), '')")
+    ``a`` and ``b`` are made by ``with_ranked``; the n-th place of a hash is matched with its n-th in the other text.
+    """
+    own = [F.col(f"`{c}`") for c in rows.columns]
+    side = lambda name, number: f"transform(`{name}`, x -> named_struct('hash', x.hash, 'nth', x.nth, 'side', {number}, 'pos', x.pos, 'words', x.words))"
+    # Both are sorted, so the sort is one merge.
+    merged = rows.select(*own, F.expr(f"sort_array(concat({side(a, 0)}, {side(b, 1)}))").alias("__m"))
+    same = "get(__m, i).hash = get(__m, i - 1).hash AND get(__m, i).nth = get(__m, i - 1).nth"
+    pairs = f"filter(sequence(1, size(__m) - 1), i -> {same})"
+    pairs = f"IF(size(__m) > 1, {pairs}, CAST(array() AS ARRAY<INT>))"
+    met = f"transform({pairs}, i -> named_struct('pos', get(__m, i - 1).pos, 'other', get(__m, i).pos, 'words', get(__m, i).words))"
+    return merged.select(*own, F.expr(f"sort_array({met})").alias(into))
 
 
-def likeness(a: str, b: str) -> Column:
-    """Estimated share of anchors that two texts have in common, 0 to 1; two sketches without a hash are alike."""
-    least = f"slice(array_sort(array_union(`{a}`, `{b}`)), 1, {SKETCH})"
-    common = f"size(array_intersect(array_intersect(`{a}`, `{b}`), {least}))"
-    return F.expr(f"CASE WHEN size(`{a}`) + size(`{b}`) = 0 THEN 1.0D ELSE {common} / CAST(size({least}) AS DOUBLE) END")
+def likeness(a: str, b: str, matches: str) -> Column:
+    """Share of anchors that two texts have in common, each as often as it stands, 0 to 1; two texts without one are alike."""
+    common = f"size(`{matches}`)"
+    return F.expr(f"CASE WHEN size(`{a}`) + size(`{b}`) = 0 THEN 1.0D ELSE {common} / CAST(size(`{a}`) + size(`{b}`) - {common} AS DOUBLE) END")
+
+
+def with_passages(rows: DataFrame, matches: str, into: str) -> DataFrame:
+    """Add ``into``: array of ``pos, other, words``: shared passages, with their first words in both texts.
+
+    A passage is a row of matched anchors that leave no word between them and moved by the same number of words.
+    """
+    own = [F.col(f"`{c}`") for c in rows.columns]
+    now, last = f"get(`{matches}`, i)", f"get(`{matches}`, i - 1)"
+    apart = f"{now}.pos - {last}.pos > {K} OR {now}.pos - {now}.other <> {last}.pos - {last}.other"
+    starts = f"filter(sequence(0, size(`{matches}`) - 1), i -> i = 0 OR {apart})"
+    begun = rows.select(*own, F.expr(f"IF(size(`{matches}`) > 0, {starts}, CAST(array() AS ARRAY<INT>))").alias("__b"))
+    end = f"get(`{matches}`, coalesce(get(__b, j + 1), size(`{matches}`)) - 1)"
+    first = f"get(`{matches}`, b)"
+    one = f"named_struct('pos', {first}.pos, 'other', {first}.other, 'words', {end}.pos + {end}.words - {first}.pos)"
+    return begun.select(*own, F.expr(f"transform(__b, (b, j) -> {one})").alias(into))
 
 
 def fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, anchors, sketch, fingerprint`` of each whole text; equal texts have equal ones.
+    """``key, anchors, fingerprint`` of each whole text; equal texts have equal ones.
 
     Null and empty texts have no anchors and an empty fingerprint. Repeated rows
-    and null keys keep their rows; other columns are not read.
+    and null keys keep their rows; other columns are not read. Very long texts are
+    read whole; a row holds some 30 bytes for each word.
     """
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows = with_anchors(rows, "text").select("key", "anchors", sketch("anchors").alias("sketch"))
-    return rows.select(F.col("key").alias(key), "anchors", "sketch", digest("sketch").alias("fingerprint"))
+    rows = with_anchors(rows, "text").select("key", "anchors", digest("anchors").alias("fingerprint"))
+    return rows.withColumnRenamed("key", key)
 
 
 def _in_ranges(rows: DataFrame, ranges: int) -> DataFrame:
-    """Add ``range``: rows of neighbouring keys, about evenly many; null keys come first, in -1."""
+    """Add ``range``: rows of neighbouring keys, about evenly many; null keys come first.
+
+    Ranges of numbers are cut where their quantiles lie. Those of other keys are Spark's
+    range partitions, fixed in a written table, so that a lost task does not draw them anew.
+    """
+    if not isinstance(rows.schema["key"].dataType, NumericType):
+        return stage(rows.repartitionByRange(ranges, "key", "tie").withColumn("range", F.spark_partition_id()), "key-ranges")
     bounds = sorted(set(rows.approxQuantile("key", [i / ranges for i in range(1, ranges)], 0.2 / ranges)))
     if not bounds:
         return rows.withColumn("range", F.when(F.col("key").isNull(), -1).otherwise(0))
@@ -92,7 +145,7 @@ def _in_ranges(rows: DataFrame, ranges: int) -> DataFrame:
 
 
 def with_next(rows: DataFrame, ranges: int | None = None) -> DataFrame:
-    """Add ``sketch``, and ``next_text`` and ``next_sketch`` of the row with the next ``key``; after the last comes the first.
+    """Add ``next_text`` of the row with the next ``key``; after the last comes the first.
 
     Rows are dealt out by ranges of keys. Each range also gets a copy of the first
     row of the range after it, so no range has to look into another. Rows with
@@ -110,12 +163,8 @@ def with_next(rows: DataFrame, ranges: int | None = None) -> DataFrame:
     heads = heads.groupBy("before").agg(F.min(F.struct("key", "tie", "text")).alias("row"))
     guests = heads.select("row.key", "row.text", "row.tie", F.col("before").alias("range"), F.lit(1).alias("guest"))
     both = placed.select("key", "text", "tie", "range", F.lit(0).alias("guest")).union(guests)
-    # Each text is sketched once, here, where rows and guests have come together but have not moved yet.
-    both = with_anchors(both, "text").select("key", "text", "tie", "range", "guest", sketch("anchors").alias("sketch"))
     order = Window.partitionBy("range").orderBy("guest", "key", "tie")
-    followed = both.select(
-        "*", F.lead("text").over(order).alias("next_text"), F.lead("sketch").over(order).alias("next_sketch")
-    )
+    followed = both.select("*", F.lead("text").over(order).alias("next_text"))
     return followed.where("guest = 0").drop("guest", "range", "tie")
 
 
@@ -129,23 +178,27 @@ def edit_study(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
     """How fingerprints follow an edit, for every document.
 
     ``key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
-    near_next``. The edited text keeps the first part of the document; its last
-    half (rounded down) is replaced by the start of the next document, or all of
-    it if shorter. A null text counts as empty, a lone document is followed by
-    itself, null keys come first. Repeated rows follow each other. An empty table
-    gives no rows.
+    near_next, shared_edited, shared_next``; the last two are the passages that the
+    text shares with the edited and with the next one. The edited text keeps the first
+    part of the document; its last half (rounded down) is replaced by the start of the
+    next document, or all of it if shorter. A null text counts as empty, a lone document
+    is followed by itself, null keys come first; keys may be of any type that can be
+    sorted. Repeated rows follow each other. Very long texts are compared whole. Columns
+    other than ``key`` and ``text`` are not read. An empty table gives no rows.
     """
     rows = documents.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = with_next(rows).withColumn("n_chars", F.char_length("text").cast("long"))
-    rows = rows.select("key", "n_chars", "sketch", "next_sketch", edited("text", "next_text", "n_chars").alias("edited"))
-    rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
-    rows = with_anchors(rows, "edited").withColumn("edited_sketch", sketch("anchors"))
-    return rows.select(
-        F.col("key").alias(key),
-        "n_chars",
-        "edited_sha256",
-        digest("sketch").alias("fingerprint"),
-        digest("edited_sketch").alias("edited_fingerprint"),
-        likeness("sketch", "edited_sketch").alias("near_edited"),
-        likeness("sketch", "next_sketch").alias("near_next"),
-    )
+    rows = rows.withColumn("edited", edited("text", "next_text", "n_chars"))
+    kept = ["key", "n_chars", F.sha2("edited", 256).alias("edited_sha256")]
+    rows = with_anchors(rows.select(*kept, "text", "next_text", "edited"), "text", "own").drop("text")
+    rows = with_anchors(rows, "edited", "changed").drop("edited")
+    rows = with_anchors(rows, "next_text", "after").drop("next_text")
+    rows = rows.withColumns({"fingerprint": digest("own"), "edited_fingerprint": digest("changed")})
+    for name in ("own", "changed", "after"):
+        rows = with_ranked(rows, name, f"{name}_ranked").drop(name)
+    for name, into in (("changed", "edited"), ("after", "next")):
+        rows = with_matches(rows, "own_ranked", f"{name}_ranked", "matches")
+        rows = rows.withColumn(f"near_{into}", likeness("own_ranked", f"{name}_ranked", "matches")).drop(f"{name}_ranked")
+        rows = with_passages(rows, "matches", f"shared_{into}").drop("matches")
+    columns = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "shared_edited", "shared_next"]
+    return rows.select(F.col("key").alias(key), *columns)

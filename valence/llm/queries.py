@@ -180,7 +180,15 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    return fingerprints.edit_study(documents(spark, folder))
+    """The longest shared passages as words, with their places in the document and in the other text; null where there is none."""
+    study = fingerprints.edit_study(documents(spark, folder))
+    columns = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    for other in ("edited", "next"):
+        longest = f"array_max(transform(shared_{other}, p -> named_struct('words', p.words, 'back', -p.pos, 'other', p.other)))"
+        study = study.withColumn(f"longest_{other}", F.expr(longest))
+        columns += [F.col(f"longest_{other}.words").alias(f"passage_{other}"), (-F.col(f"longest_{other}.back")).alias(f"passage_{other}_at"),
+                    F.col(f"longest_{other}.other").alias(f"passage_{other}_there")]
+    return study.select(*columns)
 
 
 @query
