@@ -42,12 +42,11 @@ def with_anchors(rows: DataFrame, text: str, into: str = "anchors") -> DataFrame
     own = [F.col(f"`{c}`") for c in rows.columns]
     last = K - S
     inner = ", ".join(f"get(__g, i + {j})" for j in range(1, last))
-    pair = ", ".join(f"get(__h, i + {j})" for j in range(S))
+    pair = ", ".join(["h", *(f"get(__h, i + {j})" for j in range(1, S))])
     run = ", ".join(f"get(__h, i + {j})" for j in range(K))
     hashed = rows.select(*own, F.expr(f"transform({words(text)}, w -> xxhash64(w))").alias("__h"))
-    inners = hashed.select(
-        *own, "__h", F.expr(f"CASE WHEN size(__h) >= {K} THEN transform(sequence(0, size(__h) - {S}), i -> xxhash64({pair})) END").alias("__g")
-    )
+    # The last hashes lack words of their run; no anchor looks at them.
+    inners = hashed.select(*own, "__h", F.expr(f"CASE WHEN size(__h) >= {K} THEN transform(__h, (h, i) -> xxhash64({pair})) END").alias("__g"))
     closed = f"least(get(__g, i), get(__g, i + {last})) <= least({inner})"
     anchors = f"""CASE WHEN __g IS NOT NULL THEN
           transform(filter(sequence(0, size(__h) - {K}), i -> {closed}),
@@ -62,31 +61,32 @@ def digest(anchors: str) -> Column:
 
     Empty for a text without words.
     """
-    gap = f"lower(hex(a.pos - IF(i = 0, 0, get(`{anchors}`, i - 1).pos)))"
-    return F.expr(f"array_join(transform(`{anchors}`, (a, i) -> concat({gap}, right(concat('0000000', lower(hex(a.hash))), 8))), '')")
+    gap = f"hex(a.pos - IF(i = 0, 0, get(`{anchors}`, i - 1).pos))"
+    return F.expr(f"lower(array_join(transform(`{anchors}`, (a, i) -> concat({gap}, right(concat('0000000', hex(a.hash)), 8))), ''))")
 
 
-def with_ranked(rows: DataFrame, anchors: str, into: str) -> DataFrame:
-    """Add ``into``: the anchors by hash, numbered (``nth``) where one stands several times."""
+def with_ranked(rows: DataFrame, anchors: str, into: str, side: int) -> DataFrame:
+    """Add ``into``: the anchors by hash, numbered (``nth``) where one stands several times; ``side`` tells two texts apart."""
     own = [F.col(f"`{c}`") for c in rows.columns]
     by_hash = rows.select(*own, F.sort_array(anchors).alias("__s"))
     # Where a hash begins. What a lambda looks up is a column of the select before, or it would be made anew for each element.
     fresh = "filter(sequence(0, size(__s) - 1), i -> i = 0 OR get(__s, i).hash <> get(__s, i - 1).hash)"
     begun = by_hash.select(*own, "__s", F.expr(f"IF(size(__s) > 0, {fresh}, CAST(array() AS ARRAY<INT>))").alias("__b"))
-    one = "named_struct('hash', get(__s, i).hash, 'nth', i - b, 'pos', get(__s, i).pos, 'words', get(__s, i).words)"
-    ranked = f"flatten(transform(__b, (b, j) -> transform(sequence(b, coalesce(get(__b, j + 1), size(__s)) - 1), i -> {one})))"
+    one = f"named_struct('hash', x.hash, 'nth', {{}}, 'side', {side}, 'pos', x.pos, 'words', x.words)"
+    run = f"transform(slice(__s, b + 1, coalesce(get(__b, j + 1), size(__s)) - b), (x, i) -> {one.format('i')})"
+    # In most texts no anchor stands twice.
+    ranked = f"IF(size(__b) = size(__s), transform(__s, x -> {one.format('0')}), flatten(transform(__b, (b, j) -> {run})))"
     return begun.select(*own, F.expr(ranked).alias(into))
 
 
 def with_matches(rows: DataFrame, a: str, b: str, into: str) -> DataFrame:
     """Add ``into``: array of ``pos, other, words`` of the anchors that two texts have in common, in the order of the first.
 
-    ``a`` and ``b`` are made by ``with_ranked``; the n-th place of a hash is matched with its n-th in the other text.
+    ``a`` and ``b`` are made by ``with_ranked`` with the sides 0 and 1; the n-th place of a hash is matched with its n-th in the other text.
     """
     own = [F.col(f"`{c}`") for c in rows.columns]
-    side = lambda name, number: f"transform(`{name}`, x -> named_struct('hash', x.hash, 'nth', x.nth, 'side', {number}, 'pos', x.pos, 'words', x.words))"
     # Both are sorted, so the sort is one merge.
-    merged = rows.select(*own, F.expr(f"sort_array(concat({side(a, 0)}, {side(b, 1)}))").alias("__m"))
+    merged = rows.select(*own, F.expr(f"sort_array(concat(`{a}`, `{b}`))").alias("__m"))
     same = "get(__m, i).hash = get(__m, i - 1).hash AND get(__m, i).nth = get(__m, i - 1).nth"
     pairs = f"filter(sequence(1, size(__m) - 1), i -> {same})"
     pairs = f"IF(size(__m) > 1, {pairs}, CAST(array() AS ARRAY<INT>))"
@@ -194,8 +194,8 @@ def edit_study(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = with_anchors(rows, "edited", "changed").drop("edited")
     rows = with_anchors(rows, "next_text", "after").drop("next_text")
     rows = rows.withColumns({"fingerprint": digest("own"), "edited_fingerprint": digest("changed")})
-    for name in ("own", "changed", "after"):
-        rows = with_ranked(rows, name, f"{name}_ranked").drop(name)
+    for name, side in (("own", 0), ("changed", 1), ("after", 1)):
+        rows = with_ranked(rows, name, f"{name}_ranked", side).drop(name)
     for name, into in (("changed", "edited"), ("after", "next")):
         rows = with_matches(rows, "own_ranked", f"{name}_ranked", "matches")
         rows = rows.withColumn(f"near_{into}", likeness("own_ranked", f"{name}_ranked", "matches")).drop(f"{name}_ranked")
