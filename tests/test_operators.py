@@ -346,3 +346,16 @@ def test_shuffled_rows_keep_null_and_repeated_keys(spark):
     rows = spark.createDataFrame([(None, 1), (None, 2), (3, 3), (3, 3), (1, 4)], "id int, x int").repartition(3)
     assert sorted(r.place for r in sampling.shuffle_order(rows, "id").collect()) == [0, 1, 2, 3, 4]
     assert sampling.shuffle_order(rows.limit(0), "id").count() == 0
+
+
+def test_envelopes_shuffle_no_column_for_each_keyword(spark):
+    """Rows on their way to their block stay narrow, whatever the number of keywords."""
+    rows = [("a", "good", "s", "u", "2024-01-01T00:00:00Z"), ("b", "bad", "s", "u", None)]
+    scored = analyze(spark.createDataFrame(rows, MESSAGE).withColumn("event_ts", F.expr(event_time("timestamp"))), keep=("event_ts",))
+    after = metrics.metrics_at_events(scored, number="id", keep=("id",))
+    widths, todo = [], [after._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        widths.append(node.output().size())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    assert max(widths) < 30

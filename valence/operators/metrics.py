@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import json
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.arithmetic import literal, literals, mean_milli, percent, to_milli
 from ..functions.lexicon import KEYWORDS
@@ -93,8 +99,9 @@ def metrics_at_events(scored: DataFrame, ts: str = "event_ts", number: str = "ev
 
     Events are ordered by time, those without a time first, then by ``number``. Each event
     stands in that order twice: at its time, and where it leaves the trailing window. The
-    rate at an event is then a difference of two running counts. A window holds a block of
-    the order, and adds to what the block begins with: the sums, and 148 keyword counts.
+    rate at an event is then a difference of two running counts. A task holds a block of
+    the order at a time, and adds to what the block begins with: the sums, and 148 keyword
+    counts, which stand in no row that is shuffled or sorted.
     """
     columns = {"at": f"CAST({ts} AS TIMESTAMP)", "number": number, "sentiment": "sentiment", "milli": to_milli("polarity"), "keywords": "keywords"}
     # Written once: texts are scored once, and what is kept of an event meets its metrics by the row's place.
@@ -117,35 +124,74 @@ def metrics_at_events(scored: DataFrame, ts: str = "event_ts", number: str = "ev
     grid = sums.selectExpr("block", f"posexplode(array({literals(KEYWORDS)})) AS (i, keyword)").join(hits, ["block", "keyword"], "left")
     grid = grid.withColumn("cnt", F.coalesce("cnt", F.lit(0)))
     known = before_blocks(grid, ["cnt"], "keyword", least=("first",)).withColumnsRenamed({"cnt": "before", "first": "earlier"})
-    known = grid.join(known, ["block", "keyword"]).selectExpr("block", "struct(i, before, least(first, earlier) AS first, keyword) AS entry")
+    known = grid.join(known, ["block", "keyword"]).selectExpr("block", "struct(i, before, least(first, earlier) AS first) AS entry")
     known = known.groupBy("block").agg(F.sort_array(F.collect_list("entry")).alias("known"))
+    known = known.selectExpr("block", "known.before AS before", "known.first AS first")
 
     # Within a block: running sums, one for each keyword too, and of these the k largest at each event.
-    upto = Window.partitionBy("block").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    steps = {"total": "kind = 0", "timed": "kind = 0 AND at IS NOT NULL", "left": "kind = 1"} | {n.lower(): f"sentiment = {literal(n)}" for n in CLASSES}
-    sums_here = [F.sum(F.expr(f"CASE WHEN {test} THEN 1L ELSE 0L END")).over(upto).alias(n) for n, test in steps.items()]
-    sums_here.append(F.sum(F.coalesce("milli", F.lit(0))).over(upto).alias("polarity_milli"))
-    words = [F.sum(F.expr(f"CASE WHEN array_contains(keywords, {literal(w)}) THEN 1L ELSE 0L END")).over(upto).alias(f"k{i}") for i, w in enumerate(KEYWORDS)]
-    ran = placed.select("block", "row", "kind", *sums_here, *words).where("kind = 0")
-    ran = ran.select("block", "row", *names, F.array(*[f"k{i}" for i in range(len(KEYWORDS))]).alias("here"))
-    ran = ran.join(begins, "block").join(known, "block")
-    entries = "zip_with(known, here, (e, n) -> struct(-(e.before + n) AS order, e.first AS first, e.keyword AS keyword))"
-    top = f"slice(sort_array(filter({entries}, e -> e.order < 0)), 1, {k})"
-    ran = ran.selectExpr("row", *[f"{n} + {n}_before AS {n}" for n in names], f"{top} AS top")
-    ran = ran.selectExpr("row", *[n for n in names if n not in ("timed", "left")], rate_columns("(timed - left)")[0], f"{_PAIRS} AS pairs")
-    numbers = finish_counts(ran, "row", "throughput_eps", "pairs")
-    fields = [c for c in numbers.columns if c not in ("row", "throughput_eps", "pairs")]
+    slim = placed.select("block", "pos", "row", "kind", F.col("at").isNotNull().alias("timed"), "sentiment", "milli", "keywords")
+    out = ", ".join([f"{name} bigint" for name in ("row", *names)]) + ", top array<bigint>"
+    starts = begins.join(known, "block").withColumnRenamed("block", "of")
+    ran = slim.groupBy("block").cogroup(starts.groupBy("of")).applyInArrow(_run_block(names, k), out)
+    # Texts are put together after the join: until then an event is its row, some numbers and ``k`` places in the list of keywords.
+    ran = rows.select("row", *[F.col(name).alias(f"kept_{i}") for i, name in enumerate(quoted(keep))]).join(ran, "row")
+    kept = [f"kept_{i}" for i in range(len(keep))]
+    ran = ran.selectExpr(*kept, *[n for n in names if n not in ("timed", "left")], rate_columns("(timed - left)")[0], f"{_PAIRS} AS pairs")
+    numbers = finish_counts(ran, *kept, "throughput_eps", "pairs")
+    fields = [c for c in numbers.columns if c not in (*kept, "throughput_eps", "pairs")]
     body = f"to_json(struct({', '.join([*fields, 'throughput_eps'])}))"
-    metrics = numbers.selectExpr("row", f"concat(rtrim('}}', {body}), ',\"top_keywords\":[', pairs, ']}}') AS metrics")
-    return rows.select("row", *quoted(keep)).join(metrics, "row").drop("row")
+    return numbers.selectExpr(
+        *[f"{c} AS {name}" for c, name in zip(kept, quoted(keep))], f"concat(rtrim('}}', {body}), ',\"top_keywords\":[', pairs, ']}}') AS metrics"
+    )
+
+
+# A keyword's place in ``KEYWORDS`` or in an order of them, and a count, in one number.
+_PLACE_BITS = len(KEYWORDS).bit_length()
+
+
+def _run_block(names: list[str], k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Running values of the events of one block: sums of ``names``, and the ``k`` most frequent keywords as counts with places."""
+    # Held by the function, which workers get by value: they need Arrow and numpy only, not this package.
+    words, classes, bits = list(KEYWORDS), list(CLASSES), _PLACE_BITS
+    alphabet = np.argsort(sorted(range(len(words)), key=lambda i: words[i].encode()))
+
+    def run(rows: pa.Table, start: pa.Table) -> pa.Table:
+        rows = rows.sort_by("pos")
+        begin = start.to_pylist()[0]
+        kind = rows["kind"].to_numpy()
+        enters = kind == 0
+        steps = {"total": enters, "timed": enters & rows["timed"].to_numpy(), "left": ~enters, "polarity_milli": pc.fill_null(rows["milli"], 0).to_numpy()}
+        steps |= {name.lower(): pc.fill_null(pc.equal(rows["sentiment"], name), False).to_numpy() for name in classes}
+        out = {"row": rows["row"].to_numpy()[enters]}
+        out |= {name: begin[f"{name}_before"] + np.cumsum(steps[name], dtype=np.int64)[enters] for name in names}
+
+        lists = pa.concat_arrays(rows["keywords"].chunks)
+        found = pc.index_in(pc.list_flatten(lists), value_set=pa.array(words))
+        at, word = pc.list_parent_indices(lists).to_numpy(), found.fill_null(-1).to_numpy()
+        counts = np.bincount((at * len(words) + word)[word >= 0], minlength=len(kind) * len(words)).reshape(len(kind), len(words))
+        counts = np.array(begin["before"], dtype=np.int64) + np.cumsum(counts, axis=0, dtype=np.int64)[enters]
+        # Of equal counts the keyword seen first wins, and of those of one event the smaller one: an order that the block keeps.
+        first = np.array([np.iinfo(np.int64).max if f is None else f for f in begin["first"]], dtype=np.int64)
+        order = np.lexsort((alphabet, first))
+        place = np.argsort(order)
+        best = np.sort(np.partition(place - (counts << bits), min(k, len(words)) - 1, axis=1)[:, :k], axis=1)
+        seen = best < 0
+        # Places in the order become places in the list.
+        mask = (1 << bits) - 1
+        top = (-(best >> bits) << bits | order[best & mask])[seen]
+        ends = np.concatenate([[0], np.cumsum(seen.sum(axis=1))]).astype(np.int32)
+        return pa.table(out | {"top": pa.ListArray.from_arrays(ends, pa.array(top, pa.int64()))})
+
+    return run
 
 
 def quoted(names: tuple[str, ...]) -> list[str]:
     return [f"`{name}`" for name in names]
 
 
-# A pair holds a text and a number, which no array type does: the list of keywords is put together as text.
-_PAIRS = "array_join(transform(coalesce(top, array()), e -> concat(rtrim(']', to_json(array(e.keyword))), ',', -e.order, ']')), ',')"
+# A pair holds a text and a number, which no array type does: the list of keywords is put together as text, from its literal beginnings.
+_BEGINNINGS = f"array({literals(f'[{json.dumps(word, ensure_ascii=False)},' for word in KEYWORDS)})"
+_PAIRS = f"array_join(transform(top, e -> concat(get({_BEGINNINGS}, CAST(e & {(1 << _PLACE_BITS) - 1} AS INT)), shiftright(e, {_PLACE_BITS}), ']')), ',')"
 
 
 def _payload(fields: list[str]) -> str:
