@@ -2,8 +2,12 @@
 
 import datetime as dt
 
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
 
 from valence.operators import messages
+from valence.plans import QUERIES, streams
 from valence.schemas import MESSAGE
 from valence.sources.messages import file_stream
 from valence.streaming import jobs, state
@@ -77,3 +81,31 @@ def test_counts_since_the_last_reset_do_not_depend_on_the_order(spark, tmp_path)
     got = {r.source: (r.total, r.positive, r.negative, r.neutral, r.polarity_milli) for r in jobs.read_newest(spark, str(tmp_path / "rows"), "source").collect()}
     # The reset of b at 2 comes more than the delay late, so it does not count.
     assert got == {"a": (3, 3, 0, 0, 1500), "b": (4, 4, 0, 0, 2000), "c": (2, 1, 0, 1, 1000), "d": (2, 2, 0, 0, 1000)}
+
+
+@pytest.mark.parametrize("name", ["reset_state_stream"])
+def test_batches_do_not_grow_with_the_files(spark, tmp_path, monkeypatch, name):
+    """A table of many files makes no more batches than one of a single file; ids below zero and missing ones are read as well."""
+    monkeypatch.setattr(streams, "work_dir", lambda spark, label: str(tmp_path / "work"))
+    given = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    odd = given.limit(40).withColumn("event_id", F.expr("CASE WHEN event_id % 5 > 0 THEN -event_id END"))
+    given.unionByName(odd).repartition(7).write.parquet(str(tmp_path / "events.parquet"))
+    rows = QUERIES[name](spark, str(tmp_path)).collect()
+    assert len(list((tmp_path / "work/checkpoint/commits").glob("[0-9]*"))) <= 8
+    if name == "reset_state_stream":  # the same sums from stored minutes
+        monkeypatch.setattr(streams, "work_dir", lambda spark, label: str(tmp_path / "other"))
+        assert sorted(map(tuple, rows)) == sorted(map(tuple, QUERIES["reset_stream"](spark, str(tmp_path)).collect()))
+
+
+def test_tasks_hand_on_what_can_still_count():
+    """Of many batches of a task: the last reset with the times after it, null keys included."""
+    n = 120_000
+    at = pd.to_datetime(pd.Series(range(n)) * 10_000_000, unit="ns")  # 100 a second
+    rows = pd.DataFrame({"source": [None if i % 2 else "a" for i in range(n)], "event_ts": at, "n": 1})
+    parts = lambda rows: (rows.iloc[i : i + 10_000] for i in range(0, len(rows), 10_000))
+    marks = rows.assign(is_reset=[i in (10, 60_000, 119_000, 119_001) for i in range(n)], **{name: 1 for name in state._COUNTS})
+    (got,) = state._folded(parts(marks.sample(frac=1, random_state=1)), lambda part: state._after_resets(part, "source"))
+    assert len(got) == 1000 and got["is_reset"].sum() == 2 and got["event_ts"].min() == at[119_000]
+    kept = marks.assign(is_reset=False)  # without a reset every time can still count
+    (got,) = state._folded(parts(kept), lambda part: state._after_resets(part, "source"))
+    assert len(got) == n and got["total"].sum() == n

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..operators import classifier, messages, metrics as m
 from ..operators.analyze import analyze
@@ -34,6 +37,16 @@ def analyzed_stream(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.score_stream(feed_stream(spark, folder), processed_at=F.col("event_ts"), keep=("event_ts",))
 
 
+def _in_turn(spark: SparkSession, path: str, schema: StructType, *parts: str) -> Iterator[DataFrame]:
+    """A stream for each part of a written table, to be run one after the other on one checkpoint.
+
+    A part is a batch, however many files it has: with a batch for each file the batches grow with the table.
+    The last part may name all files: those that were read before are known to the checkpoint.
+    """
+    for part in parts:
+        yield file_stream(spark, f"{path}/{part}", schema, "parquet")
+
+
 def _flat(rows: DataFrame) -> DataFrame:
     return rows.select(
         "id", "text", "source", "user", "input_timestamp", "sentiment", "emoji", "label", "polarity", "confidence",
@@ -182,11 +195,11 @@ def reset_state_stream(spark: SparkSession, folder: str) -> DataFrame:
     own = jobs.own_session(spark, 2)
     given = table(spark, folder, "events")
     given.withColumn("slice", F.expr("event_id * 7 % 3")).write.partitionBy("slice").parquet(f"{out}/events")
-    events = file_stream(own, f"{out}/events/slice=*", given.schema, "parquet", maxFilesPerTrigger="1")
-    scored = analyze(feed_of(events, keep=(f"{IS_RESET} AS is_reset",)), keep=("event_ts", "is_reset"))
-    counts = state.since_reset(scored.select("source", "event_ts", "is_reset", "sentiment", "polarity"), delay="90 days")
     write = jobs.batch_folder(f"{out}/rows")
-    jobs.start_batches(counts, write, f"{out}/checkpoint", mode="update", once=True).awaitTermination()
+    for events in _in_turn(own, f"{out}/events", given.schema, "slice=[0]", "slice=[1]", "slice=*"):
+        scored = analyze(feed_of(events, keep=(f"{IS_RESET} AS is_reset",)), keep=("event_ts", "is_reset"))
+        counts = state.since_reset(scored.select("source", "event_ts", "is_reset", "sentiment", "polarity"), delay="90 days")
+        jobs.start_batches(counts, write, f"{out}/checkpoint", mode="update", once=True).awaitTermination()
     return m.finish_counts(jobs.read_newest(spark, f"{out}/rows", "source"), "source")
 
 

@@ -1,14 +1,14 @@
 """Keyed state of running streams: the newest rows, the rate of the last minute, and counts since a reset.
 
-State gets no rows of a batch as they come. Each task hands on a bounded part of its
-own (its newest rows, or its counts by time), so that a key which all rows share does
-not bring a batch into one task. A restart goes on from the checkpoint.
+State gets no rows of a batch as they come. Each task hands on a part of its own (its
+newest rows, or its counts by time since what makes older ones void), so that a key which
+all rows share does not bring a batch into one task. A restart goes on from the checkpoint.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -25,10 +25,27 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _MICROS = 1_000_000
 
 
+# A task's parts are brought together once there are so many rows, or as many as were kept the last time.
+_ROWS = 50_000
+
+
 def _micros(time: pd.Timestamp) -> int:
     return time.value // 1000
 
 
+def _folded(batches: Iterator[pd.DataFrame], fold: Callable[[pd.DataFrame], pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What ``fold`` keeps of all rows of a task, at most. The work grows with the rows, not with their square."""
+    kept, waiting, most = [], 0, _ROWS
+    for batch in batches:
+        kept.append(fold(batch))
+        waiting += len(kept[-1])
+        if waiting > most:
+            kept = [fold(pd.concat(kept, ignore_index=True))]
+            waiting, most = 0, max(_ROWS, len(kept[0]))
+    if kept:
+        yield fold(pd.concat(kept, ignore_index=True))
+
+
 # --- newest rows ----------------------------------------------------------------------------------------------------
 
 
@@ -207,21 +224,24 @@ class _SinceReset(StatefulProcessor):
         pass
 
 
+def _after_resets(rows: pd.DataFrame, key: str) -> pd.DataFrame:
+    """The last reset of each key and counts by time after it: an older row that came in time for this reset is taken back by it."""
+    last = rows["event_ts"].where(rows["is_reset"]).groupby(rows[key], dropna=False).transform("max")
+    rows = rows[(rows["event_ts"] > last) | last.isna() | rows["is_reset"] & (rows["event_ts"] == last)]
+    return rows.groupby([key, "event_ts", "is_reset"], dropna=False, as_index=False)[_COUNTS].sum()
+
+
 def since_reset(scored: DataFrame, key: str = "source", ts: str = "event_ts", delay: str = "10 minutes") -> DataFrame:
     """Counts per key since its last reset (rows with ``is_reset``), after each batch that has some of it; update mode.
 
     The result does not depend on the order of arrival, as long as nothing is later than
     ``delay``; later rows do not count. A reset counts events after its time only; one that
-    is older than the last changes nothing. Rows without a time do not count. A task hands
-    on one row for each key and time of its part of a batch, so no task gets a batch.
+    is older than the last changes nothing. Rows without a time do not count. Of its part of
+    a batch a task hands on the last reset of each key and one row for each time after it,
+    so no task gets a batch.
     """
     kind = scored.schema[key].dataType.simpleString()
-
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts: list[pd.DataFrame] = []
-        for batch in batches:
-            parts = [pd.concat([*parts, batch]).groupby([key, "event_ts", "is_reset"], dropna=False, as_index=False)[_COUNTS].sum()]
-        yield from parts
+    counted = lambda batches: _folded(batches, lambda part: _after_resets(part, key))
 
     event = "CASE WHEN NOT is_reset THEN 1L ELSE 0L END"
     one = lambda name: f"CASE WHEN NOT is_reset AND sentiment = '{name}' THEN 1L ELSE 0L END AS {name.lower()}"
