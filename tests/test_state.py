@@ -83,7 +83,7 @@ def test_counts_since_the_last_reset_do_not_depend_on_the_order(spark, tmp_path)
     assert got == {"a": (3, 3, 0, 0, 1500), "b": (4, 4, 0, 0, 2000), "c": (2, 1, 0, 1, 1000), "d": (2, 2, 0, 0, 1000)}
 
 
-@pytest.mark.parametrize("name", ["reset_state_stream"])
+@pytest.mark.parametrize("name", ["throughput_now_stream", "reset_state_stream", "history_stream", "replayed_stream"])
 def test_batches_do_not_grow_with_the_files(spark, tmp_path, monkeypatch, name):
     """A table of many files makes no more batches than one of a single file; ids below zero and missing ones are read as well."""
     monkeypatch.setattr(streams, "work_dir", lambda spark, label: str(tmp_path / "work"))
@@ -98,11 +98,13 @@ def test_batches_do_not_grow_with_the_files(spark, tmp_path, monkeypatch, name):
 
 
 def test_tasks_hand_on_what_can_still_count():
-    """Of many batches of a task: the last reset with the times after it, null keys included."""
+    """Of many batches of a task: the times of the last span, and the last reset with the times after it, null keys included."""
     n = 120_000
     at = pd.to_datetime(pd.Series(range(n)) * 10_000_000, unit="ns")  # 100 a second
     rows = pd.DataFrame({"source": [None if i % 2 else "a" for i in range(n)], "event_ts": at, "n": 1})
     parts = lambda rows: (rows.iloc[i : i + 10_000] for i in range(0, len(rows), 10_000))
+    (got,) = state._folded(parts(pd.concat([rows, rows])), lambda part: state._last_span(part, "source"))
+    assert len(got) == 6001 + 1 and set(got["n"]) == {2} and got["source"].isna().sum() == 3001
     marks = rows.assign(is_reset=[i in (10, 60_000, 119_000, 119_001) for i in range(n)], **{name: 1 for name in state._COUNTS})
     (got,) = state._folded(parts(marks.sample(frac=1, random_state=1)), lambda part: state._after_resets(part, "source"))
     assert len(got) == 1000 and got["is_reset"].sum() == 2 and got["event_ts"].min() == at[119_000]

@@ -150,13 +150,13 @@ def reset_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(ORACLES["history_latest"])
 def history_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The newest events, kept as a list in the state of a stream that is stopped and started again halfway."""
+    """The newest events, kept as a list in the state of a stream that is stopped and started again after each part."""
     out = work_dir(spark, "history-stream")
     own = jobs.own_session(spark, 1)
-    # Several files, so that there are several batches, and rows that the state has to give up.
-    table(spark, folder, "events").withColumn("slice", F.col("event_id") % 4).write.partitionBy("slice").parquet(f"{out}/events")
-    for part in ("[01]", "*"):
-        events = file_stream(own, f"{out}/events/slice={part}", table(spark, folder, "events").schema, "parquet", maxFilesPerTrigger="1")
+    # Several parts, so that there are several batches, and rows that the state has to give up.
+    given = table(spark, folder, "events")
+    given.withColumn("slice", F.col("event_id") % 4).write.partitionBy("slice").parquet(f"{out}/events")
+    for events in _in_turn(own, f"{out}/events", given.schema, "slice=[0]", "slice=[1]", "slice=[2]", "slice=*"):
         feed = feed_of(events).select("id", "text", "source", "user", "timestamp", "event_ts", "event_id")
         newest = state.history_stream(feed, HISTORY_SIZE, "event_ts", "event_id")
         write = jobs.snapshot_folder(f"{out}/rows")
@@ -177,13 +177,14 @@ def throughput_now_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Rate of the last minute of each source, as the stream's state holds it after the last batch."""
     out = work_dir(spark, "throughput-now")
     # Later days first: what comes in the second and third batch is older than what the state holds, or interleaved with it.
-    events = table(spark, folder, "events").withColumn("slice", F.expr("CASE WHEN event_id % 3 = 0 THEN 0 ELSE day(ts) % 2 + 1 END"))
+    given = table(spark, folder, "events")
+    events = given.withColumn("slice", F.expr("CASE WHEN event_id % 3 = 0 THEN 0 ELSE day(ts) % 2 + 1 END"))
     own = jobs.own_session(spark, 2)
     events.write.partitionBy("slice").parquet(f"{out}/events")
-    stream = file_stream(own, f"{out}/events/slice=*", table(spark, folder, "events").schema, "parquet", maxFilesPerTrigger="1")
-    now = state.throughput_now(feed_of(stream), delay="90 days")
     write = jobs.batch_folder(f"{out}/rows")
-    jobs.start_batches(now, write, f"{out}/checkpoint", mode="update", once=True).awaitTermination()
+    for stream in _in_turn(own, f"{out}/events", given.schema, "slice=[2]", "slice=[1]", "slice=*"):
+        now = state.throughput_now(feed_of(stream), delay="90 days")
+        jobs.start_batches(now, write, f"{out}/checkpoint", mode="update", once=True).awaitTermination()
     rows = jobs.read_newest(spark, f"{out}/rows", "source")
     return rows.withColumn("event_ts", F.col("event_ts").cast(_NTZ))
 
@@ -231,13 +232,13 @@ def replayed_stream(spark: SparkSession, folder: str) -> DataFrame:
     again = spark.read.parquet(f"{out}/records/batch=0")
     again.where("event_id % 3 = 0").write.parquet(f"{out}/records/batch=1")
     own = jobs.own_session(spark, 4)
-    records = file_stream(own, f"{out}/records/batch=*", again.schema, "parquet", maxFilesPerTrigger="1")
-    once = jobs.once_only(records, "event_ts", "event_id", delay="90 days")
 
     def counts(batch: DataFrame, batch_id: int) -> None:
         jobs.batch_folder(f"{out}/counts")(batch.groupBy("source").agg(*m.count_columns()), batch_id)
 
-    jobs.start_batches(once, counts, f"{out}/checkpoint", once=True).awaitTermination()
+    for records in _in_turn(own, f"{out}/records", again.schema, "batch=[0]", "batch=*"):
+        once = jobs.once_only(records, "event_ts", "event_id", delay="90 days")
+        jobs.start_batches(once, counts, f"{out}/checkpoint", once=True).awaitTermination()
     names = ["total", "positive", "negative", "neutral", "polarity_milli"]
     summed = jobs.read_batches(spark, f"{out}/counts").groupBy("source").agg(*[F.sum(n).alias(n) for n in names])
     return m.finish_counts(summed, "source")

@@ -142,24 +142,23 @@ class _Rate(StatefulProcessor):
         pass
 
 
+def _last_span(rows: pd.DataFrame, key: str) -> pd.DataFrame:
+    """Counts by time of the last ``SPAN`` seconds of each key: what is older than that counts at no later time either."""
+    newest = rows.groupby(key, dropna=False)["event_ts"].transform("max")
+    rows = rows[rows["event_ts"] >= newest - pd.Timedelta(seconds=SPAN)]
+    return rows.groupby([key, "event_ts"], dropna=False, as_index=False)["n"].sum()
+
+
 def throughput_now(messages: DataFrame, ts: str = "event_ts", key: str = "source", delay: str = "10 minutes") -> DataFrame:
     """``key, event_ts, events_60s`` and the rates, per key as of its newest event, after each batch that has some; update mode.
 
     Both ends of the last ``SPAN`` seconds count. Rows without a time, and those later than
-    ``delay``, do not count. A task hands on a row for each key and time of its part of a
-    batch; state holds the times of one span.
+    ``delay``, do not count. Of its part of a batch a task hands on a row for each key and
+    time of the last span of the key; state holds the times of one span.
     """
     kind = messages.schema[key].dataType.simpleString()
-
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[tuple, int] = {}
-        for batch in batches:
-            for pair, n in batch.groupby([key, "event_ts"], dropna=False).size().items():
-                sums[pair] = sums.get(pair, 0) + int(n)
-        if sums:
-            yield pd.DataFrame({key: [k for k, _ in sums], "event_ts": [t for _, t in sums], "n": list(sums.values())})
-
-    rows = messages.where(F.col(ts).isNotNull()).select(F.col(key), F.col(ts).alias("event_ts"))
+    rows = messages.where(F.col(ts).isNotNull()).select(F.col(key), F.col(ts).alias("event_ts"), F.lit(1).cast("bigint").alias("n"))
+    counted = lambda batches: _folded(batches, lambda part: _last_span(part, key))
     sums = rows.mapInPandas(counted, f"`{key}` {kind}, event_ts timestamp, n bigint").withWatermark("event_ts", delay)
     out = StructType([messages.schema[key], StructField("event_ts", TimestampType()), StructField("events_60s", LongType())])
     now = sums.groupBy(key).transformWithStateInPandas(_Rate(key), out, "Update", "EventTime")
